@@ -84,3 +84,28 @@ def frac_days_sql(a: str, b: str) -> str:
 
 def log1p0_sql(x: str) -> str:
     return f"(CASE WHEN {x} IS NULL OR {x} <= -1 THEN 0.0 ELSE ln(1 + {x}) END)"
+
+
+def hist_sql(src: str, expr: str, bins: int, where: str = "TRUE", log: bool = False) -> str:
+    """Histogram like ``relational.histogram`` over ``expr`` of CTE/view ``src``;
+    returns a full SELECT (to be preceded by a WITH clause that defines src)."""
+    v = f"SELECT CAST({expr} AS DOUBLE) AS x FROM {src} WHERE ({expr}) IS NOT NULL AND {where}"
+    if log:
+        v = f"SELECT CASE WHEN x <= -1 THEN 0.0 ELSE ln(1 + x) END AS x FROM ({v}) WHERE x > 0"
+    return f"""
+SELECT g.bin, lo + g.bin * ((hi - lo) / {bins}) AS bin_lo, lo + (g.bin + 1) * ((hi - lo) / {bins}) AS bin_hi,
+       coalesce(c.cnt, 0) AS count
+FROM (SELECT range AS bin FROM range({bins})) g
+CROSS JOIN (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+                   CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM ({v})) b
+LEFT JOIN (SELECT least(CAST(floor((x - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin, count(*) AS cnt
+           FROM ({v}) vv, (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo,
+                                  CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM ({v})) bb
+           WHERE x >= lo AND x <= hi GROUP BY 1) c ON g.bin = c.bin"""
+
+
+def money_sql(x: str) -> str:
+    return (f"(CASE WHEN {x} >= 1e9 THEN printf('%.2f', {x} / 1e9) || 'B' "
+            f"WHEN {x} >= 1e6 THEN printf('%.1f', {x} / 1e6) || 'M' "
+            f"WHEN {x} >= 1e3 THEN printf('%.0f', {x} / 1e3) || 'k' "
+            f"ELSE CAST(CAST(trunc({x}) AS BIGINT) AS VARCHAR) END)")
