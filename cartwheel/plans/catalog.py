@@ -9,6 +9,7 @@ from cartwheel.plans.registry import REGISTRY, oracle_text, spark_query
 QUERY_MODULES = [
     "cartwheel.plans.pipeline_queries",
     "cartwheel.plans.eda_queries",
+    "cartwheel.plans.dashboard_queries",
 ]
 
 
