@@ -10,6 +10,7 @@ QUERY_MODULES = [
     "cartwheel.plans.pipeline_queries",
     "cartwheel.plans.eda_queries",
     "cartwheel.plans.dashboard_queries",
+    "cartwheel.plans.policy_queries",
 ]
 
 
