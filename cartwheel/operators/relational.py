@@ -228,21 +228,32 @@ def interp_at(points: DataFrame, curve: DataFrame, key: list[str], x: str, t: st
               name: str) -> DataFrame:
     """``np.interp(x, t, s)`` per key, clamped at both ends.
 
-    Bracketing points come from an aggregate over (key, x) - no cartesian
-    product beyond the curve rows of the same key."""
-    j = points.select(*key, x).distinct().join(curve, key)
-    br = j.groupBy(*key, x).agg(
-        F.max_by(F.struct(F.col(t).alias("t"), F.col(s).alias("s")),
-                 F.when(F.col(t) <= F.col(x), F.col(t))).alias("_lo"),
-        F.min_by(F.struct(F.col(t).alias("t"), F.col(s).alias("s")),
-                 F.when(F.col(t) >= F.col(x), F.col(t))).alias("_hi"),
-        F.min_by(F.col(s), F.col(t)).alias("_first"), F.max_by(F.col(s), F.col(t)).alias("_last"))
+    The bracketing curve points come from a forward and a backward fill over
+    the union of query points and curve points (no points x curve join).
+    Returns one row per distinct (key, x)."""
+    P = points.select(*key, F.col(x).cast("double").alias("_x")).distinct() \
+        .withColumn("_tag", F.lit(1)).withColumn("_s", F.lit(None).cast("double"))
+    C = curve.select(*key, F.col(t).cast("double").alias("_x"), F.lit(0).alias("_tag"),
+                     F.col(s).cast("double").alias("_s"))
+    u = P.unionByName(C)
+    pt = F.when(F.col("_tag") == 0, F.struct(F.col("_x").alias("t"), F.col("_s").alias("s")))
+    wf = Window.partitionBy(*key).orderBy(F.asc("_x"), F.asc("_tag")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wb = Window.partitionBy(*key).orderBy(F.desc("_x"), F.asc("_tag")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wall = Window.partitionBy(*key)
+    u = u.withColumn("_lo", F.last(pt, ignorenulls=True).over(wf)) \
+        .withColumn("_hi", F.last(pt, ignorenulls=True).over(wb)) \
+        .withColumn("_first", F.min_by(F.when(F.col("_tag") == 0, F.col("_s")),
+                                       F.when(F.col("_tag") == 0, F.col("_x"))).over(wall)) \
+        .withColumn("_last", F.max_by(F.when(F.col("_tag") == 0, F.col("_s")),
+                                      F.when(F.col("_tag") == 0, F.col("_x"))).over(wall))
     v = F.when(F.col("_lo").isNull(), F.col("_first")) \
         .when(F.col("_hi").isNull(), F.col("_last")) \
         .when(F.col("_hi.t") == F.col("_lo.t"), F.col("_lo.s")) \
-        .otherwise(F.col("_lo.s") + (F.col(x) - F.col("_lo.t")) * (F.col("_hi.s") - F.col("_lo.s"))
+        .otherwise(F.col("_lo.s") + (F.col("_x") - F.col("_lo.t")) * (F.col("_hi.s") - F.col("_lo.s"))
                    / (F.col("_hi.t") - F.col("_lo.t")))
-    return points.join(br.select(*key, x, v.alias(name)), key + [x], "left")
+    return u.where(F.col("_tag") == 1).select(*key, F.col("_x").alias(x), v.alias(name))
 
 
 def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v: str, name: str) -> DataFrame:
@@ -264,3 +275,65 @@ def linspace(spark, start: float, stop: float, num: int, name: str = "x") -> Dat
 def fill_keys(keys: DataFrame, values: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Left join from a fixed key list, missing -> 0."""
     return keys.join(values, key, "left").na.fill(0, subset=cols)
+
+
+# ------------------------------------------------ bucketed running aggregates
+def running_sums(df: DataFrame, keys: list[str], t: str, cols: list[str], width: float = 1.0,
+                 descending: bool = False, ties: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``cols`` in ``t`` order within ``keys``.
+
+    Rows are windowed per (keys, t-bucket of ``width``); each bucket adds the
+    totals of all earlier buckets from a small per-(keys, bucket) table.
+    A global or hot-key order never lands in a single task."""
+    ties = ties or []
+    sign = -1.0 if descending else 1.0
+    d = df.withColumn("_rb", F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long"))
+    tord = F.desc(t) if descending else F.asc(t)
+    w = Window.partitionBy(*keys, "_rb").orderBy(tord, *[F.asc(c) for c in ties]) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for c in cols:
+        d = d.withColumn("_in_" + c, F.sum(c).over(w))
+    tot = df.withColumn("_rb", F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long")) \
+        .groupBy(*keys, "_rb").agg(*[F.sum(c).alias("_t_" + c) for c in cols])
+    wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    for c in cols:
+        tot = tot.withColumn("_b_" + c, F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)))
+    d = d.join(tot.select(*keys, "_rb", *["_b_" + c for c in cols]), keys + ["_rb"], "left")
+    for c in cols:
+        d = d.withColumn(prefix + c, F.col("_in_" + c) + F.col("_b_" + c))
+    return d.drop("_rb", *["_in_" + c for c in cols], *["_b_" + c for c in cols])
+
+
+def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: str = "t", w: str = "w",
+                     tie_flag: str = "tie_counts", qid: list[str] | None = None, width: float = 1.0) -> DataFrame:
+    """For each query row: total weight of data rows in the same ``keys``
+    group with ``t_data > t_query``, or ``t_data == t_query`` when the data
+    row's ``tie_flag`` is true. Bucketed like ``running_sums``; no pairs are
+    formed. Returns queries' ``qid`` columns + ``cnt``."""
+    qid = qid or []
+    D = data.select(*keys, F.col(t).alias("_t"), F.col(w).cast("double").alias("_w"),
+                    F.when(F.col(tie_flag), F.lit(0)).otherwise(F.lit(2)).alias("_k"),
+                    *[F.lit(None).alias(c) for c in qid])
+    Q = queries.select(*keys, F.col(t).alias("_t"), F.lit(0.0).alias("_w"), F.lit(1).alias("_k"),
+                       *[F.col(c) for c in qid])
+    D = D.select(*keys, "_t", "_w", "_k", *[F.col(c).cast(dict(Q.dtypes)[c]).alias(c) for c in qid])
+    u = D.unionByName(Q).withColumn("_rb", F.floor(-F.col("_t") / F.lit(width)).cast("long"))
+    win = Window.partitionBy(*keys, "_rb").orderBy(F.desc("_t"), F.asc("_k")) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumn("_run", F.sum("_w").over(win))
+    tot = u.groupBy(*keys, "_rb").agg(F.sum("_w").alias("_tot"))
+    wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("_above", F.coalesce(F.sum("_tot").over(wb), F.lit(0.0)))
+    q = u.where(F.col("_k") == 1).join(tot.select(*keys, "_rb", "_above"), keys + ["_rb"], "left")
+    return q.select(*keys, *qid, (F.col("_run") + F.col("_above")).alias("cnt"))
+
+
+def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame:
+    """Exact 0-based dense rank of the distinct values of ``c``: a range-
+    partitioned sort plus per-partition offsets (``zipWithIndex``), so no
+    single task sees all values."""
+    spark = values.sparkSession
+    d = values.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
+    rdd = d.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
+    schema = d.schema.add(name, "long")
+    return spark.createDataFrame(rdd, schema)

@@ -11,6 +11,7 @@ QUERY_MODULES = [
     "cartwheel.plans.eda_queries",
     "cartwheel.plans.dashboard_queries",
     "cartwheel.plans.policy_queries",
+    "cartwheel.plans.survival_queries",
 ]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import features as fe
 from cartwheel.operators import rfm as rf
+from cartwheel.session import stage
 from cartwheel.sources import tables as tb
 
 # Rule thresholds that fire on the TESTDATA scale (FIXTURES.md).
@@ -26,7 +27,8 @@ def snap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ewp(spark: SparkSession, d: str) -> DataFrame:
-    return fe.attach_item_properties(ev(spark, d), snap(spark, d))
+    """Enriched events, written once per query (the reference's stage file)."""
+    return stage(fe.attach_item_properties(ev(spark, d), snap(spark, d)))
 
 
 def txp(spark: SparkSession, d: str) -> DataFrame:
@@ -72,4 +74,4 @@ def users_b(spark: SparkSession, d: str) -> DataFrame:
 
 def users_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Eligible (repeat, non one-time) customers with features + label."""
-    return rf.eligible_users(rfm_labeled(spark, d), users_b(spark, d))
+    return stage(rf.eligible_users(rfm_labeled(spark, d), users_b(spark, d)))

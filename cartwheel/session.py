@@ -7,7 +7,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -52,3 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir="/tmp")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a reused intermediate: a reliable checkpoint into the
+    shared ``spark.checkpoint.dir`` (survives executor loss; never a
+    machine-local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
