@@ -12,6 +12,7 @@ QUERY_MODULES = [
     "cartwheel.plans.dashboard_queries",
     "cartwheel.plans.policy_queries",
     "cartwheel.plans.survival_queries",
+    "cartwheel.plans.clv_queries",
 ]
 
 
