@@ -163,7 +163,8 @@ def _evaluate(data: DataFrame, model: str, logP: np.ndarray, penalizer: float) -
                 continue
             w = pdf["w"].to_numpy(dtype=float)
             args = [pdf[c].to_numpy(dtype=float) for c in cols]
-            ll = ll_fn(params, *args)
+            with np.errstate(all="ignore"):
+                ll = ll_fn(params, *args)
             acc += w @ np.where(np.isfinite(ll), ll, -1e300)
             wsum += w.sum()
         yield pd.DataFrame({"point": np.arange(k), "ll": acc, "w": np.full(k, wsum)})
@@ -258,7 +259,8 @@ def _purchases_udf(kind: str, params: dict, t: float):
 
     @F.pandas_udf(T.DoubleType())
     def udf(x: pd.Series, tx: pd.Series, TT: pd.Series) -> pd.Series:
-        return pd.Series(fn(params, t, x.to_numpy(float), tx.to_numpy(float), TT.to_numpy(float)))
+        with np.errstate(all="ignore"):
+            return pd.Series(fn(params, t, x.to_numpy(float), tx.to_numpy(float), TT.to_numpy(float)))
     return udf
 
 
