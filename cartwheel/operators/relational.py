@@ -284,24 +284,22 @@ def running_sums(df: DataFrame, keys: list[str], t: str, cols: list[str], width:
 
     Rows are windowed per (keys, t-bucket of ``width``); each bucket adds the
     totals of all earlier buckets from a small per-(keys, bucket) table.
-    A global or hot-key order never lands in a single task."""
+    A global or hot-key order never lands in a single task. All columns are
+    built in single projections (wide inputs plan in linear time)."""
     ties = ties or []
     sign = -1.0 if descending else 1.0
-    d = df.withColumn("_rb", F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long"))
+    bucket = F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long")
     tord = F.desc(t) if descending else F.asc(t)
     w = Window.partitionBy(*keys, "_rb").orderBy(tord, *[F.asc(c) for c in ties]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in cols:
-        d = d.withColumn("_in_" + c, F.sum(c).over(w))
-    tot = df.withColumn("_rb", F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long")) \
-        .groupBy(*keys, "_rb").agg(*[F.sum(c).alias("_t_" + c) for c in cols])
+    d = df.withColumn("_rb", bucket)
+    d = d.select("*", *[F.sum(c).over(w).alias("_in_" + c) for c in cols])
+    tot = df.withColumn("_rb", bucket).groupBy(*keys, "_rb").agg(*[F.sum(c).alias("_t_" + c) for c in cols])
     wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    for c in cols:
-        tot = tot.withColumn("_b_" + c, F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)))
-    d = d.join(tot.select(*keys, "_rb", *["_b_" + c for c in cols]), keys + ["_rb"], "left")
-    for c in cols:
-        d = d.withColumn(prefix + c, F.col("_in_" + c) + F.col("_b_" + c))
-    return d.drop("_rb", *["_in_" + c for c in cols], *["_b_" + c for c in cols])
+    tot = tot.select(*keys, "_rb", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_b_" + c) for c in cols])
+    d = d.join(tot, keys + ["_rb"], "left")
+    keep = [F.col(c) for c in df.columns]
+    return d.select(*keep, *[(F.col("_in_" + c) + F.col("_b_" + c)).alias(prefix + c) for c in cols])
 
 
 def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: str = "t", w: str = "w",

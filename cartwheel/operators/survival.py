@@ -100,11 +100,13 @@ def standardize(train: DataFrame, apply_to: DataFrame, cols: list[str], suffix:
     st = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols]) \
         .agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
     out = apply_to.crossJoin(F.broadcast(st))
-    for c in cols:
+
+    def scaled(c):
         x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        out = out.withColumn(c + suffix, F.when(F.col(f"_sd_{c}") > 0,
-                                                (x - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}")).otherwise(F.lit(0.0)))
-    return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
+        return F.when(F.col(f"_sd_{c}") > 0, (x - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}")).otherwise(F.lit(0.0))
+    names = {c + suffix for c in cols}
+    keep = [F.col(c) for c in apply_to.columns if c not in names]
+    return out.select(*keep, *[scaled(c).alias(c + suffix) for c in cols])
 
 
 # ---------------------------------------------------------------- H11 / H12

@@ -13,6 +13,7 @@ QUERY_MODULES = [
     "cartwheel.plans.policy_queries",
     "cartwheel.plans.survival_queries",
     "cartwheel.plans.clv_queries",
+    "cartwheel.plans.model_queries",
 ]
 
 

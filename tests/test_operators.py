@@ -234,3 +234,17 @@ def test_bgnbd_parameter_recovery(spark):
     df = spark.createDataFrame(pd.DataFrame({"frequency": xs, "recency": txs, "T": T}))
     res = clv.fit(df, "bgnbd", 0.0)
     assert abs(res.params["r"] - r) / r < 0.3 and abs(res.params["alpha"] - al) / al < 0.3
+
+
+def test_cox_recovers_coefficients(spark):
+    from cartwheel.operators import cox
+    rng = np.random.default_rng(2)
+    n = 2000
+    X = rng.normal(size=(n, 2)); beta = np.array([0.7, -0.5])
+    T = np.round(rng.exponential(1 / np.exp(X @ beta)) * 50)
+    C = np.round(rng.uniform(0, 150, n))
+    pdf = pd.DataFrame(X, columns=["a", "b"])
+    pdf["duration"] = np.minimum(T, C)
+    pdf["event"] = (T <= C).astype(int)
+    f = cox.fit_cox(spark.createDataFrame(pdf), ["a", "b"], penalizer=0.0)
+    assert np.all(np.abs(f.coef - beta) < 0.15) and np.all(f.se > 0)
