@@ -109,3 +109,139 @@ def q_h23c(spark, d):
     _, te = scaled_split(spark, d)
     ph = cox.partial_hazard(te, cox_fit(spark, d), "risk_score")
     return sv.risk_quartiles(ph).groupBy("risk_segment").agg(F.count(F.lit(1)).alias("count"))
+
+
+# ------------------------------------------------------------- clustering
+from cartwheel.operators import churn_ml as cm  # noqa: E402
+from cartwheel.operators import cluster as cl  # noqa: E402
+from cartwheel.operators import rfm as rf  # noqa: E402
+from cartwheel.plans import frames as fr  # noqa: E402
+
+GBT_ROUNDS_REGISTERED = 100
+FOREST_PERIOD_DAYS = 30.0
+
+
+def _cluster_input(spark, d):
+    return memo(("cf", id(spark), d), lambda: stage(rf.cluster_features(fr.rfm_b(spark, d))))
+
+
+def _segmentation(spark, d, model):
+    return memo(("seg", model, id(spark), d), lambda: cl.segment(_cluster_input(spark, d), model=model))
+
+
+@register("g4_model_comparison", ids="G4,G8")
+def q_g4(spark, d):
+    return memo(("cmp", id(spark), d), lambda: stage(cl.compare_models(_cluster_input(spark, d))))
+
+
+@register("g4_comparison_pivot", ids="G4")
+def q_g4p(spark, d):
+    return cl.comparison_pivot(q_g4(spark, d))
+
+
+@register("g5_gmm_segments", ids="G5,G7,G8")
+def q_g5(spark, d):
+    return _segmentation(spark, d, "gmm")[0]
+
+
+@register("g6_kmeans_segments", ids="G6,G7,G8")
+def q_g6(spark, d):
+    return _segmentation(spark, d, "kmeans")[0]
+
+
+@register("g7_segmentation_metrics", ids="G7,G8")
+def q_g7m(spark, d):
+    return _segmentation(spark, d, "gmm")[1].unionByName(_segmentation(spark, d, "kmeans")[1])
+
+
+@register("g9_gmm_segment_profile", ids="G9,G10,G13")
+def q_g9m(spark, d):
+    seg = _segmentation(spark, d, "gmm")[0].select("visitorid", "segment")
+    r = fr.rfm_b(spark, d).join(seg, "visitorid", "inner")
+    return rf.build_segment_profile(r, "segment")
+
+
+# ------------------------------------------------------- churn classifier
+def _gbt(spark, d):
+    tr, _ = scaled_split(spark, d)
+    return memo(("gbt", id(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event", max_iter=GBT_ROUNDS_REGISTERED))
+
+
+def _gbt_pred(spark, d):
+    _, te = scaled_split(spark, d)
+    return cm.predict_proba(_gbt(spark, d), te, FEATURES)
+
+
+@register("h6_gbt_test_probabilities", ids="H5,H6")
+def q_h6(spark, d):
+    return _gbt_pred(spark, d).select("visitorid", "event", "prob")
+
+
+@register("h7_h8_gbt_metrics", ids="H7,H8")
+def q_h7(spark, d):
+    p = _gbt_pred(spark, d)
+    return cm.auc(p, "event", "prob").crossJoin(cm.prob_errors(p, "event", "prob"))
+
+
+@register("h9_gbt_importance", ids="H9")
+def q_h9(spark, d):
+    return cm.importance_table(_gbt(spark, d), FEATURES, 20, spark)
+
+
+# -------------------------------------------------------- survival forest
+def _forest(spark, d, refit=False):
+    tr, te = scaled_split(spark, d)
+    if refit:
+        allu = stage(tr.unionByName(te))
+        return memo(("rsf_all", id(spark), d), lambda: (cm.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
+                                                                      min_leaf=cm.FOREST_MIN_LEAF_REFIT), allu))
+    return memo(("rsf", id(spark), d), lambda: cm.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
+
+
+def _horizon(spark, d):
+    tr, _ = scaled_split(spark, d)
+    mx = tr.agg(F.max("duration")).first()[0] or 0.0
+    return int(mx // FOREST_PERIOD_DAYS) + 1
+
+
+def _forest_curves(spark, d):
+    _, te = scaled_split(spark, d)
+    return stage(cm.forest_curves(_forest(spark, d), te, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS))
+
+
+@register("h24_forest_survival_curves", ids="H24")
+def q_h24(spark, d):
+    return _forest_curves(spark, d)
+
+
+@register("h25_forest_concordance", ids="H25,H15")
+def q_h25(spark, d):
+    _, te = scaled_split(spark, d)
+    risk = cm.forest_risk(_forest_curves(spark, d)).withColumn("neg_risk", -F.col("risk"))
+    j = te.select("visitorid", "duration", "event").join(risk, "visitorid")
+    return sv.concordance_index(j, "duration", "neg_risk", "event").withColumn("model", F.lit("survival_forest"))
+
+
+@register("h27_forest_expected_lifetime", ids="H27")
+def q_h27f(spark, d):
+    c = _forest_curves(spark, d)
+    start = c.select("visitorid").distinct().withColumn("t", F.lit(0.0)).withColumn("s", F.lit(1.0))
+    return sv.expected_lifetime(c.select("visitorid", "t", "s").unionByName(start))
+
+
+@register("h28_forest_segment_curve", ids="H28,P27")
+def q_h28f(spark, d):
+    return cm.segment_mean_curve(_forest_curves(spark, d), sv.survival_grid(spark))
+
+
+@register("h29_users_survival_30", ids="H29,J10")
+def q_h29(spark, d):
+    model, allu = _forest(spark, d, refit=True)
+    curves = cm.forest_curves(model, allu, FEATURES, max(2, int(30 // FOREST_PERIOD_DAYS) + 1), FOREST_PERIOD_DAYS)
+    s30 = cm.survival_at_day(curves, 30.0)
+    return fr.users_pipeline(spark, d).join(s30, "visitorid", "left")
+
+
+@register("h30_model_comparison", ids="H30")
+def q_h30(spark, d):
+    return q_h15c(spark, d).unionByName(q_h25(spark, d))
