@@ -333,5 +333,6 @@ def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame
     spark = values.sparkSession
     d = values.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
     rdd = d.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    schema = d.schema.add(name, "long")
+    from pyspark.sql import types as T
+    schema = T.StructType(list(d.schema.fields) + [T.StructField(name, T.LongType())])
     return spark.createDataFrame(rdd, schema)

@@ -14,6 +14,7 @@ QUERY_MODULES = [
     "cartwheel.plans.survival_queries",
     "cartwheel.plans.clv_queries",
     "cartwheel.plans.model_queries",
+    "cartwheel.plans.io_queries",
 ]
 
 

@@ -245,3 +245,52 @@ def q_h29(spark, d):
 @register("h30_model_comparison", ids="H30")
 def q_h30(spark, d):
     return q_h15c(spark, d).unionByName(q_h25(spark, d))
+
+
+# ------------------------------------------------------- anomaly flags (F9+)
+from cartwheel.operators import features as fe  # noqa: E402
+from cartwheel.operators import iforest  # noqa: E402
+
+
+def _model_flags(spark, d):
+    return memo(("iso", id(spark), d), lambda: stage(iforest.model_based_flags(fr.rules(spark, d))))
+
+
+@register("f9_model_flags", ids="F9")
+def q_f9(spark, d):
+    return _model_flags(spark, d).select("visitorid", "iso_score", "iso_flag", "iso_score_norm", "model_flag")
+
+
+@register("f10_combined_flags", ids="F10,F14")
+def q_f10(spark, d):
+    return fe.combined_flags(_model_flags(spark, d))
+
+
+@register("f11_final_flag_distribution", ids="F11,A12")
+def q_f11f(spark, d):
+    return fe.flag_distribution(fe.combined_flags(_model_flags(spark, d)), "final_flag")
+
+
+@register("f11_top_flagged_users", ids="F11,T3")
+def q_f11t(spark, d):
+    return fe.top_flagged(fe.combined_flags(_model_flags(spark, d)), 200)
+
+
+@register("f11_top25_by_combined_score", ids="F11,T3")
+def q_f11c(spark, d):
+    return fe.top_by_score(fe.combined_flags(_model_flags(spark, d)), "combined_score", 25)
+
+
+@register("f12_feature_distributions", ids="F12,A17,P18")
+def q_f12(spark, d):
+    return fe.feature_distributions(fe.combined_flags(_model_flags(spark, d)))
+
+
+@register("f14_run_pipeline_staged", ids="F14,S5,S6,S3")
+def q_f14(spark, d):
+    from cartwheel.session import ensure_checkpoint_dir
+    import hashlib
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.md5(d.encode()).hexdigest()[:10]
+    e = fr.ewp(spark, d)
+    return fe.run_pipeline(e, fe.build_user_features(e), stage_dir=f"{root}/cartwheel_stages/{tag}")

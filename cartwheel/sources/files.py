@@ -24,10 +24,23 @@ ITEM_PROPS_CSV_SCHEMA = T.StructType([
 ])
 
 
+EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def from_epoch_ms(c) -> F.Column:
+    """Epoch milliseconds -> naive (UTC wall-clock) timestamp, independent of
+    the session time zone (pandas ``to_datetime(unit='ms')``)."""
+    return F.timestamp_add("MILLISECOND", F.col(c) if isinstance(c, str) else c, EPOCH_NTZ)
+
+
+def to_epoch_ms(c) -> F.Column:
+    return F.timestamp_diff("MILLISECOND", EPOCH_NTZ, F.col(c) if isinstance(c, str) else c)
+
+
 def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """Event CSV with epoch-millisecond timestamps."""
     df = spark.read.schema(EVENTS_CSV_SCHEMA).option("header", True).csv(path)
-    return df.withColumn("timestamp", F.timestamp_millis("timestamp"))
+    return df.withColumn("timestamp", from_epoch_ms("timestamp"))
 
 
 def load_item_props_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -38,7 +51,7 @@ def load_item_props_csv(spark: SparkSession, path: str | list[str]) -> DataFrame
     parts = []
     for i, p in enumerate(paths):
         d = spark.read.schema(ITEM_PROPS_CSV_SCHEMA).option("header", True).csv(p)
-        d = d.withColumn("timestamp", F.timestamp_millis("timestamp")) \
+        d = d.withColumn("timestamp", from_epoch_ms("timestamp")) \
              .withColumn("ingest_seq", (F.lit(i).cast("long") * F.lit(1 << 40))
                          + F.monotonically_increasing_id())
         parts.append(d)
@@ -56,15 +69,34 @@ def concat_parts(parts: list[DataFrame]) -> DataFrame:
 TYPED_TS_COLUMNS = ("timestamp", "first_event", "last_event")
 
 
-def load_typed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3: re-load a stage output, parsing the known timestamp columns."""
+def coerce_timestamp(c) -> F.Column:
+    """``to_datetime(errors='coerce')`` - unparsable -> NULL, wall clock kept."""
+    return F.try_to_timestamp(F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
+
+
+def load_typed(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """S3: re-load a stage output. CSV columns are read as text and cast to
+    ``schema`` (when given); the known timestamp columns are parsed with
+    coercion."""
     if fmt == "csv":
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+        df = spark.read.option("header", True).csv(path)
+        if schema is not None:
+            types = {f.name: f.dataType for f in schema.fields}
+            cols = []
+            for c in df.columns:
+                t = types.get(c)
+                if t is None:
+                    cols.append(F.col(c))
+                elif t.typeName() in ("timestamp_ntz", "timestamp"):
+                    cols.append(coerce_timestamp(c).alias(c))
+                else:
+                    cols.append(F.col(c).try_cast(t).alias(c))
+            df = df.select(*cols)
     else:
         df = spark.read.parquet(path)
     for c in TYPED_TS_COLUMNS:
         if c in df.columns and dict(df.dtypes)[c] == "string":
-            df = df.withColumn(c, F.try_to_timestamp(F.col(c)))
+            df = df.withColumn(c, coerce_timestamp(c))
     return df
 
 
@@ -75,7 +107,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     else:
         w.parquet(path)
 
