@@ -80,22 +80,64 @@ def fit_forest(train: DataFrame, features: list[str], duration: str = "duration"
 
 
 def forest_curves(model, df: DataFrame, features: list[str], horizon_periods: int, period_days: float = 30.0,
-                  key: str = "visitorid") -> DataFrame:
-    """Per user and period end: hazard, S(t) = prod (1 - h), cumulative hazard."""
+                  key: str | list[str] = "visitorid") -> DataFrame:
+    """Per user and period end: hazard, S(t) = prod (1 - h), cumulative hazard.
+    The running product is a window per user over at most ``horizon`` rows."""
+    keys = [key] if isinstance(key, str) else list(key)
     g = df.na.fill(0, subset=features).withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(horizon_periods - 1))))
     x = assemble(g, features + ["period"])
     h = model.transform(x).withColumn("hazard", vector_to_array("probability")[1]) \
-        .select(key, *[c for c in ["business_label"] if c in df.columns], "period", "hazard")
-    w = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .select(*keys, *[c for c in ["business_label"] if c in df.columns], "period", "hazard")
+    w = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lf = F.log(F.greatest(F.lit(1.0) - F.col("hazard"), F.lit(1e-12)))
     return h.withColumn("cum_hazard", F.sum(-lf).over(w)) \
         .withColumn("s", F.exp(-F.col("cum_hazard"))) \
         .withColumn("t", (F.col("period") + 1) * F.lit(float(period_days)))
 
 
-def forest_risk(curves: DataFrame, key: str = "visitorid") -> DataFrame:
+def forest_risk(curves: DataFrame, key: str | list[str] = "visitorid") -> DataFrame:
     """risk = cumulative hazard at the horizon."""
-    return curves.groupBy(key).agg(F.max("cum_hazard").alias("risk"))
+    keys = [key] if isinstance(key, str) else list(key)
+    return curves.groupBy(*keys).agg(F.max("cum_hazard").alias("risk"))
+
+
+def permutation_importance(model, df: DataFrame, features: list[str], horizon_periods: int,
+                           period_days: float = 30.0, duration: str = "duration", event: str = "event",
+                           key: str = "visitorid", n_repeats: int = 5, seed: int = 42) -> DataFrame:
+    """Mean / std drop of the C-index when one feature is permuted
+    (``n_repeats`` permutations per feature). All permuted copies are one
+    Spark job: a row takes the feature value of the row whose key-rank equals
+    its hash-rank within (feature, repeat); the forest scores every copy and
+    a grouped pair-free C-index scores every (feature, repeat)."""
+    from cartwheel.operators.relational import dense_rank_exact
+    from cartwheel.operators.survival import concordance_index
+    base_curves = forest_curves(model, df, features, horizon_periods, period_days, key)
+    base_risk = forest_risk(base_curves, key).withColumn("neg_risk", -F.col("risk"))
+    base = concordance_index(df.select(key, duration, event).join(base_risk, key), duration, "neg_risk", event) \
+        .select(F.col("c_index").alias("base_c"))
+    pos = dense_rank_exact(df.select(key), key, "_pos")
+    d = df.join(pos, key)
+    grid = [(j, r) for j in range(len(features)) for r in range(n_repeats)]
+    perm = d.withColumn("_jr", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(r).alias("rep"))
+                                                  for j, r in grid]))) \
+        .select("*", "_jr.j", "_jr.rep").drop("_jr")
+    wh = Window.partitionBy("j", "rep").orderBy(F.xxhash64(F.col(key), F.col("j"), F.col("rep"), F.lit(seed)), key)
+    perm = perm.withColumn("_hpos", (F.row_number().over(wh) - 1).cast("long"))
+    donor = d.select(F.col("_pos").alias("_hpos"), F.array(*[F.col(c).cast("double") for c in features]).alias("_dv"))
+    perm = perm.join(donor, "_hpos")
+    val = F.element_at(F.col("_dv"), F.col("j") + 1)
+    perm = perm.select(key, "j", "rep", duration, event,
+                       *[F.when(F.col("j") == i, val).otherwise(F.col(c).cast("double")).alias(c)
+                         for i, c in enumerate(features)])
+    curves = forest_curves(model, perm, features, horizon_periods, period_days, [key, "j", "rep"])
+    risk = forest_risk(curves, [key, "j", "rep"]).withColumn("neg_risk", -F.col("risk"))
+    scored = perm.select(key, "j", "rep", duration, event).join(risk, [key, "j", "rep"])
+    ci = concordance_index(scored, duration, "neg_risk", event, by=["j", "rep"])
+    names = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("j") + 1)
+    out = ci.crossJoin(F.broadcast(base)).withColumn("drop", F.col("base_c") - F.col("c_index")) \
+        .groupBy("j").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
+    return out.select(names.alias("feature"), "importance_mean", "importance_std") \
+        .orderBy(F.desc("importance_mean"), "feature")
 
 
 def survival_at_day(curves: DataFrame, day: float, key: str = "visitorid", name: str = "survival_30") -> DataFrame:

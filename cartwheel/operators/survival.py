@@ -144,46 +144,53 @@ def kaplan_meier(df: DataFrame, duration: str = "duration", event: str = "event"
 
 
 # ---------------------------------------------------------------------- H15
-def concordance_index(df: DataFrame, duration: str, score: str, event: str, width: float = 1.0) -> DataFrame:
+def concordance_index(df: DataFrame, duration: str, score: str, event: str, width: float = 1.0,
+                      by: list[str] | None = None) -> DataFrame:
     """Harrell's C (higher score = longer survival), lifelines conventions:
     a pair (i, j) is comparable when i has the event and t_i < t_j, or
-    t_i == t_j with j censored; score ties count 1/2.
+    t_i == t_j with j censored; score ties count 1/2. One row per ``by`` group.
 
     Exact and pair-free: rows are compressed to distinct (t, event, score)
-    with weights; score ranks are exact (range-partitioned sort); pairs that
-    differ in score are counted level by level over the binary expansion of
-    the score rank (the pair's first differing bit decides which score is
-    larger) with bucketed dominance counts on t, so the work is
-    O(n log n) rows and no task sees a whole level."""
-    comp = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
+    with weights; score ranks are exact (range-partitioned sort, or a window
+    per group); pairs that differ in score are counted level by level over
+    the binary expansion of the score rank (the pair's first differing bit
+    decides which score is larger) with bucketed dominance counts on t, so
+    the work is O(n log n) rows and no task sees a whole level."""
+    keys = by or []
+    comp = df.select(*keys, F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
                      F.col(score).cast("double").alias("s")) \
-        .groupBy("t", "e", "s").agg(F.count(F.lit(1)).cast("double").alias("w"))
+        .groupBy(*keys, "t", "e", "s").agg(F.count(F.lit(1)).cast("double").alias("w"))
     comp = comp.persist()
-    ranks = dense_rank_exact(comp, "s", "r")
-    n_ranks = ranks.count()
+    if keys:
+        ranks = comp.select(*keys, "s").distinct() \
+            .withColumn("r", (F.dense_rank().over(Window.partitionBy(*keys).orderBy("s")) - 1).cast("long"))
+        n_ranks = (ranks.agg(F.max("r")).first()[0] or 0) + 1
+    else:
+        ranks = dense_rank_exact(comp, "s", "r")
+        n_ranks = ranks.count()
     depth = max(1, math.ceil(math.log2(max(n_ranks, 2))))
-    c = comp.join(ranks, "s").withColumn("tie_counts", F.col("e") == 0).persist()
+    c = comp.join(ranks, keys + ["s"]).withColumn("tie_counts", F.col("e") == 0).persist()
     deaths = c.where(F.col("e") == 1)
     qid = ["t", "e", "s"]
+    dw = deaths.select(*keys, *qid, "w")
 
-    # comparable pairs
-    pairs = count_dominating(c, deaths, [], qid=qid, width=width) \
-        .join(deaths.select(*qid, "w"), qid).agg(F.sum(F.col("cnt") * F.col("w")).alias("pairs"))
-    # score ties within comparable pairs
-    ties = count_dominating(c, deaths, ["r"], qid=qid, width=width) \
-        .join(deaths.select(*qid, "w"), qid).agg(F.sum(F.col("cnt") * F.col("w")).alias("tied"))
-    # concordant: j in the upper half, i (death) in the lower half of a block
+    def total(cnts, name):
+        return cnts.join(dw, keys + qid).groupBy(*keys).agg(F.sum(F.col("cnt") * F.col("w")).alias(name))
+    pairs = total(count_dominating(c, deaths, keys, qid=qid, width=width), "pairs")
+    ties = total(count_dominating(c, deaths, keys + ["r"], qid=qid, width=width), "tied")
     lv = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))) \
         .withColumn("block", F.expr(f"shiftright(r, {depth} - level)")) \
         .withColumn("role", F.expr(f"shiftright(r, {depth - 1} - level) & 1"))
     upper = lv.where(F.col("role") == 1)
     lower_deaths = lv.where((F.col("role") == 0) & (F.col("e") == 1))
-    conc = count_dominating(upper, lower_deaths, ["level", "block"], qid=qid, width=width) \
-        .groupBy(*qid).agg(F.sum("cnt").alias("cnt")) \
-        .join(deaths.select(*qid, "w"), qid).agg(F.sum(F.col("cnt") * F.col("w")).alias("concordant"))
-    out = pairs.crossJoin(ties).crossJoin(conc)
+    conc = count_dominating(upper, lower_deaths, keys + ["level", "block"], qid=qid, width=width) \
+        .groupBy(*keys, *qid).agg(F.sum("cnt").alias("cnt"))
+    conc = total(conc, "concordant")
+    groups = c.select(*keys).distinct()
+    out = groups.join(pairs, keys, "left").join(ties, keys, "left").join(conc, keys, "left") if keys \
+        else pairs.crossJoin(ties).crossJoin(conc)
     return out.select(
-        F.coalesce("concordant", F.lit(0.0)).alias("concordant"), F.coalesce("tied", F.lit(0.0)).alias("tied"),
+        *keys, F.coalesce("concordant", F.lit(0.0)).alias("concordant"), F.coalesce("tied", F.lit(0.0)).alias("tied"),
         F.coalesce("pairs", F.lit(0.0)).alias("pairs"),
         F.try_divide(F.coalesce("concordant", F.lit(0.0)) + 0.5 * F.coalesce("tied", F.lit(0.0)),
                      F.col("pairs")).alias("c_index"))

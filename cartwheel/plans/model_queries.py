@@ -294,3 +294,9 @@ def q_f14(spark, d):
     tag = hashlib.md5(d.encode()).hexdigest()[:10]
     e = fr.ewp(spark, d)
     return fe.run_pipeline(e, fe.build_user_features(e), stage_dir=f"{root}/cartwheel_stages/{tag}")
+
+
+@register("h26_permutation_importance", ids="H26")
+def q_h26(spark, d):
+    tr, _ = scaled_split(spark, d)
+    return cm.permutation_importance(_forest(spark, d), tr, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS)

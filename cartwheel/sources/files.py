@@ -24,17 +24,18 @@ ITEM_PROPS_CSV_SCHEMA = T.StructType([
 ])
 
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> F.Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def from_epoch_ms(c) -> F.Column:
     """Epoch milliseconds -> naive (UTC wall-clock) timestamp, independent of
     the session time zone (pandas ``to_datetime(unit='ms')``)."""
-    return F.timestamp_add("MILLISECOND", F.col(c) if isinstance(c, str) else c, EPOCH_NTZ)
+    return F.timestamp_add("MILLISECOND", F.col(c) if isinstance(c, str) else c, _epoch_ntz())
 
 
 def to_epoch_ms(c) -> F.Column:
-    return F.timestamp_diff("MILLISECOND", EPOCH_NTZ, F.col(c) if isinstance(c, str) else c)
+    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), F.col(c) if isinstance(c, str) else c)
 
 
 def load_events_csv(spark: SparkSession, path: str) -> DataFrame:

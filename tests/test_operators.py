@@ -248,3 +248,27 @@ def test_cox_recovers_coefficients(spark):
     pdf["event"] = (T <= C).astype(int)
     f = cox.fit_cox(spark.createDataFrame(pdf), ["a", "b"], penalizer=0.0)
     assert np.all(np.abs(f.coef - beta) < 0.15) and np.all(f.se > 0)
+
+
+def test_entry_imports_without_spark_session():
+    import subprocess
+    import sys as _sys
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as e; "
+            "assert len(e.oracle_sql()) > 50 and len(e.queries()) >= len(e.oracle_sql())") % ROOT
+    subprocess.run([_sys.executable, "-c", code], check=True, cwd="/tmp")
+
+
+ROOT = __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__)))
+
+
+def test_grouped_concordance_matches_single(spark):
+    rng = np.random.default_rng(11)
+    n = 120
+    pdf = pd.DataFrame({"t": np.round(rng.exponential(10, n)), "e": rng.integers(0, 2, n),
+                        "s": np.round(rng.normal(size=n), 1)})
+    a = pdf.assign(g=0)
+    b = pdf.assign(g=1, s=-pdf.s)
+    df = spark.createDataFrame(pd.concat([a, b]))
+    got = {r.g: r.c_index for r in survival.concordance_index(df, "t", "s", "e", by=["g"], width=3.0).collect()}
+    one = survival.concordance_index(spark.createDataFrame(pdf), "t", "s", "e").first().c_index
+    assert math.isclose(got[0], one) and math.isclose(got[1], 1 - one)
