@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.operators.relational import exact_rank
+
 # Daily label names and revenue-tier quantile edges.
 TIER_EDGES = (0.5, 0.7)
 TIER_LABELS = ("Low", "Mid", "High")
@@ -113,11 +115,10 @@ def add_cumulative(vd: DataFrame) -> DataFrame:
 
 def add_revenue_tier(vd: DataFrame) -> DataFrame:
     """D8 (W7): per day, rank (ties by visitor id) of cum_revenue cut at the
-    0.5 / 0.7 quantiles of the ranks; a single-visitor day is Low."""
-    w = Window.partitionBy("day").orderBy("cum_revenue", "visitorid")
-    n = F.count(F.lit(1)).over(Window.partitionBy("day"))
-    rn = F.row_number().over(w)
-    d = vd.withColumn("_rn", rn).withColumn("_n", n)
+    0.5 / 0.7 quantiles of the ranks; a single-visitor day is Low. The rank
+    is ``exact_rank`` - no window over a whole (possibly huge) day."""
+    d = exact_rank(vd, ["day"], "cum_revenue", "visitorid", "_rk") \
+        .withColumn("_rn", F.col("_rk") + 1).withColumnRenamed("_rk_n", "_n").drop("_rk")
     lo = F.lit(1.0) + (F.col("_n") - 1) * TIER_EDGES[0]
     mid = F.lit(1.0) + (F.col("_n") - 1) * TIER_EDGES[1]
     tier = F.when(F.col("_rn") <= lo, TIER_LABELS[0]).when(F.col("_rn") <= mid, TIER_LABELS[1]) \

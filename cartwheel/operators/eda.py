@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import log1p0
-from cartwheel.operators.relational import boxplot_stats, histogram, quantile, top_n
+from cartwheel.operators.relational import boxplot_stats, exact_quantiles, histogram, top_n
 
 FUNNEL = ["view", "addtocart", "transaction"]
 
@@ -81,10 +81,11 @@ def value_box(b: DataFrame, cap: float = 2e5) -> DataFrame:
 
 
 def daily_tx(b: DataFrame) -> DataFrame:
-    """Per day count, mean and median basket value."""
-    return b.groupBy("date").agg(F.count("transactionid").alias("tx_count"),
-                                 F.avg("total_price").alias("avg_tx_value"),
-                                 F.median("total_price").alias("median_tx_value"))
+    """Per day count, mean and median basket value (exact median without
+    a per-day buffer)."""
+    g = b.groupBy("date").agg(F.count("transactionid").alias("tx_count"), F.avg("total_price").alias("avg_tx_value"))
+    med = exact_quantiles(b, ["date"], "total_price", [0.5]).withColumnRenamed("q_0", "median_tx_value")
+    return g.join(med, "date", "left")
 
 
 def rolling_daily(d: DataFrame) -> DataFrame:
@@ -129,10 +130,10 @@ TRIM_PCTS = [0.25, 0.5, 0.75, 0.9, 0.99]
 
 def trimmed_value_percentiles(b: DataFrame) -> DataFrame:
     """Percentiles of basket value after trimming above its p99."""
-    p99 = b.agg(quantile("total_price", 0.99).alias("_p99"))
+    p99 = exact_quantiles(b, [], "total_price", [0.99]).select(F.col("q_0").alias("_p99"))
     t = b.crossJoin(F.broadcast(p99)).where(F.col("total_price") <= F.col("_p99"))
-    q = t.agg(quantile("total_price", TRIM_PCTS).alias("_q"))
-    out = q.select(F.posexplode("_q").alias("_i", "value"))
+    q = exact_quantiles(t, [], "total_price", TRIM_PCTS)
+    out = q.select(F.posexplode(F.array(*[F.col(f"q_{i}") for i in range(len(TRIM_PCTS))])).alias("_i", "value"))
     pcts = F.array(*[F.lit(p) for p in TRIM_PCTS])
     return out.select(F.element_at(pcts, F.col("_i") + 1).alias("pct"), "value",
                       money_label("value").alias("label"))
@@ -140,7 +141,7 @@ def trimmed_value_percentiles(b: DataFrame) -> DataFrame:
 
 def median_by_size(b: DataFrame) -> DataFrame:
     """E25."""
-    return b.groupBy("total_items").agg(F.median("total_price").alias("median_value"))
+    return exact_quantiles(b, ["total_items"], "total_price", [0.5]).withColumnRenamed("q_0", "median_value")
 
 
 COVERAGE_POINTS = [1, 5, 10, 50, 100]
@@ -168,4 +169,6 @@ def buyer_stats(b: DataFrame) -> DataFrame:
 
 
 def buyer_medians(bs: DataFrame) -> DataFrame:
-    return bs.agg(F.median("num_tx").alias("median_num_tx"), F.median("total_spend").alias("median_total_spend"))
+    a = exact_quantiles(bs, [], "num_tx", [0.5]).withColumnRenamed("q_0", "median_num_tx")
+    b = exact_quantiles(bs, [], "total_spend", [0.5]).withColumnRenamed("q_0", "median_total_spend")
+    return a.crossJoin(b)

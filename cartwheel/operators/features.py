@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from cartwheel.functions.semantics import (
     MICROS_PER_DAY, add_days, flag, floor_days, log1p0, row_sum, total_seconds, whole_seconds,
 )
-from cartwheel.operators.relational import asof_join, bucketed_lag, histogram, top_n
+from cartwheel.operators.relational import asof_join, bucketed_lag, exact_quantiles, histogram, top_n
 
 # The property codes kept for item snapshots (790 is the price).
 SNAPSHOT_PROPERTIES = ["790", "categoryid", "available"]
@@ -208,10 +208,11 @@ def compute_extra_user_features(events: DataFrame, user_feats: DataFrame) -> Dat
     stats = r.groupBy("visitorid").agg(
         F.avg("very_fast").alias("prop_very_fast"),
         F.avg("same_item_repeat").alias("prop_same_item_repeat"),
-        F.min("delta_s").alias("min_ie_s"), F.median("delta_s").alias("median_ie_s"),
-        F.stddev_pop("delta_s").alias("std_ie_s"),
+        F.min("delta_s").alias("min_ie_s"), F.stddev_pop("delta_s").alias("std_ie_s"),
         F.avg(F.col("price").isNotNull().cast("double")).alias("prop_price_available"),
     )
+    med = exact_quantiles(r, ["visitorid"], "delta_s", [0.5], name="median").withColumnRenamed("median_0", "median_ie_s")
+    stats = stats.join(med, "visitorid", "left")
     extra_cols = ["prop_very_fast", "prop_same_item_repeat", "max_events_per_minute",
                   "min_ie_s", "median_ie_s", "std_ie_s", "prop_price_available"]
     extra = user_feats.select("visitorid").join(stats, "visitorid", "left") \

@@ -118,17 +118,20 @@ def quantile(c, p, exact: bool = True, accuracy: int = 100000) -> Column:
 
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
-    """Pandas ``describe()`` per column (std with ddof=1), long format."""
-    aggs = []
+    """Pandas ``describe()`` per column (std with ddof=1), long format.
+    Quartiles come from ``exact_quantiles`` (distributed, no group buffer)."""
+    out = None
     for c in cols:
-        q = quantile(c, [0.25, 0.5, 0.75], exact)
-        aggs.append(F.struct(
-            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-            q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-            F.max(c).cast("double").alias("max")))
-    row = df.agg(F.array(*aggs).alias("_d"))
-    return row.select(F.inline("_d"))
+        m = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
+                   F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+                   F.max(c).cast("double").alias("max"))
+        q = exact_quantiles(df, [], c, [0.25, 0.5, 0.75]) if exact else \
+            df.agg(*[F.percentile_approx(c, p, 100000).cast("double").alias(f"q_{i}")
+                     for i, p in enumerate([0.25, 0.5, 0.75])])
+        row = m.crossJoin(q).select("column", "count", "mean", "std", "min", F.col("q_0").alias("p25"),
+                                    F.col("q_1").alias("p50"), F.col("q_2").alias("p75"), "max")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def minmax_scale(df: DataFrame, cols: list[str], invert: bool = False, suffix: str = "_norm") -> DataFrame:
@@ -173,10 +176,10 @@ def histogram(df: DataFrame, c: str, bins: int, lo: float | None = None, hi: flo
 
 def boxplot_stats(df: DataFrame, c: str, exact: bool = True) -> DataFrame:
     """Five-number summary with 1.5 IQR whiskers (matplotlib convention)."""
-    q = df.agg(quantile(c, [0.25, 0.5, 0.75], exact).alias("_q"),
-               F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"))
-    q = q.select("n", "min", "max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = df.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max")) \
+        .crossJoin(exact_quantiles(df, [], c, [0.25, 0.5, 0.75]))
+    q = q.select("n", "min", "max", F.col("q_0").alias("q1"), F.col("q_1").alias("median"),
+                 F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     x = df.select(F.col(c).cast("double").alias("_x")).crossJoin(F.broadcast(q.select("q1", "q3", "iqr")))
     wh = x.agg(
@@ -336,3 +339,78 @@ def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame
     from pyspark.sql import types as T
     schema = T.StructType(list(d.schema.fields) + [T.StructField(name, T.LongType())])
     return spark.createDataFrame(rdd, schema)
+
+
+# ------------------------------------------------- exact ranks, hot-group safe
+def exact_rank(df: DataFrame, group: list[str], value: str, tiebreak: str, name: str = "rank",
+               value_buckets: int = 4096, tie_bucket_bits: int = 20) -> DataFrame:
+    """0-based ``row_number() over (partition by group order by value, tiebreak)``
+    without a window over a whole group.
+
+    rank = #rows of the group with a smaller value (bucketed running sums over
+    the distinct (group, value) table) + position among rows with an equal
+    value (windows per (group, value, tiebreak range) plus the counts of lower
+    ranges). ``tiebreak`` must be a unique long per row within the group.
+    Also adds ``<name>_n``, the group size."""
+    v = F.col(value).cast("double")
+    d = df.withColumn("_xv", v)
+    rng = d.agg(F.min("_xv").alias("_lo"), F.max("_xv").alias("_hi")).first()
+    lo, hi = (rng["_lo"] or 0.0), (rng["_hi"] or 0.0)
+    width = max((hi - lo) / value_buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
+    dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c"))
+    dv = running_sums(dv, group, "_xv", ["_c"], width=width, prefix="_cum")
+    dv = dv.select(*group, "_xv", (F.col("_cum_c") - F.col("_c")).alias("_below"))
+    tb = F.shiftright(F.col(tiebreak).cast("long"), 64 - tie_bucket_bits)
+    d = d.withColumn("_tb", tb)
+    w = Window.partitionBy(*group, "_xv", "_tb").orderBy(tiebreak)
+    d = d.withColumn("_in", F.row_number().over(w) - 1)
+    tc = d.groupBy(*group, "_xv", "_tb").agg(F.count(F.lit(1)).alias("_tc"))
+    wt = Window.partitionBy(*group, "_xv").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    tc = tc.select(*group, "_xv", "_tb", F.coalesce(F.sum("_tc").over(wt), F.lit(0)).alias("_lower"))
+    n = d.groupBy(*group).agg(F.count(F.lit(1)).alias(name + "_n"))
+    out = d.join(dv, group + ["_xv"]).join(tc, group + ["_xv", "_tb"])
+    out = out.join(n, group) if group else out.crossJoin(F.broadcast(n))
+    return out.withColumn(name, (F.col("_below") + F.col("_lower") + F.col("_in")).cast("long")) \
+        .drop("_xv", "_below", "_tb", "_in", "_lower")
+
+
+def row_key(*cols) -> Column:
+    """A long tie-break key for ``exact_rank`` from the given columns."""
+    return F.xxhash64(*[col(c) for c in cols])
+
+
+def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float], name: str = "q",
+                    value_buckets: int = 4096) -> DataFrame:
+    """Linear-interpolated quantiles (numpy / pandas default) per group,
+    distributed and exact: the (group, value) -> count table (partial
+    aggregation, so hot groups and heavy ties collapse), bucketed running
+    counts, then the values holding ranks floor/ceil(p * (n - 1)). One row
+    per group with columns ``<name>_<i>``; no buffer of a whole group."""
+    d = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_xv"))
+    rng = d.agg(F.min("_xv").alias("_lo"), F.max("_xv").alias("_hi")).first()
+    lo, hi = (rng["_lo"] or 0.0), (rng["_hi"] or 0.0)
+    width = max((hi - lo) / value_buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
+    dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c"))
+    dv = running_sums(dv, group, "_xv", ["_c"], width=width, prefix="_cum")
+    n = dv.groupBy(*group).agg(F.max("_cum_c").alias("_n"))
+    dv = (dv.join(n, group) if group else dv.crossJoin(F.broadcast(n))) \
+        .withColumn("_below", F.col("_cum_c") - F.col("_c"))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        klo, khi = F.floor(pos), F.ceil(pos)
+        has_lo = (F.col("_below") <= klo) & (klo < F.col("_cum_c"))
+        has_hi = (F.col("_below") <= khi) & (khi < F.col("_cum_c"))
+        aggs.append(F.max(F.when(has_lo, F.col("_xv"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(has_hi, F.col("_xv"))).alias(f"_hi{i}"))
+        aggs.append(F.max(pos - klo).alias(f"_fr{i}"))
+    cand = dv.where(F.lit(False) if not probs else
+                    __import__("functools").reduce(lambda a, b: a | b, [
+                        ((F.col("_below") <= F.floor(F.lit(float(p)) * (F.col("_n") - 1)))
+                         & (F.floor(F.lit(float(p)) * (F.col("_n") - 1)) < F.col("_cum_c")))
+                        | ((F.col("_below") <= F.ceil(F.lit(float(p)) * (F.col("_n") - 1)))
+                           & (F.ceil(F.lit(float(p)) * (F.col("_n") - 1)) < F.col("_cum_c")))
+                        for p in probs]))
+    g = cand.groupBy(*group).agg(*aggs)
+    return g.select(*group, *[(F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+                              .alias(f"{name}_{i}") for i in range(len(probs))])

@@ -272,3 +272,21 @@ def test_grouped_concordance_matches_single(spark):
     got = {r.g: r.c_index for r in survival.concordance_index(df, "t", "s", "e", by=["g"], width=3.0).collect()}
     one = survival.concordance_index(spark.createDataFrame(pdf), "t", "s", "e").first().c_index
     assert math.isclose(got[0], one) and math.isclose(got[1], 1 - one)
+
+
+def test_exact_rank_and_quantiles_with_hot_group_and_ties(spark):
+    rng = np.random.default_rng(0)
+    n = 600
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, n), "x": np.round(rng.normal(size=n), 1), "id": np.arange(n)})
+    hot = pdf.g == 0
+    pdf.loc[hot, "x"] = np.where(rng.random(hot.sum()) < 0.6, 0.0, pdf.loc[hot, "x"])   # heavy tie
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.25, 0.5, 0.7, 1.0]
+    q = {r.g: r for r in relational.exact_quantiles(df, ["g"], "x", probs).collect()}
+    for g in range(3):
+        for i, p in enumerate(probs):
+            assert math.isclose(q[g][f"q_{i}"], np.quantile(pdf[pdf.g == g].x, p), abs_tol=1e-12)
+    r = relational.exact_rank(df, ["g"], "x", "id", "rk").toPandas()
+    exp = pdf.sort_values(["g", "x", "id"]).assign(e=lambda d: d.groupby("g").cumcount())
+    m = r.merge(exp[["id", "e"]], on="id")
+    assert (m.rk == m.e).all()
