@@ -1,11 +1,13 @@
 """Cox proportional hazards.
 
-Distributed Newton-Raphson with Efron ties. The rows are range-partitioned
-by duration (descending) once; every iteration is two Arrow passes: (1) the
-per-partition totals of w, w x, w x x' (w = exp(x beta)) -> P x (1+d+d^2)
-numbers on the driver, turned into risk-set offsets; (2) per partition, the
-per-duration sums, suffix sums plus offset (= risk-set sums), and the Efron
-tie terms -> partial log-likelihood, gradient and Hessian (d + d^2 numbers).
+Distributed Newton-Raphson with Efron ties. Every iteration: (A) each input
+partition sums w, w x, w x x' (w = exp(x beta)) per distinct duration, so a
+duration shared by many users is combined where it lies; the partial table
+is range-partitioned by duration (descending); (B) per-partition totals ->
+P x (1+d+d^2) numbers on the driver, turned into risk-set offsets; (C) per
+partition, merged per-duration sums, suffix sums plus offset (= risk-set
+sums) and the Efron tie terms -> partial log-likelihood, gradient and
+Hessian (d + d^2 numbers).
 The Newton step (d x d solve) runs on the driver.
 L2 penalty 0.5 * penalizer * n * |beta|^2."""
 
@@ -41,25 +43,49 @@ def _pairs(d):
     return [(k, l) for k in range(d) for l in range(k, d)]
 
 
-def _stats_by_time(pdf: pd.DataFrame, beta: np.ndarray, d: int):
-    """Per distinct duration (descending): sums of w, w x, w x x' over all
-    rows and over events, event counts, sum of x over events and of x.beta."""
+PARTIAL_SCHEMA = ("t double, r0 double, dd double, e0 double, exb double, r1 array<double>, e1 array<double>, "
+                  "xs array<double>, r2 array<double>, e2 array<double>")
+
+
+def _partial_kernel(beta: np.ndarray, d: int):
+    """Pass A (map-side combine): per input partition and distinct duration,
+    sums of w, w x, w x x' over all rows and over events (w = exp(x beta))."""
+    def kernel(it):
+        pdf = _partition_frame(it)
+        if len(pdf) == 0:
+            return
+        pdf = pdf.sort_values("t", kind="mergesort")
+        X = pdf[[f"x{k}" for k in range(d)]].to_numpy(dtype=float)
+        e = pdf["e"].to_numpy(dtype=float)
+        t = pdf["t"].to_numpy()
+        xb = X @ beta
+        w = np.exp(xb)
+        starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        WX = w[:, None] * X
+        WXX = (WX[:, :, None] * X[:, None, :]).reshape(len(X), d * d)
+
+        def red(a):
+            return np.add.reduceat(a, starts, axis=0)
+        out = pd.DataFrame({"t": t[starts], "r0": red(w), "dd": red(e), "e0": red(e * w), "exb": red(e * xb)})
+        for name, arr in (("r1", red(WX)), ("e1", red(e[:, None] * WX)), ("xs", red(e[:, None] * X)),
+                          ("r2", red(WXX)), ("e2", red(e[:, None] * WXX))):
+            out[name] = list(arr)
+        yield out
+    return kernel
+
+
+def _combine(pdf: pd.DataFrame, d: int):
+    """Merge partial rows of equal duration; arrays, longest duration first."""
     pdf = pdf.sort_values("t", ascending=False, kind="mergesort")
-    X = pdf[[f"x{k}" for k in range(d)]].to_numpy(dtype=float)
-    e = pdf["e"].to_numpy(dtype=float)
-    xb = X @ beta
-    w = np.exp(xb)
     t = pdf["t"].to_numpy()
     starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-    WX = w[:, None] * X
-    WXX = WX[:, :, None] * X[:, None, :]
 
-    def red(a):
+    def red(col, shape=None):
+        a = np.stack(pdf[col].to_numpy()) if shape else pdf[col].to_numpy(dtype=float)
         return np.add.reduceat(a, starts, axis=0)
-    return {
-        "r0": red(w), "r1": red(WX), "r2": red(WXX), "dd": red(e), "e0": red(e * w),
-        "e1": red(e[:, None] * WX), "e2": red(e[:, None, None] * WXX), "xs": red(e[:, None] * X), "exb": red(e * xb),
-    }
+    return {"r0": red("r0"), "dd": red("dd"), "e0": red("e0"), "exb": red("exb"),
+            "r1": red("r1", 1), "e1": red("e1", 1), "xs": red("xs", 1),
+            "r2": red("r2", 1).reshape(-1, d, d), "e2": red("e2", 1).reshape(-1, d, d)}
 
 
 def _partition_frame(it) -> pd.DataFrame:
@@ -67,7 +93,7 @@ def _partition_frame(it) -> pd.DataFrame:
     return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
 
 
-def _totals_kernel(beta: np.ndarray, d: int):
+def _totals_kernel(d: int):
     def kernel(it):
         from pyspark import TaskContext
         pdf = _partition_frame(it)
@@ -75,27 +101,25 @@ def _totals_kernel(beta: np.ndarray, d: int):
         if len(pdf) == 0:
             tot = np.zeros(1 + d + d * d)
         else:
-            X = pdf[[f"x{k}" for k in range(d)]].to_numpy(dtype=float)
-            w = np.exp(X @ beta)
-            WX = w[:, None] * X
-            tot = np.concatenate([[w.sum()], WX.sum(0), (WX.T @ X).ravel()])
+            tot = np.concatenate([[pdf["r0"].sum()], np.stack(pdf["r1"].to_numpy()).sum(0),
+                                  np.stack(pdf["r2"].to_numpy()).sum(0)])
         yield pd.DataFrame({"pid": [pid], "tot": [tot.tolist()]})
     return kernel
 
 
-def _efron_kernel(beta: np.ndarray, d: int, offsets: dict):
+def _efron_kernel(d: int, offsets: dict):
     def kernel(it):
         from pyspark import TaskContext
         pdf = _partition_frame(it)
         pid = TaskContext.get().partitionId()
         ll, g, H = 0.0, np.zeros(d), np.zeros((d, d))
         if len(pdf):
-            st = _stats_by_time(pdf, beta, d)
+            st = _combine(pdf, d)
             off = np.asarray(offsets.get(pid, np.zeros(1 + d + d * d)))
             S0 = np.cumsum(st["r0"]) + off[0]
             S1 = np.cumsum(st["r1"], axis=0) + off[1:1 + d]
             S2 = np.cumsum(st["r2"], axis=0) + off[1 + d:].reshape(d, d)
-            D = st["dd"].astype(int)
+            D = np.rint(st["dd"]).astype(int)
             ev = np.flatnonzero(D > 0)
             if len(ev):
                 rep = np.repeat(ev, D[ev])
@@ -111,16 +135,21 @@ def _efron_kernel(beta: np.ndarray, d: int, offsets: dict):
     return kernel
 
 
-def _evaluate(data: DataFrame, beta: np.ndarray, d: int):
-    """Two Arrow passes over the duration-range-partitioned rows."""
-    tots = data.mapInPandas(_totals_kernel(beta, d), "pid int, tot array<double>").collect()
+def _evaluate(data: DataFrame, beta: np.ndarray, d: int, parts: int):
+    """Pass A: per-(partition, duration) partial sums (a hot duration is
+    summed where it lies, like a map-side combine); the small partial table
+    is range-partitioned by duration; pass B: partition totals -> risk-set
+    offsets; pass C: local suffix sums + Efron terms."""
+    partial = data.mapInPandas(_partial_kernel(beta, d), PARTIAL_SCHEMA) \
+        .repartitionByRange(parts, F.desc("t")).persist()
+    tots = partial.mapInPandas(_totals_kernel(d), "pid int, tot array<double>").collect()
     tot = {r["pid"]: np.array(r["tot"]) for r in tots}
     offsets, run = {}, np.zeros(1 + d + d * d)
     for pid in sorted(tot):               # partition 0 holds the longest durations
         offsets[pid] = run.copy()
         run = run + tot[pid]
-    rows = data.mapInPandas(_efron_kernel(beta, d, offsets),
-                            "ll double, g array<double>, H array<double>").collect()
+    rows = partial.mapInPandas(_efron_kernel(d, offsets), "ll double, g array<double>, H array<double>").collect()
+    partial.unpersist()
     ll = sum(r["ll"] for r in rows)
     g = np.sum([np.array(r["g"]) for r in rows], axis=0)
     H = np.sum([np.array(r["H"]).reshape(d, d) for r in rows], axis=0)
@@ -134,7 +163,7 @@ def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", even
     parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     data = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("double").alias("e"),
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{k}") for k, c in enumerate(features)]) \
-        .repartitionByRange(parts, F.desc("t")).persist()
+        .persist()
     stats = data.agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ne"),
                      *[F.avg(f"x{k}").alias(f"m{k}") for k in range(d)]).first()
     n, ne = int(stats["n"]), int(stats["ne"] or 0)
@@ -142,7 +171,7 @@ def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", even
     pen = 0.5 * penalizer * n
 
     def penalised(beta):
-        ll, g, H = _evaluate(data, beta, d)
+        ll, g, H = _evaluate(data, beta, d, parts)
         return ll - pen * beta @ beta, g - 2 * pen * beta, H - 2 * pen * np.eye(d)
     beta = np.zeros(d)
     ll, g, H = penalised(beta)

@@ -209,7 +209,8 @@ def avg_rank(df: DataFrame, c: str, name: str, partition: list[str] | None = Non
 
 def qcut_labels(df: DataFrame, c: str, probs: list[float], labels: list[str], name: str) -> DataFrame:
     """``pd.qcut(s, q, labels)`` with right-closed bins on exact edges."""
-    edges = df.agg(quantile(c, probs).alias("_e"))
+    q = exact_quantiles(df, [], c, probs)
+    edges = q.select(F.array(*[F.col(f"q_{i}") for i in range(len(probs))]).alias("_e"))
     d = df.crossJoin(F.broadcast(edges))
     expr = None
     for i, lab in enumerate(labels[:-1]):
