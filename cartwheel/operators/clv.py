@@ -214,7 +214,7 @@ def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 60, h:
         x_new = x + step
         f1, g1, H1 = _derivatives(_evaluate(data, model, _points(x_new, h), penalizer), d, h)
         if np.isfinite(f1) and f1 <= f0:
-            converged = abs(f0 - f1) < tol * max(1.0, abs(f0)) and np.max(np.abs(step)) < 1e-5
+            converged = abs(f0 - f1) < tol * max(1.0, abs(f0))
             x, f0, g, H = x_new, f1, g1, H1
             hist.append(f0)
             lam = max(lam / 10, 1e-9)
