@@ -109,7 +109,7 @@ def permutation_importance(model, df: DataFrame, features: list[str], horizon_pe
     Spark job: a row takes the feature value of the row whose key-rank equals
     its hash-rank within (feature, repeat); the forest scores every copy and
     a grouped pair-free C-index scores every (feature, repeat)."""
-    from cartwheel.operators.relational import dense_rank_exact
+    from cartwheel.operators.relational import dense_rank_exact, exact_rank
     from cartwheel.operators.survival import concordance_index
     base_curves = forest_curves(model, df, features, horizon_periods, period_days, key)
     base_risk = forest_risk(base_curves, key).withColumn("neg_risk", -F.col("risk"))
@@ -121,8 +121,8 @@ def permutation_importance(model, df: DataFrame, features: list[str], horizon_pe
     perm = d.withColumn("_jr", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(r).alias("rep"))
                                                   for j, r in grid]))) \
         .select("*", "_jr.j", "_jr.rep").drop("_jr")
-    wh = Window.partitionBy("j", "rep").orderBy(F.xxhash64(F.col(key), F.col("j"), F.col("rep"), F.lit(seed)), key)
-    perm = perm.withColumn("_hpos", (F.row_number().over(wh) - 1).cast("long"))
+    perm = perm.withColumn("_hv", F.xxhash64(F.col(key), F.col("j"), F.col("rep"), F.lit(seed)).cast("double"))
+    perm = exact_rank(perm, ["j", "rep"], "_hv", key, "_hpos").drop("_hv", "_hpos_n")
     donor = d.select(F.col("_pos").alias("_hpos"), F.array(*[F.col(c).cast("double") for c in features]).alias("_dv"))
     perm = perm.join(donor, "_hpos")
     val = F.element_at(F.col("_dv"), F.col("j") + 1)

@@ -196,14 +196,21 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def _value_width(df: DataFrame, c: str, buckets: int = 4096) -> float:
+    r = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    lo, hi = float(r["lo"] or 0.0), float(r["hi"] or 0.0)
+    return max((hi - lo) / buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
+
+
 def avg_rank(df: DataFrame, c: str, name: str, partition: list[str] | None = None) -> DataFrame:
-    """Average rank with ties (1-based), computed on the distinct-value
-    aggregate so the ordered window runs over distinct values, not rows."""
+    """Average rank with ties (1-based) = rows below + (ties + 1) / 2,
+    from the distinct-value count table with bucketed running sums (no
+    window over all values)."""
     part = partition or []
     d = df.groupBy(*part, c).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy(c).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("_cum", F.sum("_n").over(w))
-    d = d.withColumn(name, F.col("_cum") - (F.col("_n") - 1) / 2.0).select(*part, c, name)
+    d = d.withColumn("_v", F.col(c).cast("double"))
+    d = running_sums(d, part, "_v", ["_n"], width=_value_width(d, "_v"), prefix="_cum")
+    d = d.withColumn(name, F.col("_cum_n") - (F.col("_n") - 1) / 2.0).select(*part, c, name)
     return df.join(d, part + [c], "left")
 
 
@@ -260,13 +267,31 @@ def interp_at(points: DataFrame, curve: DataFrame, key: list[str], x: str, t: st
     return u.where(F.col("_tag") == 1).select(*key, F.col("_x").alias(x), v.alias(name))
 
 
-def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v: str, name: str) -> DataFrame:
-    """``reindex(grid, method='ffill').fillna(0)`` of a step function."""
-    g = grid.select(*key, F.col(t), F.lit(None).cast("double").alias("_v"), F.lit(1).alias("_tag"))
-    s = steps.select(*key, F.col(t), F.col(v).cast("double").alias("_v"), F.lit(0).alias("_tag"))
-    w = Window.partitionBy(*key).orderBy(t, "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    u = g.unionByName(s).withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(w), F.lit(0.0)))
-    return u.where(F.col("_tag") == 1).select(*key, t, name)
+def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v: str, name: str,
+                  width: float | None = None) -> DataFrame:
+    """``reindex(grid, method='ffill').fillna(0)`` of a step function.
+
+    Bucketed like the as-of join: fill inside (key, t-bucket) windows, carry
+    the last step of earlier buckets from a per-(key, bucket) table."""
+    g = grid.select(*key, F.col(t).cast("double").alias("_t"), F.lit(None).cast("double").alias("_v"),
+                    F.lit(1).alias("_tag"))
+    s = steps.select(*key, F.col(t).cast("double").alias("_t"), F.col(v).cast("double").alias("_v"),
+                     F.lit(0).alias("_tag"))
+    u = g.unionByName(s)
+    wd = width or _value_width(u, "_t", 1024)
+    u = u.withColumn("_b", F.floor(F.col("_t") / F.lit(wd)).cast("long"))
+    w = Window.partitionBy(*key, "_b").orderBy("_t", "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
+    last = u.where(F.col("_tag") == 0).groupBy(*key, "_b").agg(F.max_by("_v", "_t").alias("_lastv"))
+    gb = u.where(F.col("_tag") == 1).select(*key, "_b").distinct().withColumn("_k", F.lit(1))
+    lb = last.withColumn("_k", F.lit(0))
+    wb = Window.partitionBy(*key).orderBy("_b", "_k").rowsBetween(Window.unboundedPreceding, -1)
+    carry = gb.unionByName(lb, allowMissingColumns=True) \
+        .withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wb)) \
+        .where(F.col("_k") == 1).select(*key, "_b", "_carry")
+    out = u.where(F.col("_tag") == 1).join(carry, key + ["_b"], "left")
+    return out.select(*key, F.col("_t").alias(t),
+                      F.coalesce(F.col("_in"), F.col("_carry"), F.lit(0.0)).alias(name))
 
 
 def linspace(spark, start: float, stop: float, num: int, name: str = "x") -> DataFrame:

@@ -290,3 +290,15 @@ def test_exact_rank_and_quantiles_with_hot_group_and_ties(spark):
     exp = pdf.sort_values(["g", "x", "id"]).assign(e=lambda d: d.groupby("g").cumcount())
     m = r.merge(exp[["id", "e"]], on="id")
     assert (m.rk == m.e).all()
+
+
+def test_ffill_on_grid_and_avg_rank(spark):
+    steps = spark.createDataFrame([(0.0, 1.0), (2.5, 0.8), (7.0, 0.5), (40.0, 0.1)], "t double, s double")
+    grid = spark.range(0, 60, 3).select(F.col("id").cast("double").alias("t"))
+    got = {r.t: r.v for r in relational.ffill_on_grid(grid, steps, [], "t", "s", "v", width=4.0).collect()}
+    ser = pd.Series([1.0, 0.8, 0.5, 0.1], index=[0.0, 2.5, 7.0, 40.0])
+    exp = ser.reindex(sorted(set(ser.index) | set(got)), method="ffill").fillna(0)
+    assert all(math.isclose(got[t], exp[t]) for t in got)
+    df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (5.0,), (5.0,)], "x double")
+    r = sorted((x.x, x.r) for x in relational.avg_rank(df, "x", "r").collect())
+    assert r == [(1.0, 1.0), (2.0, 2.5), (2.0, 2.5), (5.0, 5.0), (5.0, 5.0), (5.0, 5.0)]
