@@ -46,7 +46,11 @@ def round_doubles(df: DataFrame, digits: int = DIGITS, per_col: dict[str, int] |
     per_col = per_col or {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), per_col.get(f.name, digits)).alias(f.name))
+            # round(x * 10^d) / 10^d in floating point, half away from zero: the
+            # same arithmetic as the oracle's round(), so identical doubles round
+            # identically and 1-ulp noise around decimal ties is absorbed.
+            m = F.lit(float(10 ** per_col.get(f.name, digits)))
+            cols.append((F.round(F.col(f.name).cast("double") * m) / m).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
