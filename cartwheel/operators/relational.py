@@ -283,12 +283,14 @@ def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v:
     w = Window.partitionBy(*key, "_b").orderBy("_t", "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
     last = u.where(F.col("_tag") == 0).groupBy(*key, "_b").agg(F.max_by("_v", "_t").alias("_lastv"))
-    gb = u.where(F.col("_tag") == 1).select(*key, "_b").distinct().withColumn("_k", F.lit(1))
-    lb = last.withColumn("_k", F.lit(0))
-    wb = Window.partitionBy(*key).orderBy("_b", "_k").rowsBetween(Window.unboundedPreceding, -1)
+    # grid buckets sort before the same bucket's last step: carry = last step
+    # of strictly earlier buckets
+    gb = u.where(F.col("_tag") == 1).select(*key, "_b").distinct().withColumn("_k", F.lit(0))
+    lb = last.withColumn("_k", F.lit(1))
+    wb = Window.partitionBy(*key).orderBy("_b", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carry = gb.unionByName(lb, allowMissingColumns=True) \
         .withColumn("_carry", F.last("_lastv", ignorenulls=True).over(wb)) \
-        .where(F.col("_k") == 1).select(*key, "_b", "_carry")
+        .where(F.col("_k") == 0).select(*key, "_b", "_carry")
     out = u.where(F.col("_tag") == 1).join(carry, key + ["_b"], "left")
     return out.select(*key, F.col("_t").alias(t),
                       F.coalesce(F.col("_in"), F.col("_carry"), F.lit(0.0)).alias(name))
