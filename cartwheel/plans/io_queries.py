@@ -32,6 +32,27 @@ def q_s1csv(spark, d):
     return files.load_events_csv(spark, path)
 
 
+@register("s2_s4_property_csv_parts", with_ctes("props") + """
+SELECT itemid, "timestamp",
+       max_by(value, [ingest_seq % 2, ingest_seq]) FILTER (WHERE property = 'available') AS available,
+       max_by(value, [ingest_seq % 2, ingest_seq]) FILTER (WHERE property = 'categoryid') AS categoryid,
+       TRY_CAST(regexp_replace(max_by(value, [ingest_seq % 2, ingest_seq]) FILTER (WHERE property = '790'), '^n', '') AS DOUBLE) AS price
+FROM (SELECT * REPLACE (date_trunc('millisecond', "timestamp") AS "timestamp") FROM props)
+WHERE property IN ('790', 'categoryid', 'available') AND value IS NOT NULL
+GROUP BY itemid, "timestamp\"""",
+          doubles=["price"], ids="S2,S4,U1,F2")
+def q_s2csv(spark, d):
+    from cartwheel.operators import features as fe
+    log = fr.props(spark, d)
+    paths = []
+    for i, part in enumerate([log.where(F.col("ingest_seq") % 2 == 0), log.where(F.col("ingest_seq") % 2 == 1)]):
+        path = _io_dir(spark, d, f"item_properties_part{i + 1}")
+        raw = part.select(files.to_epoch_ms("timestamp").alias("timestamp"), "itemid", "property", "value")
+        files.write_table(raw, path, fmt="csv")
+        paths.append(path)
+    return fe.get_small_props(files.load_item_props_csv(spark, paths))
+
+
 @register("s3_typed_csv_reload", with_ctes("feats") + "SELECT * FROM feats",
           doubles=["prop_addtocart", "prop_tx", "events_per_active_day", "view_price", "addtocart_price",
                    "tx_price", "avg_inter_event_days"], ids="S3,S5,P14")
