@@ -161,7 +161,7 @@ _FITS: dict = {}
 def _fit(spark, d, holdout=HOLDOUT, future=FUTURE):
     """One fit per (session, data folder, horizon); the evaluation table is
     written once (reliable checkpoint) and shared by the reports."""
-    key = (id(spark), d, holdout, future)
+    key = (id(spark), spark.sparkContext.applicationId, d, holdout, future)
     if key not in _FITS:
         ev, fits, metrics = clv.fit_and_predict(_tx_money(spark, d), holdout_days=holdout, future_days=future)
         _FITS[key] = (stage(ev), fits, metrics)

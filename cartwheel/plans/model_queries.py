@@ -19,6 +19,11 @@ COX_PENALIZER = 0.1
 _MEMO: dict = {}
 
 
+def sid(spark) -> tuple:
+    """Session identity for memo keys (object id alone can be reused)."""
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def memo(key, build):
     if key not in _MEMO:
         _MEMO[key] = build()
@@ -34,12 +39,12 @@ def scaled_split(spark, d):
         tr = stage(sv.standardize(train, train, FEATURES))
         te = stage(sv.standardize(train, test, FEATURES))
         return tr, te
-    return memo(("split", id(spark), d), build)
+    return memo(("split", sid(spark), d), build)
 
 
 def cox_fit(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("cox", id(spark), d), lambda: cox.fit_cox(tr, FEATURES, penalizer=COX_PENALIZER))
+    return memo(("cox", sid(spark), d), lambda: cox.fit_cox(tr, FEATURES, penalizer=COX_PENALIZER))
 
 
 def cox_baseline(spark, d):
@@ -122,16 +127,16 @@ FOREST_PERIOD_DAYS = 30.0
 
 
 def _cluster_input(spark, d):
-    return memo(("cf", id(spark), d), lambda: stage(rf.cluster_features(fr.rfm_b(spark, d))))
+    return memo(("cf", sid(spark), d), lambda: stage(rf.cluster_features(fr.rfm_b(spark, d))))
 
 
 def _segmentation(spark, d, model):
-    return memo(("seg", model, id(spark), d), lambda: cl.segment(_cluster_input(spark, d), model=model))
+    return memo(("seg", model, sid(spark), d), lambda: cl.segment(_cluster_input(spark, d), model=model))
 
 
 @register("g4_model_comparison", ids="G4,G8")
 def q_g4(spark, d):
-    return memo(("cmp", id(spark), d), lambda: stage(cl.compare_models(_cluster_input(spark, d))))
+    return memo(("cmp", sid(spark), d), lambda: stage(cl.compare_models(_cluster_input(spark, d))))
 
 
 @register("g4_comparison_pivot", ids="G4")
@@ -164,7 +169,7 @@ def q_g9m(spark, d):
 # ------------------------------------------------------- churn classifier
 def _gbt(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("gbt", id(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event", max_iter=GBT_ROUNDS_REGISTERED))
+    return memo(("gbt", sid(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event", max_iter=GBT_ROUNDS_REGISTERED))
 
 
 def _gbt_pred(spark, d):
@@ -193,9 +198,9 @@ def _forest(spark, d, refit=False):
     tr, te = scaled_split(spark, d)
     if refit:
         allu = stage(tr.unionByName(te))
-        return memo(("rsf_all", id(spark), d), lambda: (cm.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
+        return memo(("rsf_all", sid(spark), d), lambda: (cm.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
                                                                       min_leaf=cm.FOREST_MIN_LEAF_REFIT), allu))
-    return memo(("rsf", id(spark), d), lambda: cm.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
+    return memo(("rsf", sid(spark), d), lambda: cm.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
 
 
 def _horizon(spark, d):
@@ -253,7 +258,7 @@ from cartwheel.operators import iforest  # noqa: E402
 
 
 def _model_flags(spark, d):
-    return memo(("iso", id(spark), d), lambda: stage(iforest.model_based_flags(fr.rules(spark, d))))
+    return memo(("iso", sid(spark), d), lambda: stage(iforest.model_based_flags(fr.rules(spark, d))))
 
 
 @register("f9_model_flags", ids="F9")
