@@ -302,3 +302,28 @@ def test_ffill_on_grid_and_avg_rank(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (5.0,), (5.0,), (5.0,)], "x double")
     r = sorted((x.x, x.r) for x in relational.avg_rank(df, "x", "r").collect())
     assert r == [(1.0, 1.0), (2.0, 2.5), (2.0, 2.5), (5.0, 5.0), (5.0, 5.0), (5.0, 5.0)]
+
+
+def test_gamma_gamma_parameter_recovery(spark):
+    rng = np.random.default_rng(4)
+    n, p, q, g = 3000, 6.0, 4.0, 15.0
+    nu = rng.gamma(q, 1.0 / g, n)
+    x = rng.integers(1, 12, n)
+    m = np.array([rng.gamma(p, 1.0 / nu[i], x[i]).mean() for i in range(n)])
+    df = spark.createDataFrame(pd.DataFrame({"frequency": x, "monetary_value": m}))
+    res = clv.fit(df, "gamma_gamma", 0.0)
+    assert abs(res.params["p"] - p) / p < 0.25 and abs(res.params["q"] - q) / q < 0.35
+
+
+def test_isolation_forest_ranks_outlier_first(spark):
+    from cartwheel.operators import iforest
+    rng = np.random.default_rng(9)
+    n = 400
+    pdf = pd.DataFrame({"visitorid": np.arange(n), "events_7d": rng.normal(10, 2, n), "events_30d": rng.normal(40, 5, n),
+                        "prop_addtocart": rng.uniform(0, 0.2, n), "prop_tx": rng.uniform(0, 0.1, n),
+                        "events_per_active_day": rng.normal(5, 1, n)})
+    pdf.loc[0, ["events_7d", "events_30d", "events_per_active_day"]] = [500.0, 2000.0, 300.0]
+    out = iforest.model_based_flags(spark.createDataFrame(pdf), n_estimators=50).toPandas()
+    top = out.sort_values("iso_score").iloc[0]
+    assert top.visitorid == 0 and top.iso_flag == 1 and top.iso_score_norm == 1.0
+    assert out.iso_flag.sum() == 1
