@@ -35,7 +35,7 @@ register_cte("splitted", ["user_data"], """
   FROM (SELECT *, ('0x' || substr(md5(CAST(visitorid AS VARCHAR) || ':42'), 1, 8))::BIGINT AS h,
                count(*) OVER (PARTITION BY churned) AS n FROM user_data)""")
 register_cte("test_scored", ["splitted"], """
-  SELECT *, 0.1 * events_per_active_day + 0.01 * recency_days - 0.001 * tenure_days AS risk_score
+  SELECT *, 0.1::DOUBLE * events_per_active_day + 0.01::DOUBLE * recency_days - 0.001::DOUBLE * tenure_days AS risk_score
   FROM splitted WHERE split = 'test'""")
 
 
