@@ -25,8 +25,8 @@ def _grid_sql() -> str:
 
 register_cte("policy_users", ["users_pipeline"], """
   SELECT *, total_tx / greatest(tenure_days, 1) * 30.0 AS pred_no_purchase, tx_price AS pred_money_each_purchase,
-         1.0 / (1.0 + recency_days / 180.0) AS survival_prob,
-         total_tx / greatest(tenure_days, 1) * 30.0 * tx_price * (1.0 / (1.0 + recency_days / 180.0)) AS baseline_clv
+         1.0 / (1.0 + recency_days / 180.0::DOUBLE) AS survival_prob,
+         total_tx / greatest(tenure_days, 1) * 30.0 * tx_price * (1.0 / (1.0 + recency_days / 180.0::DOUBLE)) AS baseline_clv
   FROM users_pipeline""")
 register_cte("seg_params", ["policy_users"], """
   SELECT business_label, churn_risk, purchase_freq, clv,
