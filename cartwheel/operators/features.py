@@ -183,9 +183,12 @@ def build_user_features(events: DataFrame, cutoff_time=None) -> DataFrame:
 
 # ----------------------------------------------------------------------- F6
 def add_rate_features(events: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Per-event rate features in (visitorid, timestamp, itemid) order."""
+    """Per-event rate features in (visitorid, timestamp, itemid) order.
+    ``bucket`` (the lag's time bucket) must be a minute or coarser."""
+    if bucket not in ("minute", "hour", "day", "week", "month", "quarter", "year"):
+        raise ValueError("bucket must be a minute or coarser")
     d = bucketed_lag(events, "visitorid", "timestamp", ["itemid"], ["itemid"], bucket=bucket,
-                     prefix="prev_")
+                     prefix="prev_", keep_bucket="_hour")
     d = d.withColumnRenamed("prev_timestamp", "prev_ts")
     d = d.withColumn("delta_s", total_seconds("prev_ts", "timestamp")) \
         .withColumn("very_fast", F.coalesce((F.col("delta_s") <= 1).cast("int"), F.lit(0))) \
@@ -193,8 +196,10 @@ def add_rate_features(events: DataFrame, bucket: str = "hour") -> DataFrame:
                                                    F.lit(0))) \
         .withColumnRenamed("prev_itemid", "prev_item") \
         .withColumn("minute", F.date_trunc("minute", "timestamp"))
-    w = Window.partitionBy("visitorid", "minute")
-    return d.withColumn("events_per_minute", F.count(F.lit(1)).over(w))
+    # a minute lies inside one lag bucket, so (visitor, bucket, minute) groups
+    # the same rows as (visitor, minute) and reuses the lag's partitioning
+    w = Window.partitionBy("visitorid", "_hour", "minute")
+    return d.withColumn("events_per_minute", F.count(F.lit(1)).over(w)).drop("_hour")
 
 
 # ----------------------------------------------------------------------- F7

@@ -67,13 +67,15 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on
 
 # ---------------------------------------------------------- bucketed lag
 def bucketed_lag(df: DataFrame, key: str, ts: str, order_cols: list[str], lag_cols: list[str],
-                 bucket: str = "hour", prefix: str = "prev_") -> DataFrame:
+                 bucket: str = "hour", prefix: str = "prev_", keep_bucket: str | None = None) -> DataFrame:
     """``groupby(key)[c].shift(1)`` in (ts, *order_cols) order, skew-safe.
 
     Rows are ordered inside (key, time bucket); the first row of each bucket
     takes the last row of the key's previous non-empty bucket from a small
     per-(key, bucket) table whose window per key is bounded by the number of
-    buckets. Adds ``prefix + c`` for every c in ``lag_cols`` (and for ``ts``)."""
+    buckets. Adds ``prefix + c`` for every c in ``lag_cols`` (and for ``ts``);
+    ``keep_bucket`` keeps the bucket column under that name so a following
+    window keyed by (key, bucket, ...) reuses the same shuffle."""
     cols = [ts] + [c for c in lag_cols if c != ts]
     okey = F.struct(*[F.col(c) for c in [ts] + order_cols])
     payload = F.struct(*[F.col(c) for c in cols])
@@ -86,9 +88,9 @@ def bucketed_lag(df: DataFrame, key: str, ts: str, order_cols: list[str], lag_co
         .select(key, "_lg_b", "_lg_carry")
     d = d.join(carry, [key, "_lg_b"], "left") \
         .withColumn("_lg_prev", F.coalesce("_lg_prev", "_lg_carry"))
-    for c in cols:
-        d = d.withColumn(prefix + c, F.col("_lg_prev")[c])
-    return d.drop("_lg_b", "_lg_prev", "_lg_carry")
+    d = d.select("*", *[F.col("_lg_prev")[c].alias(prefix + c) for c in cols]).drop("_lg_prev", "_lg_carry")
+    # keep_bucket: expose the (key, bucket) hash partitioning to later windows
+    return d.withColumnRenamed("_lg_b", keep_bucket) if keep_bucket else d.drop("_lg_b")
 
 
 # ------------------------------------------------------------- aggregates
