@@ -360,15 +360,13 @@ def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: st
 
 
 def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame:
-    """Exact 0-based dense rank of the distinct values of ``c``: a range-
-    partitioned sort plus per-partition offsets (``zipWithIndex``), so no
-    single task sees all values."""
-    spark = values.sparkSession
-    d = values.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
-    rdd = d.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1]))
-    from pyspark.sql import types as T
-    schema = T.StructType(list(d.schema.fields) + [T.StructField(name, T.LongType())])
-    return spark.createDataFrame(rdd, schema)
+    """Exact 0-based dense rank of the distinct values of ``c``: a bucketed
+    running count over the distinct-value table (windows per value bucket
+    plus a small bucket-total table), so no single task sees all values."""
+    d = values.select(F.col(c)).where(F.col(c).isNotNull()).distinct() \
+        .withColumn("_v", F.col(c).cast("double")).withColumn("_one", F.lit(1))
+    r = running_sums(d, [], "_v", ["_one"], width=_value_width(d, "_v"), ties=[c], prefix="_cum")
+    return r.select(c, (F.col("_cum_one") - 1).cast("long").alias(name))
 
 
 # ------------------------------------------------- exact ranks, hot-group safe
