@@ -31,14 +31,21 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 MAX_PARALLEL_FITS = 8
 
 
+def _kmeans_once(df: DataFrame, k: int, seed: int, max_iter: int = 300, tol: float = 1e-4):
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(df)
+
+
+def _best_restart(models: list):
+    """Lowest training cost; ties go to the earliest restart."""
+    return min(enumerate(models), key=lambda im: (im[1].summary.trainingCost, im[0]))[1]
+
+
 def fit_kmeans(df: DataFrame, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4):
     """Best of ``n_init`` seeded restarts; the independent fits run as
     concurrent Spark jobs."""
-    def one(i):
-        return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(df)
     with ThreadPoolExecutor(max_workers=min(n_init, MAX_PARALLEL_FITS)) as ex:
-        models = list(ex.map(one, range(n_init)))
-    return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
+        models = list(ex.map(lambda i: _kmeans_once(df, k, seed + i, max_iter, tol), range(n_init)))
+    return _best_restart(models)
 
 
 def fit_gmm(df: DataFrame, k: int, seed: int = 42, max_iter: int = 100, tol: float = 1e-3):
@@ -63,11 +70,18 @@ def compare_models(df: DataFrame, cols: list[str] | None = None, k_range=K_RANGE
     x = standardize(df, df, cols) if scale else df
     x = assemble(x, cols).select("features").persist()
 
+    ks = list(k_range)
+
     def gmm_row(k):
         return ("GMM", k, silhouette(fit_gmm(x, k, seed).transform(x)))
-    rows = [("KMeans", k, silhouette(fit_kmeans(x, k, seed, n_init).transform(x))) for k in k_range]
+    # every (k, restart) fit and every GMM fit goes into one pool, so no k
+    # waits on the last restarts of the previous one
     with ThreadPoolExecutor(max_workers=MAX_PARALLEL_FITS) as ex:
-        rows += list(ex.map(gmm_row, list(k_range)))
+        km = {(k, i): ex.submit(_kmeans_once, x, k, seed + i) for k in ks for i in range(n_init)}
+        gm = [ex.submit(gmm_row, k) for k in ks]
+        best = {k: _best_restart([km[(k, i)].result() for i in range(n_init)]) for k in ks}
+        sil = {k: ex.submit(silhouette, best[k].transform(x)) for k in ks}
+        rows = [("KMeans", k, sil[k].result()) for k in ks] + [f.result() for f in gm]
     x.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, k int, silhouette double")
 
