@@ -110,6 +110,7 @@ def permutation_importance(model, df: DataFrame, features: list[str], horizon_pe
     its hash-rank within (feature, repeat); the forest scores every copy and
     a grouped pair-free C-index scores every (feature, repeat)."""
     from cartwheel.operators.relational import dense_rank_exact, exact_rank
+    from cartwheel.session import stage
     from cartwheel.operators.survival import concordance_index
     base_curves = forest_curves(model, df, features, horizon_periods, period_days, key)
     base_risk = forest_risk(base_curves, key).withColumn("neg_risk", -F.col("risk"))
@@ -126,9 +127,10 @@ def permutation_importance(model, df: DataFrame, features: list[str], horizon_pe
     donor = d.select(F.col("_pos").alias("_hpos"), F.array(*[F.col(c).cast("double") for c in features]).alias("_dv"))
     perm = perm.join(donor, "_hpos")
     val = F.element_at(F.col("_dv"), F.col("j") + 1)
-    perm = perm.select(key, "j", "rep", duration, event,
-                       *[F.when(F.col("j") == i, val).otherwise(F.col(c).cast("double")).alias(c)
-                         for i, c in enumerate(features)])
+    # both the forest scoring and the C-index read the permuted copies: stage once
+    perm = stage(perm.select(key, "j", "rep", duration, event,
+                             *[F.when(F.col("j") == i, val).otherwise(F.col(c).cast("double")).alias(c)
+                               for i, c in enumerate(features)]))
     curves = forest_curves(model, perm, features, horizon_periods, period_days, [key, "j", "rep"])
     risk = forest_risk(curves, [key, "j", "rep"]).withColumn("neg_risk", -F.col("risk"))
     scored = perm.select(key, "j", "rep", duration, event).join(risk, [key, "j", "rep"])
