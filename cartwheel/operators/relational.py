@@ -359,12 +359,34 @@ def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: st
     return q.select(*keys, *qid, (F.col("_run") + F.col("_above")).alias("cnt"))
 
 
+def _dense_rank_by_range(d: DataFrame, c: str, name: str) -> DataFrame:
+    """Rank of distinct values via ``repartitionByRange``: partition p holds
+    a contiguous, sample-balanced value range, so rank = (rows of the earlier
+    partitions) + row number inside p. Partition ids are pinned by a reliable
+    checkpoint so counts and rows come from the same split; the offset table
+    has one row per partition."""
+    from cartwheel.session import stage
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = stage(d.repartitionByRange(parts, c).withColumn("_p", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    off = r.groupBy("_p").agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    within = Window.partitionBy("_p").orderBy(c)
+    return r.join(F.broadcast(off.select("_p", "_off")), "_p") \
+        .select(c, (F.col("_off") + F.row_number().over(within) - 1).cast("long").alias(name))
+
+
 def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame:
     """Exact 0-based dense rank of the distinct values of ``c``: a bucketed
     running count over the distinct-value table (windows per value bucket
-    plus a small bucket-total table), so no single task sees all values."""
-    d = values.select(F.col(c)).where(F.col(c).isNotNull()).distinct() \
-        .withColumn("_v", F.col(c).cast("double")).withColumn("_one", F.lit(1))
+    plus a small bucket-total table), so no single task sees all values.
+    Non-numeric columns (no order-preserving double key) are ranked over
+    range partitions of the distinct values instead."""
+    from pyspark.sql import types as T
+    d = values.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
+    if not isinstance(values.schema[c].dataType, T.NumericType):
+        return _dense_rank_by_range(d, c, name)
+    d = d.withColumn("_v", F.col(c).cast("double")).withColumn("_one", F.lit(1))
     r = running_sums(d, [], "_v", ["_one"], width=_value_width(d, "_v"), ties=[c], prefix="_cum")
     return r.select(c, (F.col("_cum_one") - 1).cast("long").alias(name))
 

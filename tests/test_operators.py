@@ -327,3 +327,15 @@ def test_isolation_forest_ranks_outlier_first(spark):
     top = out.sort_values("iso_score").iloc[0]
     assert top.visitorid == 0 and top.iso_flag == 1 and top.iso_score_norm == 1.0
     assert out.iso_flag.sum() == 1
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "string"])
+def test_dense_rank_exact_matches_brute_force(spark, kind):
+    from cartwheel.operators.relational import dense_rank_exact
+    raw = [int(v) for v in np.random.default_rng(7).integers(-50, 51, 400)] + [None, None]
+    vals = [None if v is None else (v if kind == "long" else v / 4 if kind == "double" else f"k{v:+04d}")
+            for v in raw]
+    df = spark.createDataFrame([(v,) for v in vals], f"c {kind}")
+    got = {r["c"]: r["rank"] for r in dense_rank_exact(df, "c").collect()}
+    expect = {v: i for i, v in enumerate(sorted({v for v in vals if v is not None}))}
+    assert got == expect
