@@ -79,4 +79,24 @@ SELECT conv_id, count(*) AS n_turns,
 FROM log GROUP BY conv_id
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_chat_format": OP8}
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{A_TO_Z_UPPER}', '{A_TO_Z_LOWER}'), " \
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP6 = f"""
+WITH items AS (SELECT item_id::VARCHAR AS item_id, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS win, least(len(w), 10) AS size
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+grams AS (SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS win
+          FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, s, size, item_id FROM grams JOIN windows USING (win, size)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY doc_id),
+who AS (SELECT doc_id, list_sort(list(DISTINCT item_id)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN who USING (doc_id)
+"""
+
+ORACLES = {"op6_decontaminate": OP6, "op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_chat_format": OP8}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat_format, line_dedup, pfair_mix
+from cartwheel.llm import chat_format, decontaminate, line_dedup, pfair_mix
 from cartwheel.sources.tables import read_table
 
 # Target shares of the mix; every other source shares the class "(other)".
@@ -28,6 +28,14 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "mix_class", "mix_phase", "mix_slot", "mix_position")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 # A conversation whose texts consist of control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -47,4 +55,4 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_mix_sources, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format)}
