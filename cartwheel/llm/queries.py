@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat_format, decontaminate, line_dedup, pfair_mix
+from cartwheel.llm import chat_format, decontaminate, line_dedup, ngram_join, pfair_mix
 from cartwheel.sources.tables import read_table
 
 # Target shares of the mix; every other source shares the class "(other)".
@@ -15,6 +15,10 @@ MIX_OTHER_SHARE = 13
 MIX_BLOCK_ROWS = 16
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_ngrams(read_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.dedup_lines(docs, min_docs=10, min_chars=1)
@@ -55,4 +59,4 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format)}
+QUERIES = {f.__name__: f for f in (op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format)}
