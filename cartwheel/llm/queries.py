@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat_format, decontaminate, line_dedup, ngram_join, pfair_mix
+from cartwheel.llm import chat_format, decontaminate, line_dedup, ngram_join, pfair_mix, quality, toxicity
+from cartwheel.llm.common import is_held_out
 from cartwheel.sources.tables import read_table
 
 # Target shares of the mix; every other source shares the class "(other)".
@@ -15,6 +16,14 @@ MIX_OTHER_SHARE = 13
 MIX_BLOCK_ROWS = 16
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train_model(docs, read_table(spark, sf_dir, "labels"), "quality")
+    return quality.score_quality(docs, model).select(
+        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(read_table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -59,4 +68,14 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_model(docs, read_table(spark, sf_dir, "labels"), "toxic")
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format,
+    op9_toxicity)}

@@ -70,14 +70,24 @@ _FOLD[0x41:0x5B] += 0x20
 
 @dataclass
 class Words:
-    """Words of a piece: folded bytes, byte spans, hashes, and for each text the
-    range of its words (``bounds[i]:bounds[i + 1]``)."""
+    """Words of a piece: raw and folded bytes, byte spans, hashes of the folded
+    words, and for each text the range of its words (``bounds[i]:bounds[i + 1]``)."""
+    raw: np.ndarray
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     hashes: np.ndarray
     bounds: np.ndarray
 
+    def texts(self) -> np.ndarray:
+        """Number of the text that each word is in."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+
+    def heads(self, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of each folded word (the whole
+        word where it is shorter)."""
+        return _word_hashes(self.data, self.starts, np.minimum(self.starts + size, self.ends), _Powers())
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
@@ -106,7 +116,8 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers:
 
 def split_words(texts: list[bytes], sep: np.ndarray, powers: _Powers) -> Words:
     joined = b" ".join(texts) + b" "
-    data = _FOLD[np.frombuffer(joined, np.uint8)]
+    raw = np.frombuffer(joined, np.uint8)
+    data = _FOLD[raw]
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     gap = np.empty(len(data) + 1, bool)
     gap[0] = True
@@ -115,7 +126,7 @@ def split_words(texts: list[bytes], sep: np.ndarray, powers: _Powers) -> Words:
     starts, ends = edges[0::2], edges[1::2]
     text_end = np.cumsum(lengths)
     bounds = np.concatenate([[0], np.searchsorted(starts, text_end)])
-    return Words(data, starts, ends, _word_hashes(data, starts, ends, powers), bounds)
+    return Words(raw, data, starts, ends, _word_hashes(data, starts, ends, powers), bounds)
 
 
 def pieces(texts: Iterable[str | None], sep: np.ndarray) -> Iterator[tuple[int, int, Words]]:
