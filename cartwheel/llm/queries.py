@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat_format, decontaminate, line_dedup, ngram_join, pfair_mix, quality, toxicity
+from cartwheel.llm import chat_format, decontaminate, kmeans_tree, line_dedup, ngram_join, pfair_mix, quality, toxicity
 from cartwheel.llm.common import is_held_out
 from cartwheel.sources.tables import read_table
 
@@ -76,6 +76,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format,
-    op9_toxicity)}
+    op9_toxicity, op10_nearest)}
