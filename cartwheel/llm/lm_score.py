@@ -1,0 +1,166 @@
+"""Language-model scoring by cross-entropy difference.
+
+A target model (documents that meet a condition) and a background model (all
+documents) are 4-gram models over one shared vocabulary of 64 symbols: folded
+letters, common punctuation, and classes of the other bytes, with a boundary
+symbol before each text. Both use the same Dirichlet-interpolated estimate down
+to a uniform base, and background counts are scaled to the target's mass, so the
+models are matched in vocabulary, order, smoothing and amount of evidence. A
+document's score is the mean over its symbols of target loss minus background
+loss in nats: the lower, the more like the target.
+
+Counting covers every symbol of every document: tasks add up their own counts,
+Spark sums them by 4-gram, and the probabilities are computed by grouping and
+joining the count tables. The table of loss differences sent to the scoring
+tasks has at most 64^4 entries, whatever the corpus; as every scored 4-gram has
+been counted, no look-up can fail.
+
+Defined results: null or empty text has no symbols and scores 0; if no document
+is a target, or there are no symbols at all, every score is 0; a null condition
+is false; repeated rows count and score each; input columns named like an added
+column are replaced; an empty table gives an empty table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartwheel.llm.common import staged, without
+from cartwheel.llm.textkit import encode
+
+ADDED = ("n_tokens", "score")
+SYMBOL_BITS, ORDER = 6, 4
+SYMBOLS = 1 << SYMBOL_BITS
+GRAMS = SYMBOLS ** ORDER
+BOUNDARY = SYMBOLS - 1
+PRIOR = 4.0
+PIECE = 1 << 20
+_PAD = b"\xff" * (ORDER - 1)  # no byte of UTF-8
+
+
+def symbol_table() -> np.ndarray:
+    """Symbol of each byte: 0-25 letters, 26 digits, 27 space, 28 newline,
+    29-44 punctuation, 45 other printable, 46 control, 47-54 lead bytes,
+    55-62 trail bytes, 63 boundary."""
+    t = np.full(256, 46, np.int32)
+    for b in range(0x21, 0x7F):
+        t[b] = 45
+    for i in range(26):
+        t[0x41 + i] = t[0x61 + i] = i
+    t[0x30:0x3A] = 26
+    t[[0x20, 0x09]] = 27
+    t[[0x0A, 0x0D]] = 28
+    for i, ch in enumerate(b".,;:!?'\"-()/%$&*"):
+        t[ch] = 29 + i
+    t[0x80:0xC0] = 55 + (np.arange(64) >> 3)
+    lead = [(0xC2, 47), (0xC3, 48), (0xC4, 49), (0xC6, 50), (0xCE, 51), (0xD0, 52), (0xE0, 53), (0xF0, 54)]
+    for (lo, s), hi in zip(lead, [b for b, _ in lead[1:]] + [0xFF]):
+        t[lo:hi] = s
+    t[0xFF] = BOUNDARY
+    return t
+
+
+SYMBOL = symbol_table()
+
+
+def text_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """4-grams of all symbols of the texts in order, and symbols per text."""
+    s = SYMBOL[np.frombuffer(_PAD.join([b"", *texts]) if texts else b"", np.uint8)]
+    g = s[ORDER - 1:].copy()
+    for k in range(1, ORDER):
+        g |= s[ORDER - 1 - k:len(s) - k] << (SYMBOL_BITS * k)
+    return g[s[ORDER - 1:] != BOUNDARY], np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def _pieces(texts) -> Iterator[tuple[int, int, list[bytes]]]:
+    batch, size, first = [], 0, 0
+    for t in texts:
+        b = encode(t)
+        if batch and size + len(b) > PIECE:
+            yield first, first + len(batch), batch
+            first, batch, size = first + len(batch), [], 0
+        batch.append(b)
+        size += len(b)
+    if batch:
+        yield first, first + len(batch), batch
+
+
+def count_grams(docs: DataFrame, is_target: Column, text_col: str = "text") -> DataFrame:
+    """``gram, target, background``: occurrences over all documents."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        every, wanted = np.zeros(GRAMS, np.uint32), np.zeros(GRAMS, np.uint32)
+        for pdf in batches:
+            flags = pdf["flag"].to_numpy(bool)
+            for first, last, texts in _pieces(pdf["text"]):
+                grams, sizes = text_grams(texts)
+                np.add.at(every, grams, 1)
+                np.add.at(wanted, grams[np.repeat(flags[first:last], sizes)], 1)
+        seen = np.flatnonzero(every)
+        for a in range(0, len(seen), 1 << 18):
+            part = seen[a:a + (1 << 18)]
+            yield pd.DataFrame({"gram": part.astype(np.int32), "target": wanted[part].astype(np.int64),
+                                "background": every[part].astype(np.int64)})
+
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(is_target, F.lit(False)).alias("flag"))
+    return rows.mapInPandas(count, "gram int, target long, background long") \
+        .groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def loss_differences(grams: DataFrame, target_mass: float, background_mass: float, prior: float = PRIOR) -> DataFrame:
+    """``gram, delta``: target loss minus background loss of each counted gram."""
+    scale = target_mass / background_mass
+    counts = grams.select("gram", F.col("target").cast("double").alias("t"), (F.col("background") * scale).alias("b"))
+    lower = None
+    for n in range(1, ORDER + 1):
+        mask = SYMBOLS ** n - 1
+        level = counts.groupBy(F.col("gram").bitwiseAND(mask).alias("g")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+        if n == 1:  # at most 64 rows
+            level = level.withColumns({"ct": F.lit(target_mass), "cb": F.lit(target_mass),
+                                       "pt": F.lit(1.0 / SYMBOLS), "pb": F.lit(1.0 / SYMBOLS)})
+        else:
+            context = Window.partitionBy(F.shiftright("g", SYMBOL_BITS))  # at most 64 rows each
+            level = level.withColumns({"ct": F.sum("t").over(context), "cb": F.sum("b").over(context)})
+            level = level.join(lower, F.col("g").bitwiseAND(mask >> SYMBOL_BITS) == F.col("low"))
+        lower = level.select(F.col("g").alias("low"),
+                             ((F.col("t") + prior * F.col("pt")) / (F.col("ct") + prior)).alias("pt"),
+                             ((F.col("b") + prior * F.col("pb")) / (F.col("cb") + prior)).alias("pb"))
+    return lower.select(F.col("low").alias("gram"), (F.log("pb") - F.log("pt")).cast("float").alias("delta"))
+
+
+def score_documents(docs: DataFrame, is_target: Column, text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs`` plus ``n_tokens`` and ``score``."""
+    sc = docs.sparkSession.sparkContext
+    grams = staged(count_grams(docs, is_target, text_col), "gram-counts")
+    mass = grams.agg(F.sum("target"), F.sum("background")).first()
+    if mass[0]:
+        table = loss_differences(grams, float(mass[0]), float(mass[1])).toPandas()  # at most 64^4 rows
+        model_b = sc.broadcast((table["gram"].to_numpy(np.int32), table["delta"].to_numpy(np.float32)))
+    else:
+        model_b = sc.broadcast((np.zeros(0, np.int32), np.zeros(0, np.float32)))
+
+    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
+
+    @F.pandas_udf(kind)
+    def score(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        delta = np.zeros(GRAMS, np.float32)
+        at, values = model_b.value
+        delta[at] = values
+        for texts in series:
+            n_tokens, scores = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+            for first, last, batch in _pieces(texts):
+                g, sizes = text_grams(batch)
+                sums = np.concatenate([[0.0], np.cumsum(delta[g], dtype=np.float64)])
+                ends = np.cumsum(sizes)
+                n_tokens[first:last] = sizes
+                scores[first:last] = (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
+            yield pd.DataFrame({"n_tokens": n_tokens, "score": scores})
+
+    scored = docs.select(*without(docs, ADDED), score(F.col(text_col).cast("string")).alias("_lm"))
+    return scored.select(*[f"`{c}`" for c in scored.columns if c != "_lm"],
+                         F.col("_lm.n_tokens").alias("n_tokens"), F.col("_lm.score").alias("score"))

@@ -6,7 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import chat_format, decontaminate, kmeans_tree, line_dedup, ngram_join, pfair_mix, quality, toxicity
+from cartwheel.llm import (
+    chat_format,
+    decontaminate,
+    html_extract,
+    kmeans_tree,
+    line_dedup,
+    lm_score,
+    ngram_join,
+    pfair_mix,
+    quality,
+    toxicity,
+)
 from cartwheel.llm.common import is_held_out
 from cartwheel.sources.tables import read_table
 
@@ -24,6 +35,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+# The target of the language-model scores: documents of this language.
+LM_TARGET_LANG = "en"
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return lm_score.score_documents(docs, F.col("lang") == LM_TARGET_LANG).select("doc_id", "n_tokens", "score")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_ngrams(read_table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -49,6 +69,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = html_extract.extract_main_text(pages)
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 # A conversation whose texts consist of control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -81,5 +107,5 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate, op8_chat_format,
-    op9_toxicity, op10_nearest)}
+    op1_quality, op2_lm_score, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate,
+    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest)}
