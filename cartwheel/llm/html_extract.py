@@ -61,6 +61,7 @@ BOILERPLATE_WORDS = frozenset(
     "subscribe subscription signup share sharing social related recommended recommendations comment comments "
     "commentlist discussion disqus respond replies reply widget widgets toolbar login pagination pager copyright "
     "colophon skip hidden paywall".split())
+STATE_WORDS = frozenset("has with without no not".split())
 # An element of these kinds ends the open element of the kind above it, up to its list or table.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -69,6 +70,15 @@ PARAGRAPH_BOUND = frozenset("div article section main td th li blockquote body a
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _names_boilerplate(name: str, tag: str) -> bool:
+    """Whether one class or id says boilerplate; states such as
+    ``has-sidebar`` don't, and an article must be called so first of all."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    if STATE_WORDS.intersection(words):
+        return False
+    return any(w in BOILERPLATE_WORDS for w in (words[:1] if tag == "article" else words))
+
+
 class PageLines(HTMLParser):
     """Collects lines as [text parts, tags, container, is boilerplate, tag]."""
 
@@ -103,9 +113,8 @@ class PageLines(HTMLParser):
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-            if name in ("class", "id") and any(w.lower() in BOILERPLATE_WORDS for w in _WORD.findall(value)):
-                if tag != "article" or re.search(r"(?i)\b(comment|reply|ad|promo|sponsored)", value):
-                    return True
+            if name in ("class", "id") and any(_names_boilerplate(w, tag) for w in value.split()):
+                return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
