@@ -153,9 +153,10 @@ def label_model(votes: np.ndarray, y: np.ndarray) -> np.ndarray:
         # correlations of the voters given the label, pooled over both classes
         r1, r0 = v - a, v - b
         cov = (r1 * post[:, None]).T @ r1 + (r0 * (1 - post)[:, None]).T @ r0
-        spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        spread = np.sqrt(np.diag(cov) + 1.0)  # a pseudo-row, so that voters without variance have no correlation
         corr = cov / spread[:, None] / spread[None, :]
         np.fill_diagonal(corr, 0)
+        corr[:, -1] = corr[-1, :] = 0  # the annotator stays a voter of full weight
         weight = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(axis=1))
     return post
 
