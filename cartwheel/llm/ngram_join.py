@@ -15,13 +15,14 @@ links. Steps, each a Spark job on all documents:
    order are shuffled by token. Before the shuffle equal tokens of a run are
    gathered: they are already known to be shared, only one of them goes to the
    token's own partition. What remains are postings of shared tokens.
-4. *Stars.* Each posting is paired with its token's smallest node - linear in
-   the postings - and the pairs that hold give first components.
-5. *Cross pairs.* Tokens whose nodes lie in several components are compared
-   within blocks of at most ``BLOCK`` nodes (block against block beyond that),
-   only across components and only emitting pairs that pass the length bound,
-   the positional bound and a 512-bit overlap bound (|x| + |y| - popcount(x^y)).
-   Nothing is capped: what stars leave undecided is decided here.
+4. *Stars.* Each posting is paired with its token's smallest node, the hub -
+   linear in the postings - and the pairs that link give first components.
+5. *Cross pairs.* The nodes of all tokens of one hub that lie in several
+   components are compared within blocks of about ``BLOCK`` nodes (block against
+   block beyond that), only across components and only emitting pairs that pass
+   the length bound and an overlap bound of ``BITS`` parity bits
+   (|x| + |y| - popcount(x^y)). Two nodes that share a prefix token share its
+   hub, so nothing that stars leave undecided is missed, and nothing is capped.
 6. *Filters of the other orders.* A candidate must also share prefix tokens
    under the second and third order (compared as 32-bit hashes: false
    positives only); these filters are intersected before
@@ -53,7 +54,7 @@ RUN = 1_500_000        # shingles of a run
 HOT_TABLE = 1_000_000  # most frequent shingles whose counts order the prefixes
 BLOCK = 1024           # nodes of a block of one token
 NEEDED_BROADCAST = 2_000_000
-BITS = 512
+BITS = 2048
 ORDERS = [0x0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25]
 
 
@@ -88,7 +89,7 @@ def prefix(s: np.ndarray, seed: int, hot: tuple[np.ndarray, np.ndarray], percent
 
 def bitmap(s: np.ndarray) -> bytes:
     """Parity of the number of tokens per bit: a bound on set differences."""
-    counts = np.bincount((tk.mix64(s + np.uint64(1)) >> np.uint64(55)).astype(np.int64), minlength=BITS)
+    counts = np.bincount((tk.mix64(s + np.uint64(1)) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
@@ -147,15 +148,13 @@ def _postings(docs: DataFrame, width: int, percent: int, hot_b) -> DataFrame:
             lens = [len(t) for t, _, _ in parts]
             node = np.repeat(np.array([x for _, x, _ in parts], np.int64), lens)
             n = np.repeat(np.array([x for _, _, x in parts], np.int64), lens)
-            pos = np.concatenate([np.arange(m) for m in lens])
             order = np.argsort(token, kind="stable")
             t = token[order]
             same = np.concatenate([[False], t[1:] == t[:-1]])
             alone = ~same & ~np.concatenate([same[1:], [False]])
             shared = np.where(alone, 0, np.where(same, 2, 1))
             return pd.DataFrame({"token": t.astype(np.int64), "node": node[order],
-                                 "n": n[order].astype(np.int32), "pos": pos[order].astype(np.int32),
-                                 "shared": shared.astype(np.int32)})
+                                 "n": n[order].astype(np.int32), "shared": shared.astype(np.int32)})
 
         for _, _, s, sig in _sets(batches, width):
             if sig in seen:
@@ -172,7 +171,7 @@ def _postings(docs: DataFrame, width: int, percent: int, hot_b) -> DataFrame:
         if parts:
             yield flush()
 
-    return docs.mapInPandas(run, "token long, node long, n int, pos int, shared int")
+    return docs.mapInPandas(run, "token long, node long, n int, shared int")
 
 
 def _node_table(docs: DataFrame, needed: DataFrame, width: int, percent: int, hot_b) -> DataFrame:
@@ -254,31 +253,29 @@ def _verify(pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
                   .mapInPandas(verify, "a long, b long"), "links")
 
 
-def _cross_pairs(postings: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs across components that share a token and pass the bounds."""
-    comp = postings.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    comp = staged(comp, "labelled-postings")
-    open_tokens = staged(comp.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                                   F.count(F.lit(1)).alias("m"))
-                         .where(F.col("lo") != F.col("hi"))
-                         .select("token", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("nb")), "open-tokens")
-    rows = comp.join(open_tokens, "token").join(nodes.select("node", "bits"), "node")
+def _cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs across components that share a hub and pass the bounds.
+    ``members``: hub, node - the nodes of all tokens with that hub."""
+    comp = members.join(labels, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    comp = staged(comp, "labelled-members")
+    open_hubs = staged(comp.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                               F.count(F.lit(1)).alias("m"))
+                       .where(F.col("lo") != F.col("hi"))
+                       .select("hub", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("nb")), "open-hubs")
+    rows = comp.join(open_hubs, "hub").join(nodes.select("node", "n", "bits"), "node")
     blk = F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")
     rows = rows.withColumn("blk", blk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
         .withColumn("bi", F.least("blk", "other")).withColumn("bj", F.greatest("blk", "other"))
 
     def compare(group: pd.DataFrame) -> np.ndarray:
         blk, node, comp_ = group["blk"].to_numpy(), group["node"].to_numpy(), group["comp"].to_numpy()
-        n, pos = group["n"].to_numpy(np.int64), group["pos"].to_numpy(np.int64)
+        n = group["n"].to_numpy(np.int64)
         bits = np.frombuffer(b"".join(group["bits"]), np.uint64).reshape(len(group), BITS // 64)
         two = group["bi"].iloc[0] != group["bj"].iloc[0]
         found = []
         for i in range(len(group) - 1):
             j = slice(i + 1, None)
-            rest = n[j] - pos[j]
-            need = (100 + percent) * (np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], rest)) \
-                >= percent * (n[i] + n[j])
-            ok = need & (comp_[i] != comp_[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            ok = (comp_[i] != comp_[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             if two:
                 ok &= blk[i] != blk[j]
             hit = np.flatnonzero(ok) + i + 1
@@ -292,7 +289,7 @@ def _cross_pairs(postings: DataFrame, nodes: DataFrame, labels: DataFrame, perce
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
-        keys = ["token", "bi", "bj"]
+        keys = ["hub", "bi", "bj"]
 
         def groups(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
             k = frame[keys].to_numpy()
@@ -313,8 +310,8 @@ def _cross_pairs(postings: DataFrame, nodes: DataFrame, labels: DataFrame, perce
             both = compare(held)
             yield pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
-    dealt = rows.select("token", "bi", "bj", "blk", "node", "comp", "n", "pos", "bits") \
-        .repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj")
+    dealt = rows.select("hub", "bi", "bj", "blk", "node", "comp", "n", "bits") \
+        .repartition("hub", "bi", "bj").sortWithinPartitions("hub", "bi", "bj")
     return dealt.mapInPandas(run, "a long, b long").distinct()
 
 
@@ -338,17 +335,19 @@ def join_ngrams(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     own = Window.partitionBy("token", "deal")
     postings = staged(raw.withColumn("deal", deal).withColumn("m", F.count(F.lit(1)).over(own))
                       .where((F.col("m") > 1) | (F.col("shared") > 0))
-                      .select("token", "node", "n", "pos").distinct(), "postings")
+                      .select("token", "node", "n").distinct(), "postings")
     needed = staged(postings.select("node").distinct(), "needed-nodes")
     nodes = staged(_node_table(body, needed, width, percent, hot_b), "nodes")
 
     hubs = staged(postings.groupBy("token").agg(F.min(F.struct("n", "node")).alias("hub"))
-                  .select("token", F.col("hub.node").alias("a"), F.col("hub.n").alias("n_a")), "hubs")
-    stars = postings.join(hubs, "token").withColumnsRenamed({"node": "b", "n": "n_b"}) \
-        .where((F.col("a") != F.col("b")) & _length_ok(percent)).select("a", "b").distinct()
+                  .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("n_a")), "hubs")
+    members = staged(postings.join(hubs, "token").select("hub", "n_a", "node", F.col("n").alias("n_b")).distinct(), "members")
+    stars = members.where((F.col("hub") != F.col("node")) & _length_ok(percent)) \
+        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = _verify(staged(stars, "stars"), nodes, width, percent)
     labels = staged(graph.components(links, "a", "b"), "star-components")
-    cross = _verify(staged(_cross_pairs(postings, nodes, labels, percent), "cross-pairs"), nodes, width, percent)
+    cross = _cross_pairs(members.select("hub", "node"), nodes, labels, percent)
+    cross = _verify(staged(cross, "cross-pairs"), nodes, width, percent)
     labels = staged(graph.components(links.unionByName(cross), "a", "b"), "components")
 
     with_words = rows.where(F.col("n") > 0)
