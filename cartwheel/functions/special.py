@@ -1,5 +1,6 @@
 """Vectorised special functions for the likelihood kernels (numpy only):
-log-gamma (Lanczos, g=7, 9 terms) and the Gauss hypergeometric series."""
+log-gamma (Lanczos, g=7, 9 terms) and the Gauss hypergeometric function in the
+forms that the models need, each element run to convergence or an error."""
 
 from __future__ import annotations
 
@@ -33,19 +34,70 @@ def gammaln(x):
     return out
 
 
-def hyp2f1(a, b, c, z, max_terms: int = 20000, tol: float = 1e-15):
-    """2F1(a, b; c; z) by its power series, for 0 <= z < 1 (broadcasting)."""
+class NotConverged(ArithmeticError):
+    """A series or a continued fraction has not reached its tolerance."""
+
+
+def _each_until(step, state, shape, limit: int, what: str):
+    """Run ``step(n, state of the open elements)`` -> (state, done) until every
+    element is done; finished elements are not computed again."""
+    open_ = np.arange(int(np.prod(shape)))
+    out = np.empty(len(open_))
+    for n in range(limit):
+        if not len(open_):
+            return out.reshape(shape)
+        state, done, value = step(n, state)
+        out[open_[done]] = value[done]
+        open_ = open_[~done]
+        state = [v[~done] for v in state]
+    if len(open_):
+        raise NotConverged(f"{what}: {len(open_)} of {len(out)} values after {limit} terms")
+    return out.reshape(shape)
+
+
+def hyp2f1_series(a, b, c, z, tol: float = 1e-16, limit: int = 1_000_000):
+    """2F1(a, b; c; z) by its power series, 0 <= z < 1, element by element; for
+    parameters whose terms don't grow (a and b small against c)."""
     a, b, c, z = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, c, z)))
-    term = np.ones_like(z)
-    total = np.ones_like(z)
-    active = np.ones(z.shape, dtype=bool)
-    for n in range(max_terms):
-        term = np.where(active, term * (a + n) * (b + n) / ((c + n) * (n + 1.0)) * z, 0.0)
+
+    def step(n, s):
+        a_, b_, c_, z_, term, total = s
+        term = term * (a_ + n) * (b_ + n) / ((c_ + n) * (n + 1.0)) * z_
         total = total + term
-        active = active & (np.abs(term) > tol * np.abs(total))
-        if not active.any():
-            break
-    return total
+        ratio = np.abs((a_ + n + 1) * (b_ + n + 1) / ((c_ + n + 1) * (n + 2.0)) * z_)
+        done = (np.abs(term) <= tol * np.abs(total) * np.maximum(1 - ratio, 1e-8)) & (ratio < 1) | (term == 0)
+        return [a_, b_, c_, z_, term, total], done, total
+    start = [v.ravel().copy() for v in (a, b, c, z)]
+    ones = np.ones(z.size)
+    return _each_until(step, [*start, ones, ones.copy()], z.shape, limit, "hypergeometric series")
+
+
+def log_hyp2f1_next(a, b, z, tol: float = 1e-15, limit: int = 100_000):
+    """log 2F1(a, b; a + 1; z) for a > 0, b > 0 and 0 <= z < 1 without overflow:
+    Euler's transformation gives (1 - z)^(1 - b) 2F1(1, a + 1 - b; a + 1; z), and
+    Gauss's continued fraction of the latter (modified Lentz steps) converges
+    for every z below 1."""
+    a, b, z = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, z)))
+    c, p = a + 1.0, a + 1.0 - b
+
+    def step(n, s):
+        p_, c_, z_, f, d, e = s
+        k = n // 2
+        # coefficients of 1 / (1 - t1 z / (1 - t2 z / (1 - ...)))
+        t = (p_ + k) * (c_ + k - 1) / ((c_ + 2 * k - 1) * (c_ + 2 * k)) if n % 2 == 0 \
+            else (k + 1) * (c_ - p_ + k) / ((c_ + 2 * k) * (c_ + 2 * k + 1))
+        x = -t * z_
+        d = 1.0 + x * d
+        e = 1.0 + x / e
+        d = 1.0 / np.where(np.abs(d) < 1e-300, 1e-300, d)
+        e = np.where(np.abs(e) < 1e-300, 1e-300, e)
+        f = f * d * e
+        return [p_, c_, z_, f, d, e], np.abs(d * e - 1.0) < tol, f
+    start = [v.ravel().copy() for v in (p, c, z)]
+    ones = np.ones(z.size)
+    # the denominator 1 - t1 z / (...) starts at 1
+    fraction = _each_until(step, [*start, ones, np.zeros(z.size), ones.copy()], z.shape, limit, "continued fraction")
+    return (1.0 - b) * np.log1p(-z) - np.log(fraction)
 
 
 def logsubexp(a, b):

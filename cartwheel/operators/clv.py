@@ -15,12 +15,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions.semantics import add_days, frac_days, log1p0
-from cartwheel.functions.special import gammaln, hyp2f1, logsubexp
+from cartwheel.functions.special import gammaln, hyp2f1_series, log_hyp2f1_next, logsubexp
 from cartwheel.operators.relational import avg_rank, describe
 
 # Default horizons and penalizers of the CLV stage.
@@ -67,14 +67,15 @@ def _bgnbd_ll(P, x, tx, T):
 
 
 def _pareto_log_a0(r, al, s, be, x, tx, T):
+    """log of the integral in the Pareto/NBD likelihood, as a difference of two
+    hypergeometric terms that are kept as logarithms."""
     lo = np.minimum(al, be)
     hi = np.maximum(al, be)
     d = np.where(al < be, r + x, s + 1.0)
     rsx = r + s + x
     dif = hi - lo
-    p1 = hyp2f1(rsx, d, rsx + 1.0, dif / (hi + tx))
-    p2 = hyp2f1(rsx, d, rsx + 1.0, dif / (hi + T))
-    return logsubexp(-rsx * np.log(hi + tx) + np.log(p1), -rsx * np.log(hi + T) + np.log(p2))
+    return logsubexp(-rsx * np.log(hi + tx) + log_hyp2f1_next(rsx, d, dif / (hi + tx)),
+                     -rsx * np.log(hi + T) + log_hyp2f1_next(rsx, d, dif / (hi + T)))
 
 
 def _pareto_ll(P, x, tx, T):
@@ -108,6 +109,7 @@ class FitResult:
     iterations: int
     scale: float = 1.0
     history: list = field(default_factory=list)
+    converged: bool = True
 
 
 def _points(center: np.ndarray, h: float) -> np.ndarray:
@@ -165,7 +167,7 @@ def _evaluate(data: DataFrame, model: str, logP: np.ndarray, penalizer: float) -
             args = [pdf[c].to_numpy(dtype=float) for c in cols]
             with np.errstate(all="ignore"):
                 ll = ll_fn(params, *args)
-            acc += w @ np.where(np.isfinite(ll), ll, -1e300)
+            acc += w @ ll
             wsum += w.sum()
         yield pd.DataFrame({"point": np.arange(k), "ll": acc, "w": np.full(k, wsum)})
 
@@ -182,9 +184,10 @@ def compress(summary: DataFrame, cols: list[str]) -> DataFrame:
     return summary.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 
-def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 60, h: float = 1e-4,
+def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 200, h: float = 1e-4,
         tol: float = 1e-7, init: float = 0.1) -> FitResult:
-    """Penalised maximum likelihood."""
+    """Penalised maximum likelihood (C3 / C4 / C5); a point whose likelihood is
+    not finite is rejected, and a fit that doesn't converge raises."""
     _, names, cols = MODELS[model]
     data = summary
     scale = 1.0
@@ -201,7 +204,10 @@ def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 60, h:
     lam = 1e-6
     f0, g, H = _derivatives(_evaluate(data, model, _points(x, h), penalizer), d, h)
     hist = [f0]
-    it = 0
+    if not np.isfinite(f0):
+        data.unpersist()
+        raise ArithmeticError(f"{model}: the likelihood is not finite at the start values")
+    it, done = 0, False
     for it in range(1, max_iter + 1):
         A = H + lam * np.eye(d)
         try:
@@ -219,12 +225,16 @@ def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 60, h:
             hist.append(f0)
             lam = max(lam / 10, 1e-9)
             if converged or np.max(np.abs(g)) < tol:
+                done = True
                 break
         else:
             lam *= 10
-            if lam > 1e8:
+            if lam > 1e8:  # no descent left: a minimum if the slope says so
+                done = np.max(np.abs(g)) < 1e-4 * max(1.0, abs(f0))
                 break
     data.unpersist()
+    if not done:
+        raise RuntimeError(f"{model}: the fit has not converged after {it} iterations")
     p = dict(zip(names, np.exp(x)))
     for k in ("alpha", "beta"):
         if k in p:
@@ -234,11 +244,18 @@ def fit(summary: DataFrame, model: str, penalizer: float, max_iter: int = 60, h:
 
 # ------------------------------------------------------------ predictions
 def bgnbd_expected_purchases(params: dict, t: float, x, tx, T):
+    """Conditional expectation of Fader, Hardie and Lee (2005). Euler's
+    transformation takes the large powers out of the hypergeometric function:
+    what is left has small first parameters, and the ratio of powers in the
+    denominator stays a logarithm, so no number of purchases overflows."""
     r, al, a, b = params["r"], params["alpha"], params["a"], params["b"]
-    hyp = hyp2f1(r + x, b + x, a + b + x - 1, t / (al + t + T))
-    num = (1 - ((al + T) / (al + T + t)) ** (r + x) * hyp) * (a + b + x - 1) / (a - 1)
-    den = 1 + (x > 0) * (a / (b + x - 1)) * ((al + T) / (al + tx)) ** (r + x)
-    return num / den
+    x, tx, T = (np.asarray(v, dtype=float) for v in (x, tx, T))
+    z = t / (al + t + T)
+    c = a + b + x - 1
+    left = np.exp((a - 1) * np.log1p(-z)) * hyp2f1_series(a + b - 1 - r, a - 1, c, z)
+    ratio = np.log(a) - np.log(b + np.maximum(x, 1) - 1) + (r + x) * (np.log(al + T) - np.log(al + tx))
+    log_den = np.where(x > 0, np.logaddexp(0, ratio), 0.0)
+    return (1 - left) * (a + b + x - 1) / (a - 1) * np.exp(-log_den)
 
 
 def pareto_alive(params: dict, x, tx, T):
@@ -323,12 +340,6 @@ def residual_band(ev: DataFrame, true_col: str, pred_col: str) -> DataFrame:
                  F.count(F.lit(1)).alias("n"))
 
 
-def residual_points(ev: DataFrame, true_col: str, pred_col: str) -> DataFrame:
-    return ev.where(F.col(true_col).isNotNull() & F.col(pred_col).isNotNull()
-                    & (F.col(true_col) >= 0) & (F.col(pred_col) >= 0)) \
-        .select("visitorid", F.log1p(true_col).alias("log_true"), F.log1p(pred_col).alias("log_pred"))
-
-
 def kde_curve(df: DataFrame, c: str, gridsize: int = KDE_GRID, cut: float = KDE_CUT) -> DataFrame:
     """Gaussian KDE (Scott bandwidth n^-1/5 * std) of
     log1p(clip(c, 0)) on ``gridsize`` points from min - cut*h to max + cut*h.
@@ -350,7 +361,7 @@ def kde_curve(df: DataFrame, c: str, gridsize: int = KDE_GRID, cut: float = KDE_
 def fit_and_predict(tx_money: DataFrame, holdout_days: int = HOLDOUT_DAYS, future_days: int = FUTURE_DAYS,
                     pen_bgf: float = PEN_BGF, pen_pareto: float = PEN_PARETO, pen_gg: float = PEN_GG,
                     visitor_col: str = "visitorid", time_col: str = "time", monetary_col: str = "monetary",
-                    max_iter: int = 60):
+                    max_iter: int = 200):
     """C1-C12 (C16 with holdout_days=0, future_days=30): returns
     (eval table, {model: FitResult}, metrics frame or None)."""
     tm = tx_money.select(F.col(visitor_col).alias("visitorid"), F.col(time_col).alias("time"),
@@ -379,5 +390,3 @@ def params_frame(spark, fits: dict) -> DataFrame:
     return spark.createDataFrame(rows, "fit string, model string, param string, value double, nll double, "
                                        "iterations int")
 
-
-_ = Window

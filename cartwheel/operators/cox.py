@@ -48,12 +48,14 @@ PARTIAL_SCHEMA = ("t double, r0 double, dd double, e0 double, exb double, r1 arr
 
 
 def _partial_kernel(beta: np.ndarray, d: int):
-    """Pass A (map-side combine): per input partition and distinct duration,
-    sums of w, w x, w x x' over all rows and over events (w = exp(x beta))."""
+    """Pass A (map-side combine): per Arrow batch and distinct duration, sums of
+    w, w x, w x x' over all rows and over events (w = exp(x beta))."""
     def kernel(it):
-        pdf = _partition_frame(it)
-        if len(pdf) == 0:
-            return
+        for pdf in it:
+            if len(pdf):
+                yield sums(pdf)
+
+    def sums(pdf):
         pdf = pdf.sort_values("t", kind="mergesort")
         X = pdf[[f"x{k}" for k in range(d)]].to_numpy(dtype=float)
         e = pdf["e"].to_numpy(dtype=float)
@@ -70,7 +72,7 @@ def _partial_kernel(beta: np.ndarray, d: int):
         for name, arr in (("r1", red(WX)), ("e1", red(e[:, None] * WX)), ("xs", red(e[:, None] * X)),
                           ("r2", red(WXX)), ("e2", red(e[:, None] * WXX))):
             out[name] = list(arr)
-        yield out
+        return out
     return kernel
 
 
@@ -107,6 +109,28 @@ def _totals_kernel(d: int):
     return kernel
 
 
+TIE_BLOCK = 1 << 18
+
+
+def tie_sums(s0: np.ndarray, e0: np.ndarray, deaths: np.ndarray) -> dict:
+    """Efron's sums over the tied deaths of each event time. With phi = l / D and
+    q = s0 - phi e0 for l = 0 .. D - 1: log = sum log q, a = sum 1/q,
+    b = sum phi/q, aa = sum 1/q^2, ab = sum phi/q^2, bb = sum phi^2/q^2. Ties are
+    worked off in blocks of ``TIE_BLOCK`` numbers, so a duration that a third of
+    the rows share costs time but no memory."""
+    out = {n: np.zeros(len(s0)) for n in ("log", "a", "b", "aa", "ab", "bb")}
+    ends = np.cumsum(deaths)
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, TIE_BLOCK):
+        flat = np.arange(lo, min(lo + TIE_BLOCK, int(ends[-1])))
+        i = np.searchsorted(ends, flat, side="right")
+        phi = (flat - (ends[i] - deaths[i])) / deaths[i]
+        q = 1 / (s0[i] - phi * e0[i])
+        for name, v in (("log", -np.log(q)), ("a", q), ("b", phi * q), ("aa", q * q), ("ab", phi * q * q),
+                        ("bb", phi * phi * q * q)):
+            out[name] += np.bincount(i, v, len(s0))
+    return out
+
+
 def _efron_kernel(d: int, offsets: dict):
     def kernel(it):
         from pyspark import TaskContext
@@ -122,15 +146,13 @@ def _efron_kernel(d: int, offsets: dict):
             D = np.rint(st["dd"]).astype(int)
             ev = np.flatnonzero(D > 0)
             if len(ev):
-                rep = np.repeat(ev, D[ev])
-                phi = np.concatenate([np.arange(k) / k for k in D[ev]])
-                s0 = S0[rep] - phi * st["e0"][rep]
-                s1 = S1[rep] - phi[:, None] * st["e1"][rep]
-                s2 = S2[rep] - phi[:, None, None] * st["e2"][rep]
-                m = s1 / s0[:, None]
-                ll = st["exb"][ev].sum() - np.log(s0).sum()
-                g = st["xs"][ev].sum(0) - m.sum(0)
-                H = -((s2 / s0[:, None, None]).sum(0) - m.T @ m)
+                S0, S1, S2, E0, E1, E2 = (a[ev] for a in (S0, S1, S2, st["e0"], st["e1"], st["e2"]))
+                k = tie_sums(S0, E0, D[ev])
+                ll = st["exb"][ev].sum() - k["log"].sum()
+                g = st["xs"][ev].sum(0) - (k["a"] @ S1 - k["b"] @ E1)
+                cross = (k["ab"][:, None] * S1).T @ E1
+                outer = (k["aa"][:, None] * S1).T @ S1 - cross - cross.T + (k["bb"][:, None] * E1).T @ E1
+                H = -(np.tensordot(k["a"], S2, 1) - np.tensordot(k["b"], E2, 1) - outer)
         yield pd.DataFrame({"ll": [ll], "g": [g.tolist()], "H": [H.ravel().tolist()]})
     return kernel
 
@@ -157,8 +179,10 @@ def _evaluate(data: DataFrame, beta: np.ndarray, d: int, parts: int):
 
 
 def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", event: str = "event",
-            penalizer: float = 0.1, max_iter: int = 50, tol: float = 1e-9, width: float = 1.0) -> CoxFit:
-    """Penalised Efron partial likelihood, Newton-Raphson with step halving."""
+            penalizer: float = 0.1, max_iter: int = 50, tol: float = 1e-9) -> CoxFit:
+    """Penalised Efron partial likelihood, Newton-Raphson with step halving.
+    A step that lowers the likelihood is never taken; raises if it hasn't
+    converged after ``max_iter`` steps."""
     d = len(features)
     parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     data = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("double").alias("e"),
@@ -175,7 +199,7 @@ def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", even
         return ll - pen * beta @ beta, g - 2 * pen * beta, H - 2 * pen * np.eye(d)
     beta = np.zeros(d)
     ll, g, H = penalised(beta)
-    it = 0
+    it, done = 0, False
     for it in range(1, max_iter + 1):
         try:
             step = np.linalg.solve(-H, g)
@@ -185,13 +209,20 @@ def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", even
         while True:
             nb = beta + t * step
             nll, ng, nH = penalised(nb)
-            if np.isfinite(nll) and nll >= ll - 1e-12 or t < 1e-4:
+            better = np.isfinite(nll) and nll >= ll - 1e-12 * max(1.0, abs(ll))
+            if better or t < 1e-6:
                 break
             t *= 0.5
+        if not better:  # no ascent left along the Newton direction
+            done = np.max(np.abs(g)) < 1e-6 * max(1.0, abs(ll))
+            break
         done = abs(nll - ll) < tol * max(1.0, abs(ll)) or np.max(np.abs(t * step)) < 1e-8
         beta, ll, g, H = nb, nll, ng, nH
         if done:
             break
+    if not done:
+        data.unpersist()
+        raise RuntimeError(f"the Cox fit did not converge in {it} steps")
     cov = np.linalg.inv(-H)
     se = np.sqrt(np.clip(np.diag(cov), 0, None))
     data.unpersist()
@@ -238,15 +269,14 @@ def partial_hazard(df: DataFrame, fit: CoxFit, name: str = "partial_hazard") ->
     return df.withColumn(name, F.exp(lin))
 
 
-def baseline_hazard(df: DataFrame, fit: CoxFit, duration: str = "duration", event: str = "event",
-                    width: float = 1.0) -> DataFrame:
+def baseline_hazard(df: DataFrame, fit: CoxFit, duration: str = "duration", event: str = "event") -> DataFrame:
     """Breslow baseline: h0(t) = d_t / sum_{risk set} partial hazard; H0, S0."""
     ph = partial_hazard(df, fit)
     per_t = ph.groupBy(F.col(duration).cast("double").alias("t")).agg(
         F.sum("partial_hazard").alias("r0"), F.sum(F.col(event).cast("double")).alias("dd"))
-    per_t = running_sums(per_t, [], "t", ["r0"], width=width, descending=True, prefix="s_")
+    per_t = running_sums(per_t, [], "t", ["r0"], descending=True, prefix="s_")
     per_t = per_t.withColumn("baseline_hazard", F.col("dd") / F.col("s_r0"))
-    per_t = running_sums(per_t, [], "t", ["baseline_hazard"], width=width, prefix="cum_")
+    per_t = running_sums(per_t, [], "t", ["baseline_hazard"], prefix="cum_")
     return per_t.select(F.col("t").alias("timeline"), "baseline_hazard",
                         F.col("cum_baseline_hazard").alias("cumulative_hazard"),
                         F.exp(-F.col("cum_baseline_hazard")).alias("baseline_survival"))
@@ -270,8 +300,7 @@ def hazard_by_segment(users: DataFrame, base: DataFrame, fit: CoxFit, grid: Data
     return seg.crossJoin(F.broadcast(h0)).select("business_label", "t", (F.col("h0") * F.col("mean_ph")).alias("hazard"))
 
 
-def ph_test(df: DataFrame, fit: CoxFit, duration: str = "duration", event: str = "event",
-            width: float = 1.0) -> DataFrame:
+def ph_test(df: DataFrame, fit: CoxFit, duration: str = "duration", event: str = "event") -> DataFrame:
     """Grambsch-Therneau test with rank-transformed event times on scaled
     Schoenfeld residuals (Breslow risk-set means); chi-square(1) p-values."""
     d = len(fit.features)
@@ -280,7 +309,7 @@ def ph_test(df: DataFrame, fit: CoxFit, duration: str = "duration", event: str =
                                                             for k, c in enumerate(fit.features)])
     per_t = ph.groupBy("t").agg(F.sum("partial_hazard").alias("r0"),
                                 *[F.sum(F.col("partial_hazard") * F.col(f"x{k}")).alias(f"r1_{k}") for k in range(d)])
-    per_t = running_sums(per_t, [], "t", ["r0"] + [f"r1_{k}" for k in range(d)], width=width, descending=True,
+    per_t = running_sums(per_t, [], "t", ["r0"] + [f"r1_{k}" for k in range(d)], descending=True,
                          prefix="s_")
     ev = ph.where(F.col("e") > 0).join(per_t.select("t", "s_r0", *[f"s_r1_{k}" for k in range(d)]), "t")
     for k in range(d):

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import log1p0
-from cartwheel.operators.relational import boxplot_stats, exact_quantiles, histogram, top_n
+from cartwheel.operators.relational import (
+    boxplot_stats, exact_quantiles, exact_rank, histogram, running_sums, top_n,
+)
 
 FUNNEL = ["view", "addtocart", "transaction"]
 
@@ -144,21 +146,21 @@ def median_by_size(b: DataFrame) -> DataFrame:
     return exact_quantiles(b, ["total_items"], "total_price", [0.5]).withColumnRenamed("q_0", "median_value")
 
 
-COVERAGE_POINTS = [1, 5, 10, 50, 100]
+def item_coverage(tx: DataFrame) -> DataFrame:
+    """Share of all purchases covered by the top-N items, for every N.
 
-
-def item_coverage(tx: DataFrame, points: list[int] | None = None) -> DataFrame:
-    """Share of all purchases covered by the top-N items, N in points.
-    Only the top max(points) item counts are ordered (TakeOrderedAndProject)."""
-    pts = points or COVERAGE_POINTS
-    counts = size_per(tx, "itemid")
+    Items are ranked by (count desc, itemid) without a global sort in one task:
+    the purchases of more frequent items come from running sums over the
+    distinct counts, the place among equally frequent ones from ``exact_rank``."""
+    counts = size_per(tx, "itemid").withColumn("_neg", -F.col("count"))
+    ranked = exact_rank(counts, [], "_neg", "itemid", "_rk")
+    sizes = counts.groupBy("count").agg(F.count(F.lit(1)).alias("_m")).withColumn("_s", F.col("count") * F.col("_m"))
+    sizes = running_sums(sizes, [], "count", ["_m", "_s"], descending=True, prefix="_above")
     total = counts.agg(F.sum("count").alias("_total"))
-    top = top_n(counts, [F.desc("count"), F.asc("itemid")], max(pts))
-    w = Window.orderBy(F.desc("count"), F.asc("itemid"))
-    cur = top.withColumn("n", F.row_number().over(w)) \
-        .withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return cur.where(F.col("n").isin(pts)).crossJoin(F.broadcast(total)) \
-        .select(F.col("n").cast("long").alias("n"), (F.col("_cum") / F.col("_total")).alias("coverage"))
+    place = F.col("_rk") - (F.col("_above_m") - F.col("_m")) + 1
+    cum = F.col("_above_s") - F.col("_s") + place * F.col("count")
+    return ranked.join(sizes, "count").crossJoin(F.broadcast(total)) \
+        .select((F.col("_rk") + 1).alias("n"), (cum / F.col("_total")).alias("coverage"))
 
 
 def buyer_stats(b: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions.semantics import (
-    MICROS_PER_DAY, add_days, flag, floor_days, log1p0, row_sum, total_seconds, whole_seconds,
+    add_days, flag, floor_days, log1p0, row_sum, total_seconds, whole_seconds,
 )
 from cartwheel.operators.relational import asof_join, bucketed_lag, exact_quantiles, histogram, top_n
 
@@ -322,5 +322,3 @@ def days_span(events: DataFrame) -> DataFrame:
     d = events.agg(F.min(F.to_date("timestamp")).alias("mn"), F.max(F.to_date("timestamp")).alias("mx"))
     return d.select(F.datediff("mx", "mn").cast("long").alias("span_days"))
 
-
-_ = MICROS_PER_DAY

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwheel.operators.features import MODEL_FLAG_THRESHOLD
+from cartwheel.operators.relational import exact_quantiles
 from cartwheel.operators.survival import standardize
 
 # Model features and forest settings of the anomaly stage.
@@ -139,12 +141,12 @@ def model_based_flags(df: DataFrame, seed: int = SEED, n_estimators: int = N_EST
     x = x.select(*df.columns, *[F.col(f + "__z").alias(z) for f, z in zip(feats, zs)])
     forest, psi = fit(x, zs, key, n_estimators, seed=seed)
     s = score(x, zs, forest, psi, "_ss")
-    off = s.agg(F.percentile("_ss", F.lit(float(contamination))).alias("_off"))
+    off = exact_quantiles(s, [], "_ss", [float(contamination)]).select(F.col("q_0").alias("_off"))
     s = s.crossJoin(F.broadcast(off)).withColumn("iso_score", F.col("_ss") - F.col("_off")) \
         .withColumn("iso_flag", (F.col("iso_score") < 0).cast("int"))
     mm = s.agg(F.min("iso_score").alias("_mn"), F.max("iso_score").alias("_mx"))
     s = s.crossJoin(F.broadcast(mm)).withColumn(
         "iso_score_norm", F.when(F.col("_mx") == F.col("_mn"), F.lit(0.0))
         .otherwise(F.lit(1.0) - (F.col("iso_score") - F.col("_mn")) / (F.col("_mx") - F.col("_mn"))))
-    return s.withColumn("model_flag", (F.col("iso_score_norm") >= 0.6).cast("int")) \
+    return s.withColumn("model_flag", (F.col("iso_score_norm") >= MODEL_FLAG_THRESHOLD).cast("int")) \
         .drop("_ss", "_off", "_mn", "_mx", *zs)

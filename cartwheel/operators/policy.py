@@ -79,6 +79,21 @@ def segment_parameters(users: DataFrame, label: str = "business_label") -> DataF
         .withColumn("m", F.col("churn_risk") * M_SCALE)
 
 
+def published_parameters(spark: SparkSession, label: str = "business_label") -> DataFrame:
+    """The published k, c, m (``PUBLISHED_SEGMENT_PARAMS``) as a frame."""
+    rows = [(s, p["k"], p["c"], p["m"]) for s, p in PUBLISHED_SEGMENT_PARAMS.items()]
+    return spark.createDataFrame(rows, f"{label} string, k double, c double, m double")
+
+
+def policy_inputs_fitted(users: DataFrame, clv: DataFrame, survival: DataFrame) -> DataFrame:
+    """The simulation's inputs from the fitted models: expected purchases and
+    money per purchase (``clv``) and survival at day 30 (``survival``)."""
+    c = clv.select("visitorid", F.col("predicted_purchases_bgf").alias("pred_no_purchase"),
+                   F.col("predicted_avg_transaction").alias("pred_money_each_purchase"))
+    s = survival.select("visitorid", F.col("survival_30").alias("survival_prob"))
+    return users.join(c, "visitorid", "left").join(s, "visitorid", "left")
+
+
 def lift_ranges(params: DataFrame, discounts: list[float] | None = None) -> DataFrame:
     """Purchase lift k*X^0.85 .. k*X^1.05 and churn reduction
     0.8 .. 1.2 x logistic(c (X - m)) per (segment, discount)."""
@@ -120,24 +135,6 @@ def simulate_gains(users: DataFrame, draws: DataFrame, params: DataFrame | None
     return g.select(F.col(label).alias("segment"), "discount", "sim_id", gain.alias("gain"))
 
 
-def simulate_gains_rowlevel(users: DataFrame, draws: DataFrame, params: DataFrame, segment: str,
-                            discount: float, label: str = "business_label") -> DataFrame:
-    """Row-level reference form of X4 for one (segment, discount): used by the
-    property test that checks the collapsed algebra."""
-    lr = lift_ranges(params.where(F.col(label) == segment).select(label, "k", "c", "m"), [discount])
-    row = lr.select("purchase_min", "purchase_max", "churn_min", "churn_max")
-    u = _with_draws(baseline_clv(users).crossJoin(F.broadcast(row)), draws)
-    pl = F.col("purchase_min") + (F.col("purchase_max") - F.col("purchase_min")) * F.col("u1")
-    cr = F.col("churn_min") + (F.col("churn_max") - F.col("churn_min")) * F.col("u2")
-    mask = F.col(label) == segment
-    new_n = F.when(mask, F.col("pred_no_purchase") * (1 + pl)).otherwise(F.col("pred_no_purchase"))
-    new_s = F.when(mask, 1 - (1 - F.col("survival_prob")) * (1 - cr)).otherwise(F.col("survival_prob"))
-    new_clv = new_n * F.col("pred_money_each_purchase") * new_s
-    cost = F.lit(discount) * new_n * F.col("pred_money_each_purchase") * mask.cast("double")
-    net = new_clv - F.col("baseline_clv") - cost
-    return u.groupBy("sim_id").agg(F.coalesce(F.sum(net), F.lit(0.0)).alias("gain"))
-
-
 def optimization_table(gains: DataFrame) -> DataFrame:
     """Per (segment, discount) mean, median, P(gain > 0), 5th and 95th
     percentiles (linear interpolation)."""

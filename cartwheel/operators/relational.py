@@ -3,6 +3,9 @@
 Everything here is a composition of DataFrame operators; nothing collects
 rows to the driver. Scale rules applied throughout:
 
+* windows over an ordered column run inside equi-depth ranges of it, whose
+  edges are sampled quantiles (``equi_depth``), plus a small table of range
+  totals (``running_sums``, ``exact_rank``, ``exact_quantiles``);
 * windows over raw rows are never partitioned by a key alone when that key
   can be hot (one item / one visitor holding a third of the rows): the time
   axis is bucketed and a small per-(key, bucket) table carries state across
@@ -102,21 +105,11 @@ def value_counts(df: DataFrame, key: str, normalize: bool = False, name: str = "
     return out
 
 
-def share_of_total(df: DataFrame, c: str, name: str) -> DataFrame:
-    """A13 on an already aggregated (small) table."""
-    return df.withColumn(name, F.col(c) / F.sum(c).over(Window.partitionBy()))
-
-
-def quantile(c, p, exact: bool = True, accuracy: int = 100000) -> Column:
-    """Linear-interpolated quantile (pandas/numpy default).
-
-    ``exact`` uses Spark's ``percentile`` whose buffer is a value->count map
-    (partial aggregation merges counts; memory grows with distinct values);
-    pass ``exact=False`` for very high-cardinality global columns at scale."""
-    if exact:
-        return F.percentile(col(c), p) if not isinstance(p, (list, tuple)) \
-            else F.percentile(col(c), F.array(*[F.lit(float(x)) for x in p]))
-    return F.percentile_approx(col(c), p, accuracy)
+def quantile(c, p) -> Column:
+    """Linear-interpolated quantile (pandas/numpy default) for groups whose
+    size a parameter bounds; ``exact_quantiles`` takes any other."""
+    return F.percentile(col(c), p) if not isinstance(p, (list, tuple)) \
+        else F.percentile(col(c), F.array(*[F.lit(float(x)) for x in p]))
 
 
 def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
@@ -198,10 +191,30 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _value_width(df: DataFrame, c: str, buckets: int = 4096) -> float:
-    r = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
-    lo, hi = float(r["lo"] or 0.0), float(r["hi"] or 0.0)
-    return max((hi - lo) / buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
+COARSE, FINE = 16, 16
+
+
+def equi_depth(df: DataFrame, t: str, name: str, descending: bool = False) -> DataFrame:
+    """Add ``name``: the number (0 .. COARSE * FINE - 1) of the value range that
+    ``t`` falls in. The ranges hold about equally many rows of ``df``, whatever
+    the distribution: their edges are sampled quantiles (one row, one
+    aggregation), so a heavy tail or a fixed calendar neither collapses nor
+    caps them. Equal values share a range; with ``descending`` range 0 is the
+    highest. NULL falls in the first range."""
+    n = COARSE * FINE
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    v = F.col(t).cast("double")
+    edges = df.agg(F.percentile_approx(v, probs, 20 * n).alias("_edges"))
+    # every FINE-th edge first, then the few between: 2 * 16 comparisons a row
+    edges = edges.select("_edges", F.filter("_edges", lambda x, i: i % FINE == FINE - 1).alias("_steps"))
+    d = df.crossJoin(F.broadcast(edges))
+    step = F.size(F.filter("_steps", lambda e: e <= v))
+    d = d.withColumn("_step", F.coalesce(F.greatest(step, F.lit(0)), F.lit(0)))
+    fine = F.size(F.filter(F.slice("_edges", F.col("_step") * FINE + 1, F.lit(FINE - 1)), lambda e: e <= v))
+    number = F.col("_step") * FINE + F.coalesce(F.greatest(fine, F.lit(0)), F.lit(0))
+    if descending:
+        number = F.lit(n - 1) - number
+    return d.withColumn(name, number.cast("int")).drop("_edges", "_steps", "_step")
 
 
 def avg_rank(df: DataFrame, c: str, name: str, partition: list[str] | None = None) -> DataFrame:
@@ -211,7 +224,7 @@ def avg_rank(df: DataFrame, c: str, name: str, partition: list[str] | None = Non
     part = partition or []
     d = df.groupBy(*part, c).agg(F.count(F.lit(1)).alias("_n"))
     d = d.withColumn("_v", F.col(c).cast("double"))
-    d = running_sums(d, part, "_v", ["_n"], width=_value_width(d, "_v"), prefix="_cum")
+    d = running_sums(d, part, "_v", ["_n"], prefix="_cum")
     d = d.withColumn(name, F.col("_cum_n") - (F.col("_n") - 1) / 2.0).select(*part, c, name)
     return df.join(d, part + [c], "left")
 
@@ -237,40 +250,49 @@ def trapezoid_area(curve: DataFrame, key: list[str], t: str, s: str, name: str)
         F.coalesce(F.sum((F.col("_t2") - F.col(t)) * (F.col(s) + F.col("_s2")) / 2.0), F.lit(0.0)).alias(name))
 
 
+def _nearest_before(u: DataFrame, keys: list[str], x: str, tag: str, value: str, rng: str, name: str,
+                    descending: bool = False) -> DataFrame:
+    """Add the last non-null ``value`` at or before each row in (x, tag) order
+    within ``keys`` (at or after it with ``descending``): a window per (keys,
+    range ``rng`` of x), and the last value of earlier ranges from a table of
+    one row per (keys, range)."""
+    order = F.desc(x) if descending else F.asc(x)
+    w = Window.partitionBy(*keys, rng).orderBy(order, F.asc(tag)) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pick = F.min_by if descending else F.max_by
+    per = u.groupBy(*keys, rng).agg(pick(value, F.when(F.col(value).isNotNull(), F.col(x))).alias("_end"))
+    border = F.desc(rng) if descending else F.asc(rng)
+    wb = Window.partitionBy(*keys).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*keys, rng, F.last("_end", ignorenulls=True).over(wb).alias("_carry"))
+    d = u.withColumn("_in", F.last(value, ignorenulls=True).over(w)).join(carry, keys + [rng], "left")
+    return d.withColumn(name, F.coalesce("_in", "_carry")).drop("_in", "_carry")
+
+
 def interp_at(points: DataFrame, curve: DataFrame, key: list[str], x: str, t: str, s: str,
               name: str) -> DataFrame:
     """``np.interp(x, t, s)`` per key, clamped at both ends.
 
     The bracketing curve points come from a forward and a backward fill over
-    the union of query points and curve points (no points x curve join).
+    the union of query points and curve points (no points x curve join), in
+    equi-depth ranges of x, so one key with all rows is spread over them.
     Returns one row per distinct (key, x)."""
     P = points.select(*key, F.col(x).cast("double").alias("_x")).distinct() \
         .withColumn("_tag", F.lit(1)).withColumn("_s", F.lit(None).cast("double"))
     C = curve.select(*key, F.col(t).cast("double").alias("_x"), F.lit(0).alias("_tag"),
                      F.col(s).cast("double").alias("_s"))
-    u = P.unionByName(C)
-    pt = F.when(F.col("_tag") == 0, F.struct(F.col("_x").alias("t"), F.col("_s").alias("s")))
-    wf = Window.partitionBy(*key).orderBy(F.asc("_x"), F.asc("_tag")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wb = Window.partitionBy(*key).orderBy(F.desc("_x"), F.asc("_tag")) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wall = Window.partitionBy(*key)
-    u = u.withColumn("_lo", F.last(pt, ignorenulls=True).over(wf)) \
-        .withColumn("_hi", F.last(pt, ignorenulls=True).over(wb)) \
-        .withColumn("_first", F.min_by(F.when(F.col("_tag") == 0, F.col("_s")),
-                                       F.when(F.col("_tag") == 0, F.col("_x"))).over(wall)) \
-        .withColumn("_last", F.max_by(F.when(F.col("_tag") == 0, F.col("_s")),
-                                      F.when(F.col("_tag") == 0, F.col("_x"))).over(wall))
-    v = F.when(F.col("_lo").isNull(), F.col("_first")) \
-        .when(F.col("_hi").isNull(), F.col("_last")) \
+    u = equi_depth(P.unionByName(C), "_x", "_xb") \
+        .withColumn("_pt", F.when(F.col("_tag") == 0, F.struct(F.col("_x").alias("t"), F.col("_s").alias("s"))))
+    u = _nearest_before(u, key, "_x", "_tag", "_pt", "_xb", "_lo")
+    u = _nearest_before(u, key, "_x", "_tag", "_pt", "_xb", "_hi", descending=True)
+    v = F.when(F.col("_lo").isNull(), F.col("_hi.s")) \
+        .when(F.col("_hi").isNull(), F.col("_lo.s")) \
         .when(F.col("_hi.t") == F.col("_lo.t"), F.col("_lo.s")) \
         .otherwise(F.col("_lo.s") + (F.col("_x") - F.col("_lo.t")) * (F.col("_hi.s") - F.col("_lo.s"))
                    / (F.col("_hi.t") - F.col("_lo.t")))
     return u.where(F.col("_tag") == 1).select(*key, F.col("_x").alias(x), v.alias(name))
 
 
-def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v: str, name: str,
-                  width: float | None = None) -> DataFrame:
+def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v: str, name: str) -> DataFrame:
     """``reindex(grid, method='ffill').fillna(0)`` of a step function.
 
     Bucketed like the as-of join: fill inside (key, t-bucket) windows, carry
@@ -280,8 +302,7 @@ def ffill_on_grid(grid: DataFrame, steps: DataFrame, key: list[str], t: str, v:
     s = steps.select(*key, F.col(t).cast("double").alias("_t"), F.col(v).cast("double").alias("_v"),
                      F.lit(0).alias("_tag"))
     u = g.unionByName(s)
-    wd = width or _value_width(u, "_t", 1024)
-    u = u.withColumn("_b", F.floor(F.col("_t") / F.lit(wd)).cast("long"))
+    u = equi_depth(u, "_t", "_b")
     w = Window.partitionBy(*key, "_b").orderBy("_t", "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
     last = u.where(F.col("_tag") == 0).groupBy(*key, "_b").agg(F.max_by("_v", "_t").alias("_lastv"))
@@ -305,29 +326,21 @@ def linspace(spark, start: float, stop: float, num: int, name: str = "x") -> Dat
                                    (F.lit(float(start)) + F.col("id") * F.lit(step)).alias(name))
 
 
-def fill_keys(keys: DataFrame, values: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Left join from a fixed key list, missing -> 0."""
-    return keys.join(values, key, "left").na.fill(0, subset=cols)
-
-
-# ------------------------------------------------ bucketed running aggregates
-def running_sums(df: DataFrame, keys: list[str], t: str, cols: list[str], width: float = 1.0,
-                 descending: bool = False, ties: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
+def running_sums(df: DataFrame, keys: list[str], t: str, cols: list[str], descending: bool = False,
+                 ties: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``cols`` in ``t`` order within ``keys``.
 
-    Rows are windowed per (keys, t-bucket of ``width``); each bucket adds the
-    totals of all earlier buckets from a small per-(keys, bucket) table.
+    Rows are windowed per (keys, equi-depth range of ``t``); each range adds the
+    totals of all earlier ranges from a small per-(keys, range) table.
     A global or hot-key order never lands in a single task. All columns are
     built in single projections (wide inputs plan in linear time)."""
     ties = ties or []
-    sign = -1.0 if descending else 1.0
-    bucket = F.floor(F.col(t) * F.lit(sign) / F.lit(width)).cast("long")
     tord = F.desc(t) if descending else F.asc(t)
     w = Window.partitionBy(*keys, "_rb").orderBy(tord, *[F.asc(c) for c in ties]) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = df.withColumn("_rb", bucket)
-    d = d.select("*", *[F.sum(c).over(w).alias("_in_" + c) for c in cols])
-    tot = df.withColumn("_rb", bucket).groupBy(*keys, "_rb").agg(*[F.sum(c).alias("_t_" + c) for c in cols])
+    ranged = equi_depth(df, t, "_rb", descending)
+    d = ranged.select("*", *[F.sum(c).over(w).alias("_in_" + c) for c in cols])
+    tot = ranged.groupBy(*keys, "_rb").agg(*[F.sum(c).alias("_t_" + c) for c in cols])
     wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, "_rb", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_b_" + c) for c in cols])
     d = d.join(tot, keys + ["_rb"], "left")
@@ -336,7 +349,7 @@ def running_sums(df: DataFrame, keys: list[str], t: str, cols: list[str], width:
 
 
 def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: str = "t", w: str = "w",
-                     tie_flag: str = "tie_counts", qid: list[str] | None = None, width: float = 1.0) -> DataFrame:
+                     tie_flag: str = "tie_counts", qid: list[str] | None = None) -> DataFrame:
     """For each query row: total weight of data rows in the same ``keys``
     group with ``t_data > t_query``, or ``t_data == t_query`` when the data
     row's ``tie_flag`` is true. Bucketed like ``running_sums``; no pairs are
@@ -348,7 +361,7 @@ def count_dominating(data: DataFrame, queries: DataFrame, keys: list[str], t: st
     Q = queries.select(*keys, F.col(t).alias("_t"), F.lit(0.0).alias("_w"), F.lit(1).alias("_k"),
                        *[F.col(c) for c in qid])
     D = D.select(*keys, "_t", "_w", "_k", *[F.col(c).cast(dict(Q.dtypes)[c]).alias(c) for c in qid])
-    u = D.unionByName(Q).withColumn("_rb", F.floor(-F.col("_t") / F.lit(width)).cast("long"))
+    u = equi_depth(D.unionByName(Q), "_t", "_rb", descending=True)
     win = Window.partitionBy(*keys, "_rb").orderBy(F.desc("_t"), F.asc("_k")) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumn("_run", F.sum("_w").over(win))
@@ -387,41 +400,36 @@ def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame
     if not isinstance(values.schema[c].dataType, T.NumericType):
         return _dense_rank_by_range(d, c, name)
     d = d.withColumn("_v", F.col(c).cast("double")).withColumn("_one", F.lit(1))
-    r = running_sums(d, [], "_v", ["_one"], width=_value_width(d, "_v"), ties=[c], prefix="_cum")
+    r = running_sums(d, [], "_v", ["_one"], ties=[c], prefix="_cum")
     return r.select(c, (F.col("_cum_one") - 1).cast("long").alias(name))
 
 
 # ------------------------------------------------- exact ranks, hot-group safe
-def exact_rank(df: DataFrame, group: list[str], value: str, tiebreak: str, name: str = "rank",
-               value_buckets: int = 4096, tie_bucket_bits: int = 20) -> DataFrame:
+def exact_rank(df: DataFrame, group: list[str], value: str, tiebreak: str, name: str = "rank") -> DataFrame:
     """0-based ``row_number() over (partition by group order by value, tiebreak)``
     without a window over a whole group.
 
-    rank = #rows of the group with a smaller value (bucketed running sums over
-    the distinct (group, value) table) + position among rows with an equal
-    value (windows per (group, value, tiebreak range) plus the counts of lower
-    ranges). ``tiebreak`` must be a unique long per row within the group.
-    Also adds ``<name>_n``, the group size."""
-    v = F.col(value).cast("double")
-    d = df.withColumn("_xv", v)
-    rng = d.agg(F.min("_xv").alias("_lo"), F.max("_xv").alias("_hi")).first()
-    lo, hi = (rng["_lo"] or 0.0), (rng["_hi"] or 0.0)
-    width = max((hi - lo) / value_buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
-    dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c"))
-    dv = running_sums(dv, group, "_xv", ["_c"], width=width, prefix="_cum")
-    dv = dv.select(*group, "_xv", (F.col("_cum_c") - F.col("_c")).alias("_below"))
-    tb = F.shiftright(F.col(tiebreak).cast("long"), 64 - tie_bucket_bits)
-    d = d.withColumn("_tb", tb)
-    w = Window.partitionBy(*group, "_xv", "_tb").orderBy(tiebreak)
-    d = d.withColumn("_in", F.row_number().over(w) - 1)
+    rank = #rows of the group with a smaller value (running sums over the
+    distinct (group, value) table) + position among rows with an equal value
+    (windows per (group, value, tiebreak range) plus the counts of lower
+    ranges). Tiebreak ranges are equi-depth over all rows, so one value shared
+    by a third of the rows is spread whatever the ids look like, and the rows
+    meet their offsets on the window's own keys: they are shuffled once.
+    ``tiebreak`` must be a unique long per row within the group. Also adds
+    ``<name>_n``, the group size."""
+    d = equi_depth(df.withColumn("_xv", F.col(value).cast("double")), tiebreak, "_tb")
     tc = d.groupBy(*group, "_xv", "_tb").agg(F.count(F.lit(1)).alias("_tc"))
+    dv = tc.groupBy(*group, "_xv").agg(F.sum("_tc").alias("_c"))
+    n = dv.groupBy(*group).agg(F.sum("_c").alias(name + "_n"))
+    dv = running_sums(dv, group, "_xv", ["_c"], prefix="_cum")
+    dv = dv.select(*group, "_xv", (F.col("_cum_c") - F.col("_c")).alias("_below"))
+    dv = dv.join(n, group) if group else dv.crossJoin(F.broadcast(n))
     wt = Window.partitionBy(*group, "_xv").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    tc = tc.select(*group, "_xv", "_tb", F.coalesce(F.sum("_tc").over(wt), F.lit(0)).alias("_lower"))
-    n = d.groupBy(*group).agg(F.count(F.lit(1)).alias(name + "_n"))
-    out = d.join(dv, group + ["_xv"]).join(tc, group + ["_xv", "_tb"])
-    out = out.join(n, group) if group else out.crossJoin(F.broadcast(n))
-    return out.withColumn(name, (F.col("_below") + F.col("_lower") + F.col("_in")).cast("long")) \
-        .drop("_xv", "_below", "_tb", "_in", "_lower")
+    start = tc.withColumn("_lower", F.coalesce(F.sum("_tc").over(wt), F.lit(0))).join(dv, group + ["_xv"]) \
+        .select(*group, "_xv", "_tb", (F.col("_below") + F.col("_lower")).alias("_start"), name + "_n")
+    w = Window.partitionBy(*group, "_xv", "_tb").orderBy(tiebreak)
+    out = d.withColumn("_in", F.row_number().over(w) - 1).join(start, group + ["_xv", "_tb"])
+    return out.withColumn(name, (F.col("_start") + F.col("_in")).cast("long")).drop("_xv", "_tb", "_in", "_start")
 
 
 def row_key(*cols) -> Column:
@@ -429,19 +437,15 @@ def row_key(*cols) -> Column:
     return F.xxhash64(*[col(c) for c in cols])
 
 
-def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float], name: str = "q",
-                    value_buckets: int = 4096) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float], name: str = "q") -> DataFrame:
     """Linear-interpolated quantiles (numpy / pandas default) per group,
     distributed and exact: the (group, value) -> count table (partial
-    aggregation, so hot groups and heavy ties collapse), bucketed running
-    counts, then the values holding ranks floor/ceil(p * (n - 1)). One row
-    per group with columns ``<name>_<i>``; no buffer of a whole group."""
+    aggregation, so hot groups and heavy ties collapse), running counts over
+    equi-depth ranges, then the values holding ranks floor/ceil(p * (n - 1)).
+    One row per group with columns ``<name>_<i>``; no buffer of a whole group."""
     d = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_xv"))
-    rng = d.agg(F.min("_xv").alias("_lo"), F.max("_xv").alias("_hi")).first()
-    lo, hi = (rng["_lo"] or 0.0), (rng["_hi"] or 0.0)
-    width = max((hi - lo) / value_buckets, max(abs(lo), abs(hi)) * 1e-12, 1e-12) if hi > lo else 1.0
     dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c"))
-    dv = running_sums(dv, group, "_xv", ["_c"], width=width, prefix="_cum")
+    dv = running_sums(dv, group, "_xv", ["_c"], prefix="_cum")
     n = dv.groupBy(*group).agg(F.max("_cum_c").alias("_n"))
     dv = (dv.join(n, group) if group else dv.crossJoin(F.broadcast(n))) \
         .withColumn("_below", F.col("_cum_c") - F.col("_c"))

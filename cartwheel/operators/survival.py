@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import MICROS_PER_DAY, frac_days, micros_between
+from cartwheel.session import stage
 from cartwheel.operators.relational import (
     count_dominating, dense_rank_exact, describe, ffill_on_grid, interp_at, linspace, qcut_labels,
     running_sums, trapezoid_area,
@@ -70,7 +71,7 @@ def stratified_split(df: DataFrame, key: str = "visitorid", strata: str = "churn
     hb = hb.withColumn("_cum", F.sum("_c").over(w)).join(n, strata)
     cut = hb.where((F.col("_cum") - F.col("_c") < F.col("_ntrain")) & (F.col("_cum") >= F.col("_ntrain"))) \
         .select(strata, F.col("_hb").alias("_cut"), (F.col("_ntrain") - (F.col("_cum") - F.col("_c"))).alias("_need"))
-    d = d.join(F.broadcast(cut), strata, "left")
+    d = d.join(cut, strata, "left")
     in_cut = d.where(F.col("_hb") == F.col("_cut"))
     wr = Window.partitionBy(strata).orderBy("_h", key)
     in_cut = in_cut.withColumn("split", F.when(F.row_number().over(wr) <= F.col("_need"), "train").otherwise("test"))
@@ -111,7 +112,7 @@ def standardize(train: DataFrame, apply_to: DataFrame, cols: list[str], suffix:
 
 # ---------------------------------------------------------------- H11 / H12
 def kaplan_meier(df: DataFrame, duration: str = "duration", event: str = "event", by: list[str] | None = None,
-                 z: float = Z95, width: float = 1.0) -> DataFrame:
+                 z: float = Z95) -> DataFrame:
     """Kaplan-Meier table per group: timeline (0 and every distinct
     duration), removed, observed, censored, at_risk, survival and the
     exponential-Greenwood 95 % band."""
@@ -124,13 +125,13 @@ def kaplan_meier(df: DataFrame, duration: str = "duration", event: str = "event"
     ev = base.groupBy(*keys, "timeline").agg(F.count(F.lit(1)).alias("removed"), F.sum("_e").alias("observed"))
     ev = ev.unionByName(zero).groupBy(*keys, "timeline") \
         .agg(F.sum("removed").alias("removed"), F.sum("observed").alias("observed"))
-    ev = running_sums(ev, keys, "timeline", ["removed"], width=width, descending=True, prefix="_risk_")
-    ev = ev.withColumnRenamed("_risk_removed", "at_risk").persist()
+    ev = running_sums(ev, keys, "timeline", ["removed"], descending=True, prefix="_risk_")
+    ev = stage(ev.withColumnRenamed("_risk_removed", "at_risk"))
     d, n = F.col("observed"), F.col("at_risk")
     ev = ev.withColumn("_lf", F.when(d < n, F.log(F.lit(1.0) - d / n)).otherwise(F.lit(0.0))) \
         .withColumn("_zf", (d >= n).cast("long") * (d > 0).cast("long")) \
         .withColumn("_gw", F.when(d < n, d / (n * (n - d))).otherwise(F.lit(0.0)))
-    ev = running_sums(ev, keys, "timeline", ["_lf", "_zf", "_gw"], width=width, prefix="_c")
+    ev = running_sums(ev, keys, "timeline", ["_lf", "_zf", "_gw"], prefix="_c")
     s = F.when(F.col("_c_zf") > 0, F.lit(0.0)).otherwise(F.exp(F.col("_c_lf")))
     ev = ev.withColumn("survival", s)
     v = F.log(F.col("survival"))
@@ -144,15 +145,15 @@ def kaplan_meier(df: DataFrame, duration: str = "duration", event: str = "event"
 
 
 # ---------------------------------------------------------------------- H15
-def concordance_index(df: DataFrame, duration: str, score: str, event: str, width: float = 1.0,
+def concordance_index(df: DataFrame, duration: str, score: str, event: str,
                       by: list[str] | None = None) -> DataFrame:
     """Harrell's C (higher score = longer survival), lifelines conventions:
     a pair (i, j) is comparable when i has the event and t_i < t_j, or
     t_i == t_j with j censored; score ties count 1/2. One row per ``by`` group.
 
     Exact and pair-free: rows are compressed to distinct (t, event, score)
-    with weights; score ranks are exact (range-partitioned sort, or a window
-    per group); pairs that differ in score are counted level by level over
+    with weights; score ranks are exact (running counts over equi-depth ranges);
+    pairs that differ in score are counted level by level over
     the binary expansion of the score rank (the pair's first differing bit
     decides which score is larger) with bucketed dominance counts on t, so
     the work is O(n log n) rows and no task sees a whole level."""
@@ -160,30 +161,31 @@ def concordance_index(df: DataFrame, duration: str, score: str, event: str, widt
     comp = df.select(*keys, F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
                      F.col(score).cast("double").alias("s")) \
         .groupBy(*keys, "t", "e", "s").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    comp = comp.persist()
+    comp = stage(comp)
     if keys:
-        ranks = comp.select(*keys, "s").distinct() \
-            .withColumn("r", (F.dense_rank().over(Window.partitionBy(*keys).orderBy("s")) - 1).cast("long"))
+        ranks = running_sums(comp.select(*keys, "s").distinct().withColumn("_one", F.lit(1)), keys, "s", ["_one"]) \
+            .select(*keys, "s", (F.col("cum__one") - 1).cast("long").alias("r"))
         n_ranks = (ranks.agg(F.max("r")).first()[0] or 0) + 1
     else:
         ranks = dense_rank_exact(comp, "s", "r")
         n_ranks = ranks.count()
     depth = max(1, math.ceil(math.log2(max(n_ranks, 2))))
-    c = comp.join(ranks, keys + ["s"]).withColumn("tie_counts", F.col("e") == 0).persist()
+    c = comp.join(ranks, keys + ["s"]).withColumn("tie_counts", F.col("e") == 0)
+    c = stage(c)
     deaths = c.where(F.col("e") == 1)
     qid = ["t", "e", "s"]
     dw = deaths.select(*keys, *qid, "w")
 
     def total(cnts, name):
         return cnts.join(dw, keys + qid).groupBy(*keys).agg(F.sum(F.col("cnt") * F.col("w")).alias(name))
-    pairs = total(count_dominating(c, deaths, keys, qid=qid, width=width), "pairs")
-    ties = total(count_dominating(c, deaths, keys + ["r"], qid=qid, width=width), "tied")
+    pairs = total(count_dominating(c, deaths, keys, qid=qid), "pairs")
+    ties = total(count_dominating(c, deaths, keys + ["r"], qid=qid), "tied")
     lv = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))) \
         .withColumn("block", F.expr(f"shiftright(r, {depth} - level)")) \
         .withColumn("role", F.expr(f"shiftright(r, {depth - 1} - level) & 1"))
     upper = lv.where(F.col("role") == 1)
     lower_deaths = lv.where((F.col("role") == 0) & (F.col("e") == 1))
-    conc = count_dominating(upper, lower_deaths, keys + ["level", "block"], qid=qid, width=width) \
+    conc = count_dominating(upper, lower_deaths, keys + ["level", "block"], qid=qid) \
         .groupBy(*keys, *qid).agg(F.sum("cnt").alias("cnt"))
     conc = total(conc, "concordant")
     groups = c.select(*keys).distinct()
@@ -212,7 +214,7 @@ def curves_from_baseline(users: DataFrame, baseline: DataFrame, risk: str, grid:
                        "survival", "s0")
     s0 = s0.withColumn("s0", F.when(F.col("t") < 0, F.lit(1.0)).otherwise(F.col("s0")))
     u = users.select("visitorid", *[c for c in ["business_label"] if c in users.columns], *keys, risk)
-    j = u.join(F.broadcast(s0), keys) if keys else u.crossJoin(F.broadcast(s0))
+    j = u.join(s0, keys) if keys else u.crossJoin(F.broadcast(s0))
     return j.withColumn("s", F.pow(F.col("s0"), F.exp(F.col(risk)))).drop("s0")
 
 

@@ -40,51 +40,51 @@ def _tx(spark, d):
 SELECT event, count(*) AS count, count(*) / sum(count(*)) OVER () AS share FROM ewp GROUP BY event""",
           doubles=["share"], ids="E1,A12,A13")
 def q_e1(spark, d):
-    return eda.event_counts(fr.ewp(spark, d))
+    return eda.event_counts(fr.ev(spark, d))
 
 
 @register("e2_daily_events", with_ctes("ewp") + """
 SELECT CAST("timestamp" AS DATE) AS "date", count(*) AS count FROM ewp GROUP BY 1""", ids="E2,A1,P15")
 def q_e2(spark, d):
-    return eda.counts_by(fr.ewp(spark, d), F.to_date("timestamp"), "date")
+    return eda.counts_by(fr.ev(spark, d), F.to_date("timestamp"), "date")
 
 
 @register("e3_hourly_events", with_ctes("ewp") + """
 SELECT CAST(hour("timestamp") AS INTEGER) AS "hour", count(*) AS count FROM ewp GROUP BY 1""", ids="E3,A1,P15")
 def q_e3(spark, d):
-    return eda.counts_by(fr.ewp(spark, d), F.hour("timestamp"), "hour")
+    return eda.counts_by(fr.ev(spark, d), F.hour("timestamp"), "hour")
 
 
 @register("e4_events_per_visitor", with_ctes("ewp") + """
 SELECT visitorid, count(*) AS count FROM ewp WHERE visitorid IS NOT NULL GROUP BY visitorid""", ids="E4,A1")
 def q_e4(spark, d):
-    return eda.size_per(fr.ewp(spark, d), "visitorid")
+    return eda.size_per(fr.ev(spark, d), "visitorid")
 
 
 @register("e4_events_per_visitor_hist", with_ctes("ewp") + ", s AS (SELECT visitorid, count(*) AS n FROM ewp GROUP BY 1)"
           + hist_sql("s", "n", 50), doubles=HIST, ids="E4,A17")
 def q_e4h(spark, d):
-    return eda.hist(eda.size_per(fr.ewp(spark, d), "visitorid"), "count", 50)
+    return eda.hist(eda.size_per(fr.ev(spark, d), "visitorid"), "count", 50)
 
 
 @register("e5_top_visitors", with_ctes("ewp") + """
 SELECT visitorid, count(*) AS count FROM ewp GROUP BY visitorid ORDER BY count DESC, visitorid LIMIT 20""",
           ids="E5,T2")
 def q_e5(spark, d):
-    return eda.top_by_count(eda.size_per(fr.ewp(spark, d), "visitorid"), "visitorid", 20)
+    return eda.top_by_count(eda.size_per(fr.ev(spark, d), "visitorid"), "visitorid", 20)
 
 
 @register("e6_events_per_item_hist", with_ctes("ewp") + ", s AS (SELECT itemid, count(*) AS n FROM ewp WHERE itemid IS NOT NULL GROUP BY 1)"
           + hist_sql("s", "n", 50), doubles=HIST, ids="E6,A1,A17")
 def q_e6h(spark, d):
-    return eda.hist(eda.size_per(fr.ewp(spark, d), "itemid"), "count", 50)
+    return eda.hist(eda.size_per(fr.ev(spark, d), "itemid"), "count", 50)
 
 
 @register("e6_top_items", with_ctes("ewp") + """
 SELECT itemid, count(*) AS count FROM ewp WHERE itemid IS NOT NULL GROUP BY itemid ORDER BY count DESC, itemid LIMIT 20""",
           ids="E6,T2")
 def q_e6(spark, d):
-    return eda.top_by_count(eda.size_per(fr.ewp(spark, d), "itemid"), "itemid", 20)
+    return eda.top_by_count(eda.size_per(fr.ev(spark, d), "itemid"), "itemid", 20)
 
 
 @register("e7_funnel", with_ctes("ewp") + """
@@ -98,7 +98,7 @@ FROM (SELECT count(*) FILTER (WHERE event = 'view') AS "view", count(*) FILTER (
           doubles=["addtocart_rate", "purchase_rate", "addtocart_pct_of_views", "transaction_pct_of_views"],
           ids="E7,E22,P29")
 def q_e7(spark, d):
-    return eda.funnel(fr.ewp(spark, d))
+    return eda.funnel(fr.ev(spark, d))
 
 
 @register("e8_baskets", with_ctes("bask") + "SELECT * FROM bask", doubles=BASKET_DOUBLES, ids="E8,A3,A5,A7,P15")
@@ -210,8 +210,8 @@ LEFT JOIN (SELECT CAST("timestamp" AS DATE) AS "date", count(*) FILTER (WHERE ev
                   count(*) FILTER (WHERE event = 'transaction') AS "transaction" FROM ewp GROUP BY 1) p
   ON d."date" = p."date\"""", ids="E21,A11,P29")
 def q_e21(spark, d):
-    e = fr.ewp(spark, d)
-    return eda.daily_event_pivot(e, eda.baskets(e))
+    e = fr.ev(spark, d)
+    return eda.daily_event_pivot(e, eda.baskets(e.withColumn("price", F.lit(None).cast("double"))))
 
 
 @register("e23_basket_size_buckets", with_ctes("bask") + """
@@ -257,8 +257,7 @@ def q_e25(spark, d):
 SELECT CAST(n AS BIGINT) AS n, cum / total AS coverage FROM (
   SELECT row_number() OVER (ORDER BY count DESC, itemid) AS n,
          sum(count) OVER (ORDER BY count DESC, itemid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM c),
-  (SELECT sum(count) AS total FROM c)
-WHERE n IN (1, 5, 10, 50, 100)""", doubles=["coverage"], ids="E26,W9")
+  (SELECT sum(count) AS total FROM c)""", doubles=["coverage"], ids="E26,W9")
 def q_e26(spark, d):
     return eda.item_coverage(_tx(spark, d))
 

@@ -305,3 +305,23 @@ def q_f14(spark, d):
 def q_h26(spark, d):
     tr, _ = scaled_split(spark, d)
     return cm.permutation_importance(_forest(spark, d), tr, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS)
+
+
+# ------------------------------------------- policy on the fitted models (X)
+from cartwheel.operators import policy as po  # noqa: E402
+from cartwheel.plans import clv_queries as cq  # noqa: E402
+
+
+def _fitted_gains(spark, d):
+    users = po.policy_inputs_fitted(fr.users_pipeline(spark, d), cq.q_c16(spark, d), q_h29(spark, d))
+    return po.simulate_gains(stage(users), po.draws_frame(spark))
+
+
+@register("x5_fitted_discount_optimization", ids="X1,X2,X3,X4,X5,X6")
+def q_x5_fitted(spark, d):
+    return po.optimization_table(_fitted_gains(spark, d))
+
+
+@register("x8_fitted_recommendations", ids="X7,X8")
+def q_x8_fitted(spark, d):
+    return po.recommendations(po.optimization_table(_fitted_gains(spark, d)))

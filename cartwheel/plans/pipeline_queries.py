@@ -196,7 +196,7 @@ def q_f5(spark, d):
 SELECT visitorid, "timestamp", itemid, event, prev_ts, delta_s, very_fast, prev_item, same_item_repeat,
        minute, events_per_minute FROM rate""", doubles=["delta_s"], ids="F6,W1,W3,P16,J3,T1")
 def q_f6(spark, d):
-    return fe.add_rate_features(fr.ewp(spark, d)).select(
+    return fe.add_rate_features(fr.ev(spark, d)).select(
         "visitorid", "timestamp", "itemid", "event", "prev_ts", "delta_s", "very_fast", "prev_item",
         "same_item_repeat", "minute", "events_per_minute")
 

@@ -5,7 +5,6 @@ reference's seeded stream, embedded verbatim in the oracle."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cartwheel.operators import policy as po
 from cartwheel.plans import frames as fr
@@ -60,6 +59,24 @@ register_cte("opt", ["gains"], """
          quantile_cont(gain, 0.95) AS best_95pct
   FROM gains GROUP BY segment, discount""")
 
+_PUBLISHED = ", ".join(f"('{s}', '{p['k']!r}'::DOUBLE, '{p['c']!r}'::DOUBLE, '{p['m']!r}'::DOUBLE)"
+                       for s, p in po.PUBLISHED_SEGMENT_PARAMS.items())
+register_cte("published_gains", ["policy_users", "draws"], f"""
+  SELECT l.business_label AS segment, l.discount, d.sim_id,
+         (1.0 + pmin + (pmax - pmin) * u1) * (coalesce(seg_a, 0.0)
+             - (1.0 - center * (0.8 + 0.4 * u2)) * coalesce(seg_b, 0.0))
+         - coalesce(seg_c, 0.0) - l.discount * (1.0 + pmin + (pmax - pmin) * u1) * coalesce(seg_a, 0.0) AS gain
+  FROM (SELECT *, k * pow(discount, 0.85) AS pmin, k * pow(discount, 1.05) AS pmax,
+               1.0 / (1.0 + exp(-c * (discount - m))) AS center
+        FROM (SELECT *, unnest({_grid_sql()}) AS discount
+              FROM (VALUES {_PUBLISHED}) AS t(business_label, k, c, m))) l
+  LEFT JOIN (SELECT business_label, sum(pred_no_purchase * pred_money_each_purchase) AS seg_a,
+                    sum(pred_no_purchase * pred_money_each_purchase * (1.0 - survival_prob)) AS seg_b,
+                    sum(baseline_clv) AS seg_c
+             FROM policy_users WHERE pred_no_purchase IS NOT NULL AND pred_money_each_purchase IS NOT NULL
+               AND survival_prob IS NOT NULL GROUP BY business_label) s ON l.business_label = s.business_label
+  CROSS JOIN draws d""")
+
 OPT = ["discount", "mean_gain", "median_gain", "prob_positive", "worst_5pct", "best_95pct"]
 
 
@@ -171,4 +188,12 @@ def q_x11(spark, d):
     return po.sensitivity(_opt(spark, d))
 
 
-_ = F
+
+@register("x5_published_parameters", with_ctes("published_gains") + """
+SELECT segment, discount, avg(gain) AS mean_gain, quantile_cont(gain, 0.5) AS median_gain,
+       avg(CAST(gain > 0 AS DOUBLE)) AS prob_positive, quantile_cont(gain, 0.05) AS worst_5pct,
+       quantile_cont(gain, 0.95) AS best_95pct
+FROM published_gains GROUP BY segment, discount""", doubles=OPT, ids="X5,X6")
+def q_x5_published(spark, d):
+    params = po.published_parameters(spark)
+    return po.optimization_table(po.simulate_gains(_users(spark, d), po.draws_frame(spark), params))

@@ -156,12 +156,34 @@ SELECT concordant, tied, pairs, (concordant + 0.5 * tied) / pairs AS c_index FRO
   SELECT CAST(count(*) FILTER (WHERE j.s > i.s) AS DOUBLE) AS concordant,
          CAST(count(*) FILTER (WHERE j.s = i.s) AS DOUBLE) AS tied, CAST(count(*) AS DOUBLE) AS pairs
   FROM x i JOIN x j ON i.e = 1 AND (i.t < j.t OR (i.t = j.t AND j.e = 0)))""",
-          doubles=["concordant", "tied", "pairs", "c_index"], ids="H15,J12,H7")
+          doubles=["concordant", "tied", "pairs", "c_index"], ids="H15,J12")
 def q_h15(spark, d):
     t = _test_scored(spark, d).withColumn("neg_risk", -F.col("risk_score"))
     return sv.concordance_index(t, "time_to_event", "neg_risk", "churned")
 
 
+@register("h7_auc_of_score", with_ctes("test_scored") + """
+, r AS (SELECT churned AS y, rank() OVER (ORDER BY risk_score)
+               + (count(*) OVER (PARTITION BY risk_score) - 1) / 2.0 AS rk FROM test_scored)
+SELECT (sum(rk) FILTER (WHERE y = 1) - count(*) FILTER (WHERE y = 1) * (count(*) FILTER (WHERE y = 1) + 1) / 2.0)
+       / (count(*) FILTER (WHERE y = 1) * count(*) FILTER (WHERE y = 0)) AS auc,
+       count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y = 0) AS n_neg FROM r""",
+          doubles=["auc"], ids="H7,W11")
+def q_h7_score(spark, d):
+    from cartwheel.operators.churn_ml import auc
+    return auc(_test_scored(spark, d), "churned", "risk_score")
+
+
+@register("h8_errors_of_logistic_score", with_ctes("test_scored") + """
+, p AS (SELECT 1.0 / (1.0 + exp(-risk_score)) - churned AS e FROM test_scored)
+SELECT avg(e * e) AS mse, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae FROM p""",
+          doubles=["mse", "rmse", "mae"], ids="H8")
+def q_h8_score(spark, d):
+    from cartwheel.operators.churn_ml import prob_errors
+    t = _test_scored(spark, d).withColumn("prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("risk_score"))))
+    return prob_errors(t, "churned", "prob")
+
+
 @register("h17_mean_curve_by_segment", with_ctes("curves") + """
 SELECT business_label, t, avg(s) AS mean_survival FROM curves GROUP BY 1, 2""",
           doubles=["t", "mean_survival"], ids="H17,J11,P28,P30")

@@ -45,16 +45,17 @@ def load_events_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_item_props_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """S2 + S4: property CSV part(s) with an ingest sequence (part, row id) that
-    keeps file order (part1 rows before part2 rows), so 'last value' means the
-    same as in the concatenated frame."""
+    """S2 + S4: property CSV part(s) with an ingest sequence (part, file name,
+    place in the file) that keeps file order however Spark packs the files into
+    tasks, so 'last value' means the same as in the concatenated frame."""
     paths = [path] if isinstance(path, str) else list(path)
     parts = []
     for i, p in enumerate(paths):
         d = spark.read.schema(ITEM_PROPS_CSV_SCHEMA).option("header", True).csv(p)
         d = d.withColumn("timestamp", from_epoch_ms("timestamp")) \
-             .withColumn("ingest_seq", F.struct(F.lit(i).alias("part"),
-                                                F.monotonically_increasing_id().alias("row")))
+             .withColumn("ingest_seq", F.struct(
+                 F.lit(i).alias("part"), F.col("_metadata.file_path").alias("file"),
+                 F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
         parts.append(d)
     return concat_parts(parts)
 
