@@ -21,6 +21,7 @@ from cartwheel.operators.relational import avg_rank, interp_at, top_n
 
 GBT_STEP, GBT_DEPTH, GBT_ROUNDS = 0.05, 5, 1000
 FOREST_TREES, FOREST_MIN_LEAF, FOREST_MIN_LEAF_REFIT = 300, 15, 5
+FOREST_DEPTH = 30  # MLlib's largest; the reference sets no limit
 
 
 def fit_gbt(train: DataFrame, features: list[str], label: str = "churned", max_iter: int = GBT_ROUNDS,
@@ -70,7 +71,7 @@ def person_period(df: DataFrame, duration: str, event: str, period_days: float)
 
 def fit_forest(train: DataFrame, features: list[str], duration: str = "duration", event: str = "event",
                period_days: float = 30.0, num_trees: int = FOREST_TREES, min_leaf: int = FOREST_MIN_LEAF,
-               max_depth: int = 8, seed: int = 42):
+               max_depth: int = FOREST_DEPTH, seed: int = 42):
     """Random forest on the discrete-time hazard."""
     pp = person_period(train, duration, event, period_days)
     x = assemble(pp.na.fill(0, subset=features), features + ["period"])
@@ -89,9 +90,10 @@ def forest_curves(model, df: DataFrame, features: list[str], horizon_periods: in
     h = model.transform(x).withColumn("hazard", vector_to_array("probability")[1]) \
         .select(*keys, *[c for c in ["business_label"] if c in df.columns], "period", "hazard")
     w = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a hazard of 1 ends the curve at 0; the risk stays a finite number
     lf = F.log(F.greatest(F.lit(1.0) - F.col("hazard"), F.lit(1e-12)))
     return h.withColumn("cum_hazard", F.sum(-lf).over(w)) \
-        .withColumn("s", F.exp(-F.col("cum_hazard"))) \
+        .withColumn("s", F.when(F.max("hazard").over(w) >= 1.0, F.lit(0.0)).otherwise(F.exp(-F.col("cum_hazard")))) \
         .withColumn("t", (F.col("period") + 1) * F.lit(float(period_days)))
 
 

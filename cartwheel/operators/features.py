@@ -66,13 +66,13 @@ def get_small_props(props: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- F3
-def attach_item_properties(events: DataFrame, snapshots: DataFrame, bucket: str = "day") -> DataFrame:
+def attach_item_properties(events: DataFrame, snapshots: DataFrame) -> DataFrame:
     """As-of (backward) snapshot per event + all-time item mean price imputation.
 
     Only ``price`` is numeric on the snapshot side, so only it is imputed and
     only ``mean_price`` is added (the reference's fresh path)."""
     enriched = asof_join(events, snapshots, by="itemid", left_on="timestamp", right_on="timestamp",
-                         right_cols=["available", "categoryid", "price"], bucket=bucket)
+                         right_cols=["available", "categoryid", "price"])
     means = snapshots.groupBy("itemid").agg(F.avg("price").alias("mean_price"))
     return enriched.join(means, "itemid", "left") \
         .withColumn("price", F.coalesce("price", "mean_price"))

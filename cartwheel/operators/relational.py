@@ -8,8 +8,8 @@ rows to the driver. Scale rules applied throughout:
   totals (``running_sums``, ``exact_rank``, ``exact_quantiles``);
 * windows over raw rows are never partitioned by a key alone when that key
   can be hot (one item / one visitor holding a third of the rows): the time
-  axis is bucketed and a small per-(key, bucket) table carries state across
-  bucket borders (``asof_join``, ``bucketed_lag``);
+  axis is cut into ranges and a small per-(key, range) table carries state
+  across their borders (``asof_join``, ``bucketed_lag``);
 * global orderings only run on already-aggregated (small) tables;
 * the only broadcasts are one-row scalar frames or tables bounded by a fixed
   parameter (number of bins, grid points, segments).
@@ -22,46 +22,47 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import col
 
-DEFAULT_TIME_BUCKET = "day"
+# ---------------------------------------------------------------- as-of join
+def _micros(df: DataFrame, c: str) -> Column:
+    """A time column as microseconds, in its own order whatever the session's
+    time zone."""
+    if dict(df.dtypes)[c] == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
+    return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-# ---------------------------------------------------------------- as-of join
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on: str,
-              right_cols: list[str] | None = None, bucket: str = DEFAULT_TIME_BUCKET) -> DataFrame:
+              right_cols: list[str] | None = None) -> DataFrame:
     """Backward as-of join (J1): every left row gets the latest right row of the
     same ``by`` key with ``right_on <= left_on`` (exact matches allowed).
 
     The whole matched right row is taken, so a matched snapshot with a NULL
     attribute stays NULL (no skipping to older snapshots).
 
-    Plan: union both sides, window over (key, time bucket) ordered by time with
-    right rows first on ties -> running ``last(struct, ignorenulls)``. Matches
-    from earlier buckets come from a per-(key, bucket) "last snapshot" table,
-    itself as-of joined with a window over key that holds at most one row per
-    bucket, so a hot key is spread over its buckets instead of one task.
+    Plan: union both sides, window over (key, time range) ordered by time with
+    right rows first on ties -> running ``last(struct, ignorenulls)``. The time
+    ranges hold equally many rows of both sides, so a hot key is spread even if
+    it has all rows of one day. Matches from earlier ranges come from a
+    per-(key, range) "last snapshot" table whose window per key has at most one
+    row per range.
     """
     rc = right_cols or [c for c in right.columns if c not in (by, right_on)]
     snap = F.struct(*[F.col(c) for c in rc])
     lcols = left.columns
-    L = left.withColumn("_aj_b", F.date_trunc(bucket, F.col(left_on))) \
-        .withColumn("_aj_t", F.col(left_on)).withColumn("_aj_tag", F.lit(1))
+    L = left.withColumn("_aj_t", F.col(left_on)).withColumn("_aj_tag", F.lit(1))
     R = right.select(F.col(by), F.col(right_on).alias("_aj_t"), snap.alias("_aj_snap")) \
-        .withColumn("_aj_b", F.date_trunc(bucket, F.col("_aj_t"))).withColumn("_aj_tag", F.lit(0))
+        .withColumn("_aj_tag", F.lit(0))
     u = L.unionByName(R, allowMissingColumns=True)
+    u = equi_depth(u.withColumn("_aj_v", _micros(u, "_aj_t")), "_aj_v", "_aj_b").drop("_aj_v")
     w = Window.partitionBy(by, "_aj_b").orderBy("_aj_t", "_aj_tag") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hit = u.withColumn("_aj_hit", F.last("_aj_snap", ignorenulls=True).over(w)) \
         .where(F.col("_aj_tag") == 1)
 
-    # last snapshot of each (key, bucket) and the carry-in for each left bucket
-    bl = R.groupBy(by, "_aj_b").agg(F.max_by("_aj_snap", "_aj_t").alias("_aj_snap")) \
-        .withColumn("_aj_tag", F.lit(1))
-    lb = L.select(by, "_aj_b").distinct().withColumn("_aj_tag", F.lit(0))
-    wb = Window.partitionBy(by).orderBy("_aj_b", "_aj_tag") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = lb.unionByName(bl, allowMissingColumns=True) \
-        .withColumn("_aj_carry", F.last("_aj_snap", ignorenulls=True).over(wb)) \
-        .where(F.col("_aj_tag") == 0).select(by, "_aj_b", "_aj_carry")
+    # last snapshot of each (key, range), carried to the key's later ranges
+    last = u.groupBy(by, "_aj_b").agg(F.max_by("_aj_snap", F.when(F.col("_aj_tag") == 0, F.col("_aj_t"))).alias("_aj_last"))
+    wb = Window.partitionBy(by).orderBy("_aj_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(by, "_aj_b", F.last("_aj_last", ignorenulls=True).over(wb).alias("_aj_carry"))
 
     out = hit.join(carry, [by, "_aj_b"], "left") \
         .withColumn("_aj_m", F.coalesce("_aj_hit", "_aj_carry"))

@@ -228,6 +228,19 @@ def expected_lifetime(curves: DataFrame, key: str = "visitorid", t: str = "t", s
     return trapezoid_area(curves, [key], t, s, "expected_lifetime")
 
 
+def expected_lifetime_from_baseline(users: DataFrame, baseline: DataFrame, risk: str, grid: DataFrame) -> DataFrame:
+    """H27 for curves S0(t) ** exp(risk): the trapezoid area under each user's
+    curve as one expression over the baseline's grid values, which are a single
+    broadcast row. Users are neither multiplied by the grid nor shuffled."""
+    s0 = ffill_on_grid(grid.select("t"), baseline.select(F.col("timeline").alias("t"), "survival"), [], "t", "survival", "s0")
+    s0 = s0.agg(F.sort_array(F.collect_list(F.struct("t", "s0"))).alias("_grid"))
+    at = lambda i: F.get(F.col("_grid"), i)
+    power = lambda i: F.pow(at(i)["s0"], F.exp(F.col(risk)))
+    area = F.aggregate(F.sequence(F.lit(1), F.size("_grid") - 1), F.lit(0.0), lambda acc, i:
+                       acc + (at(i)["t"] - at(i - 1)["t"]) * (power(i) + power(i - 1)) / 2.0)
+    return users.crossJoin(F.broadcast(s0)).select("visitorid", area.alias("expected_lifetime"))
+
+
 def interpolate_curves(points: DataFrame, curves: DataFrame, key: list[str], x: str, t: str, s: str) -> DataFrame:
     """P27 helper: ``np.interp`` of per-key curves at the points."""
     return interp_at(points, curves, key, x, t, s, "s")

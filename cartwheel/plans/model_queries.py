@@ -122,7 +122,6 @@ from cartwheel.operators import cluster as cl  # noqa: E402
 from cartwheel.operators import rfm as rf  # noqa: E402
 from cartwheel.plans import frames as fr  # noqa: E402
 
-GBT_ROUNDS_REGISTERED = 100
 FOREST_PERIOD_DAYS = 30.0
 
 
@@ -169,7 +168,7 @@ def q_g9m(spark, d):
 # ------------------------------------------------------- churn classifier
 def _gbt(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("gbt", sid(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event", max_iter=GBT_ROUNDS_REGISTERED))
+    return memo(("gbt", sid(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event"))
 
 
 def _gbt_pred(spark, d):

@@ -217,7 +217,7 @@ SELECT visitorid, coalesce(sum((t2 - t) * (s + s2) / 2.0), 0.0) AS expected_life
   WINDOW w AS (PARTITION BY visitorid ORDER BY t)) GROUP BY visitorid""",
           doubles=["expected_lifetime"], ids="H27")
 def q_h27(spark, d):
-    return sv.expected_lifetime(_curves(spark, d))
+    return sv.expected_lifetime_from_baseline(_test_scored(spark, d), _km(spark, d), "risk_score", sv.survival_grid(spark))
 
 
 @register("h28_interpolated_segment_curves", with_ctes("km_by_label", "grid") + """

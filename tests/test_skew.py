@@ -40,3 +40,19 @@ def test_hot_keys_match_oracle(spark, skewed, name):
     d, con = skewed
     err = compare(ent.queries()[name](spark, d).toPandas(), con.execute(ent.oracle_sql()[name]).df())
     assert err is None, err
+
+
+def test_asof_join_spreads_an_item_with_all_rows_of_a_day(spark):
+    import datetime as dt
+    from cartwheel.operators import relational
+    t0 = dt.datetime(2024, 5, 1)
+    ev = spark.range(20_000).selectExpr(
+        "id", "7L as itemid", "timestamp_ntz '2024-05-01 00:00:00' + make_dt_interval(0, 0, 0, id * 4) as timestamp")
+    snaps = spark.createDataFrame([(7, t0 + dt.timedelta(minutes=37 * i), float(i)) for i in range(40)],
+                                  "itemid long, timestamp timestamp_ntz, price double")
+    got = relational.asof_join(ev, snaps, "itemid", "timestamp", "timestamp", ["price"])
+    bad = got.where(F.col("price") != F.least(F.floor(F.col("id") * 4 / (37 * 60)), F.lit(39))).count()
+    assert got.count() == 20_000 and bad == 0
+    ranges = relational.equi_depth(ev.withColumn("v", relational._micros(ev, "timestamp")), "v", "r") \
+        .groupBy("itemid", "r").count().agg(F.max("count")).first()[0]
+    assert ranges <= 3 * 20_000 / 256
