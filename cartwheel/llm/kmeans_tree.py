@@ -1,12 +1,15 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
 * *Tree.* k-means with ``BRANCH`` centres is repeated inside each cluster until
-  a leaf stands for about ``leaf_rows`` rows. It is fitted in one task on at
+  a leaf stands for about ``leaf_rows`` rows (default: four times the square
+  root of their number). It is fitted in one task on at
   most ``SAMPLE_ROWS`` vectors chosen by a hash of the id (a documented bound);
   every row is then put in a leaf by descending to the nearest centre.
 * *Search.* A query keeps a priority queue of tree nodes by the inner product
   with their centres, opens the best one first and visits leaves until the
-  calibrated number is reached and the visited leaves hold enough rows.
+  calibrated number is reached and the visited leaves hold enough rows. Its
+  best leaves are compared first; the k-th score found there bounds what the
+  others return.
 * *Calibration.* For up to ``CALIBRATION`` queries the true neighbours are found
   by brute force over all rows; leaf visits are widened until the mean share of
   true neighbours inside the visited leaves reaches ``recall``.
@@ -199,7 +202,7 @@ def calibrate(index: DataFrame, queries: DataFrame, tree: dict, tree_b, k: int,
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           recall: float = 0.97, leaf_rows: int = 256, sample_rows: int = SAMPLE_ROWS,
+           recall: float = 0.95, leaf_rows: int | None = None, sample_rows: int = SAMPLE_ROWS,
            calibration: int = CALIBRATION) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every query row
     (``is_query`` is a condition on the column ``id``)."""
@@ -209,7 +212,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
     total = vectors.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = fit_tree(vectors, total, leaf_rows, sample_rows)
+    # visits and rows compared per query both grow with the square root of the rows
+    tree = fit_tree(vectors, total, leaf_rows or max(128, int(4 * total ** 0.5)), sample_rows)
     tree_b = sc.broadcast(tree)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,10 +240,10 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
                         break
                     seen += size[leaf]
                     if size[leaf]:
-                        out.append((i, leaf))
-            yield pd.DataFrame(out, columns=["id", "leaf"])
+                        out.append((i, leaf, n))
+            yield pd.DataFrame(out, columns=["id", "leaf", "n"])
 
-    visited = staged(queries.mapInPandas(visit, "id long, leaf int"), "leaf-visits")
+    visited = staged(queries.mapInPandas(visit, "id long, leaf int, n int"), "leaf-visits")
     asks = np.zeros(tree["leaves"], np.int64)
     for r in visited.groupBy("leaf").count().collect():
         asks[r[0]] = r[1]
@@ -254,16 +258,28 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
     def one(n: str) -> Column:
         return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
 
-    left = visited.join(queries, "id").join(dealt, "leaf") \
-        .withColumn("qb", one("nq")).withColumn("vb", every("nv")).select("leaf", "vb", "qb", "id", "vec")
     right = index.join(dealt, "leaf").withColumn("vb", one("nv")).withColumn("qb", every("nq")) \
         .select("leaf", "vb", "qb", "id", "vec")
 
     def compare(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return top_rows(q["id"].to_numpy(np.int64), _matrix(q["vec"]), v["id"].to_numpy(np.int64), _matrix(v["vec"]), k)
-
-    found = left.groupBy("leaf", "vb", "qb").cogroup(right.groupBy("leaf", "vb", "qb")) \
-        .applyInPandas(compare, "query_id long, vec_id long, score double")
+        q_id = q["id"].to_numpy(np.int64)
+        out = top_rows(q_id, _matrix(q["vec"]), v["id"].to_numpy(np.int64), _matrix(v["vec"]), k)
+        least = dict(zip(q_id.tolist(), q["least"].tolist()))
+        return out[out["score"] >= out["query_id"].map(least)]
+
+    def candidates(visits_: DataFrame) -> DataFrame:
+        left = visits_.join(queries, "id").join(dealt, "leaf") \
+            .withColumn("qb", one("nq")).withColumn("vb", every("nv")).select("leaf", "vb", "qb", "id", "vec", "least")
+        return left.groupBy("leaf", "vb", "qb").cogroup(right.groupBy("leaf", "vb", "qb")) \
+            .applyInPandas(compare, "query_id long, vec_id long, score double")
+
+    # the best leaves first: their k-th score bounds what the other leaves need to return
+    none = F.lit(float("-inf"))
+    first = F.col("n") < max(1, visits // 8)
+    near = staged(_best(candidates(visited.where(first).withColumn("least", none)), k), "near-candidates")
+    bound = near.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least"))
+    rest = visited.where(~first).join(bound, "id", "left").withColumn("least", F.coalesce("least", none))
+    found = near.drop("rank").unionByName(candidates(rest))
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
