@@ -220,15 +220,20 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], words: np.ndarray, shapes: np
     0/1 labels."""
     if len(y) == 0 or y.min() == y.max():
         return {"share": float(y.mean()) if len(y) else 0.0}
-    owner = np.repeat(np.arange(len(docs)), [len(h) for h, _ in docs])
-    times = np.concatenate([c for _, c in docs]).astype(np.int64)
-    uniq, base, n = np.unique(np.concatenate([h for h, _ in docs]), return_inverse=True, return_counts=True)
     # bases in fewer than three rows can neither be mined nor be significant, but lexicon words stay
     lexicon = lexicon_hashes()
-    keep = (n >= 3) | (_find(lexicon, uniq) >= 0)
-    number = np.cumsum(keep) - 1
-    known = keep[base]
-    owner, times, base, uniq = owner[known], times[known], number[base[known]], uniq[keep]
+    every = np.concatenate([h for h, _ in docs])
+    every.sort()
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])[:len(every)])
+    n = np.diff(np.append(first, len(every)))
+    uniq = every[first]
+    uniq = uniq[(n >= 3) | (_find(lexicon, uniq) >= 0)]
+    del every, first, n
+    known = [(at[at >= 0], c[at >= 0]) for at, c in ((_find(uniq, h), c) for h, c in docs)]
+    owner = np.repeat(np.arange(len(docs)), [len(b) for b, _ in known])
+    base = np.concatenate([b for b, _ in known])
+    times = np.concatenate([c for _, c in known]).astype(np.int64)
+    del known
     cols, row = levels(base, times, words[owner])
     rows = owner[row]
     n_cols = len(uniq) * LEVELS
