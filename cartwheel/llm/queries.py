@@ -12,11 +12,11 @@ from cartwheel.llm import (
     html_extract,
     kmeans_tree,
     line_dedup,
-    lm_score,
     ngram_join,
     pfair_mix,
     quality,
     toxicity,
+    word_lm,
 )
 from cartwheel.llm.common import is_held_out
 from cartwheel.sources.tables import read_table
@@ -41,7 +41,7 @@ LM_TARGET_LANG = "en"
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return lm_score.score_documents(docs, F.col("lang") == LM_TARGET_LANG).select("doc_id", "n_tokens", "score")
+    return word_lm.score_documents(docs, F.col("lang") == LM_TARGET_LANG).select("doc_id", "n_tokens", "score")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
