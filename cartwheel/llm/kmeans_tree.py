@@ -202,7 +202,7 @@ def calibrate(index: DataFrame, queries: DataFrame, tree: dict, tree_b, k: int,
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-           recall: float = 0.95, leaf_rows: int | None = None, sample_rows: int = SAMPLE_ROWS,
+           recall: float = 0.97, leaf_rows: int | None = None, sample_rows: int = SAMPLE_ROWS,
            calibration: int = CALIBRATION) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every query row
     (``is_query`` is a condition on the column ``id``)."""
