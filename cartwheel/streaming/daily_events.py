@@ -1,7 +1,8 @@
 """Structured Streaming form of the daily event counts (E2 / D1 style).
 
 The clickstream table is read as a file stream, mapped to the reference's
-event vocabulary, and aggregated per (day window, event) with a watermark. Each
+event vocabulary, and aggregated per (day window, event), with a watermark if
+the caller gives one. Each
 micro-batch writes the totals it changed into the shared checkpoint folder
 (``foreachBatch``), and the stream keeps its own checkpoint there, so a
 restarted job resumes instead of recounting."""
@@ -31,21 +32,22 @@ def clickstream_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger:
 
 
 def daily_event_counts(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-                       watermark: str = "3650 days") -> DataFrame:
+                       watermark: str | None = None) -> DataFrame:
     """Run the stream to completion (availableNow) and return the table.
 
-    Days are event-time windows under the watermark, so state of days older
-    than it is dropped. In update mode a micro-batch delivers the new totals of
+    Days are event-time windows. Without a watermark every row counts, in
+    however many micro-batches and whatever order the files come; the state is a
+    row per day and event. A live feed passes its own lateness as ``watermark``:
+    then state of older days is dropped, and so are their late rows. In update mode a micro-batch delivers the new totals of
     the days it touched; each is written under its batch number (a retried
-    batch overwrites its own folder) and the last total of a day is its count.
-    The default watermark admits a backlog of files in any order; a live feed
-    passes its own lateness."""
+    batch overwrites its own folder) and the last total of a day is its count."""
     import uuid
     root = ensure_checkpoint_dir(spark).rstrip("/")
     out = out_dir or f"{root}/cartwheel_streams/{uuid.uuid4().hex}"
-    agg = clickstream_stream(spark, sf_dir) \
-        .withColumn("ts_ltz", F.col("timestamp").cast("timestamp")) \
-        .withWatermark("ts_ltz", watermark) \
+    events = clickstream_stream(spark, sf_dir).withColumn("ts_ltz", F.col("timestamp").cast("timestamp"))
+    if watermark is not None:
+        events = events.withWatermark("ts_ltz", watermark)
+    agg = events \
         .groupBy(F.window("ts_ltz", "1 day").alias("day"), F.to_date("timestamp").alias("date"), "event") \
         .agg(F.count(F.lit(1)).alias("count"))
 
