@@ -11,6 +11,7 @@ from cartwheel.llm import (
     decontaminate,
     html_extract,
     kmeans_tree,
+    language_id,
     line_dedup,
     ngram_join,
     pfair_mix,
@@ -106,6 +107,14 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    profiles = language_id.learn_profiles(docs.where(fold != 2))
+    out = language_id.predict_language(docs.select("doc_id", "text"), profiles)
+    return out.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_lm_score, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate,
-    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest)}
+    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest, op13_language_id)}
