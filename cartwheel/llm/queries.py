@@ -17,9 +17,10 @@ from cartwheel.llm import (
     pfair_mix,
     quality,
     toxicity,
+    turn_repair,
     word_lm,
 )
-from cartwheel.llm.common import is_held_out
+from cartwheel.llm.common import is_held_out, staged
 from cartwheel.sources.tables import read_table
 
 # Target shares of the mix; every other source shares the class "(other)".
@@ -107,6 +108,19 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    broken = turn_repair.damage(rows)
+    plans = staged(turn_repair.plan_repairs(broken), "repair-plans")
+    digests = turn_repair.digest_turns(turn_repair.apply_repairs(broken, plans))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    out = every.join(plans, every["id"].eqNullSafe(plans["conv_id"]), "left").drop("conv_id") \
+        .join(digests, F.col("id").eqNullSafe(digests["conv_id"]), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in turn_repair.PLAN_COLUMNS]
+    return out.select(F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce(F.col("sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -117,4 +131,5 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_lm_score, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate,
-    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest, op13_language_id)}
+    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest, op12_turn_repair,
+    op13_language_id)}
