@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,25 @@ def stage(df: DataFrame) -> DataFrame:
     machine-local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged_parquet(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared ``spark.checkpoint.dir`` and read it
+    back: cuts the lineage like ``stage``, keeps column pruning, and tells Spark
+    the true size of the table."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Remove tables of ``staged_parquet`` that no later job reads, not even to
+    recompute lost partitions: all their readers are staged themselves."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        folder = ensure_checkpoint_dir(df.sparkSession)
+        for path in {os.path.dirname(f) for f in df.inputFiles()}:
+            if path.split(":", 1)[-1].lstrip("/").startswith(folder.split(":", 1)[-1].lstrip("/")):
+                p = sc._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
