@@ -69,6 +69,26 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on
     return out.select(*[F.col(c) for c in lcols], *[F.col("_aj_m")[c].alias(c) for c in rc])
 
 
+# ------------------------------------------------------------- hot-key join
+HOT_KEYS = 1000
+
+
+def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``table`` (unique on ``keys``), whatever the share of one key.
+    ``size`` is the column of ``table`` with the number of ``rows`` of its key, and
+    ``total`` bounds their sum. A key is hot if it holds more than one
+    ``HOT_KEYS``-th of ``total``, so there are at most ``HOT_KEYS`` hot ones: they
+    are broadcast, and their rows stay where they are. The others are joined as
+    usual. ``rows`` is read twice, so it should be staged or a plain scan."""
+    payload = [c for c in table.columns if c not in keys and c != size]
+    is_hot = F.coalesce(F.col(size) * F.lit(HOT_KEYS) > F.lit(total), F.lit(False))
+    hot = table.where(is_hot).select(*keys, F.struct(*payload).alias("_js"))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    near = marked.where(F.col("_js").isNotNull()).select(*rows.columns, *[F.col("_js")[c].alias(c) for c in payload])
+    far = marked.where(F.col("_js").isNull()).select(*rows.columns).join(table.where(~is_hot).select(*keys, *payload), keys, how)
+    return near.unionByName(far.select(*rows.columns, *payload))
+
+
 # ---------------------------------------------------------- bucketed lag
 def bucketed_lag(df: DataFrame, key: str, ts: str, order_cols: list[str], lag_cols: list[str],
                  bucket: str = "hour", prefix: str = "prev_", keep_bucket: str | None = None) -> DataFrame:
