@@ -15,6 +15,7 @@ from cartwheel.llm import (
     line_dedup,
     ngram_join,
     pfair_mix,
+    prefix_trie,
     quality,
     toxicity,
     turn_repair,
@@ -108,6 +109,15 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = prefix_trie.rebuild_shared(prefix_trie.ordered_turns(rows))
+    nodes, paths = prefix_trie.prefix_trie(staged(turns, "trie-turns"))
+    out = nodes.join(prefix_trie.digest_ends(paths), prefix_trie.NODE, "left")
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     broken = turn_repair.damage(rows)
@@ -131,5 +141,5 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality, op2_lm_score, op3_ngram_join, op4_line_dedup, op5_mix_sources, op6_decontaminate,
-    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest, op12_turn_repair,
-    op13_language_id)}
+    op7_html_extract, op8_chat_format, op9_toxicity, op10_nearest, op11_prefix_trie,
+    op12_turn_repair, op13_language_id)}
