@@ -99,4 +99,99 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN who USING (doc_id)
 """
 
-ORACLES = {"op6_decontaminate": OP6, "op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_chat_format": OP8}
+
+def _crc32(s: str) -> str:
+    """The unsigned CRC-32 (polynomial 0xEDB88320) of an ASCII string expression."""
+    step = "list_reduce(list_concat([xor(c, b)], range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(string_split({s}, ''), lambda x: ascii(x)::BIGINT)), " \
+        f"lambda c, b: {step}), 4294967295)"
+
+
+OP11 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'r': role, 't': text}} ORDER BY turn NULLS FIRST, role, text) AS own,
+             {_crc32("conv_id::VARCHAR")} % 4 AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS turns
+      FROM c LEFT JOIN c AS b ON b.conv_id = c.conv_id - c.conv_id % 20),
+m AS (SELECT conv_id, d, turns[1:d] AS node, d = len(turns) AS ends, turns[d].t AS last
+      FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (SELECT node, d AS depth, min(conv_id) AS name, count(*) AS n_convs,
+             CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(any_value(last), '[^\\x20\\x09-\\x0D]+')) END AS words,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM m GROUP BY node, d),
+p AS (SELECT m.conv_id, m.d, n.name FROM m JOIN n ON m.d = n.depth AND m.node = n.node),
+up AS (SELECT a.d AS depth, a.name, b.name AS parent FROM p AS a JOIN p AS b ON a.conv_id = b.conv_id AND b.d = a.d - 1
+       WHERE a.conv_id = a.name),
+kids AS (SELECT depth - 1 AS depth, parent AS name, count(*) AS k FROM up GROUP BY ALL),
+full_nodes AS (SELECT n.*, up.parent, coalesce(kids.k, 0) AS k FROM n LEFT JOIN up USING (depth, name) LEFT JOIN kids USING (depth, name)),
+below AS (SELECT DISTINCT a.d AS depth, a.name, b.d AS bd, b.name AS bn FROM p AS a JOIN p AS b ON a.conv_id = b.conv_id AND b.d >= a.d),
+sums AS (SELECT below.depth, below.name, count(*) FILTER (f.k = 0) AS n_leaves, sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens
+         FROM below JOIN full_nodes AS f ON f.depth = below.bd AND f.name = below.bn GROUP BY ALL)
+SELECT name AS conv_id, depth, parent AS parent_conv_id, n_convs, k AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM full_nodes JOIN sums USING (depth, name)
+"""
+
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _after(cost: str, letter: str, state: str) -> str:
+    """A suffix's weight with one more edit before it."""
+    return f"{{'c': {cost} + {state}.c, 'a': '{letter}' || {state}.a}}"
+
+
+def _row_step(q: str, keep: str, keep_to: str, rerole_to: str) -> str:
+    """The lightest suffix from state ``q`` when the row comes next: delete, rerole or keep it."""
+    never = "{'c': 1000000000, 'a': ''}"
+    more = "(CASE WHEN f = 3 THEN 5 ELSE 0 END)"
+    return f"list_min([{_after('2', 'D', q)}, CASE WHEN f IN (1, 2) THEN {never} ELSE {_after('1 + ' + more, 'R', rerole_to)} END, " \
+        f"CASE WHEN f IN (1, 2) OR x <> '{keep}' THEN {never} ELSE {_after(more, 'K', keep_to)} END" + \
+        (f", CASE WHEN f IN (1, 2) OR x <> 's' THEN {never} ELSE {_after(more, 'K', 's')} END])" if q == "e" else "])")
+
+
+OP12 = f"""
+WITH RECURSIVE src AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations),
+hurt AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+                CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM src WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS x FROM hurt),
+faulty AS (SELECT *, lag(x) OVER (PARTITION BY conv_id ORDER BY i) AS px,
+                  CASE WHEN trim(text, {_WS}) = '' THEN 1
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                       WHEN right(rtrim(text, {_WS}), 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f FROM placed),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                  count(*) FILTER (f = 1) AS blank, count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated,
+                  count(*) FILTER (i > 1 AND px || x NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+-- suffix weights from the states empty, system, user, assistant, closed under insertions, from the last row on
+sim AS (
+    SELECT conv_id, n AS i, {{'c': 0::BIGINT, 'a': ''}} AS e, {{'c': 10::BIGINT, 'a': 'II'}} AS s,
+           {{'c': 5::BIGINT, 'a': 'I'}} AS u, {{'c': 0::BIGINT, 'a': ''}} AS a FROM counts
+    UNION ALL
+    SELECT conv_id, i - 1, list_min([e1, {_after('5', 'I', 'u2')}]), list_min([s1, {_after('5', 'I', 'u2')}]), u2,
+           list_min([a1, {_after('5', 'I', 'u1')}])
+    FROM (SELECT *, list_min([u1, {_after('5', 'I', 'a1')}]) AS u2 FROM (
+        SELECT sim.conv_id, sim.i, {_row_step('e', 'u', 'u', 'u')} AS e1, {_row_step('s', 'u', 'u', 'u')} AS s1,
+               {_row_step('u', 'a', 'a', 'a')} AS u1, {_row_step('a', 'u', 'u', 'u')} AS a1
+        FROM sim JOIN faulty ON sim.conv_id IS NOT DISTINCT FROM faulty.conv_id AND sim.i = faulty.i))
+),
+best AS (SELECT conv_id, e.c AS cost, e.a AS audit FROM sim WHERE i = 0),
+letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS l, generate_subscripts(string_split(audit, ''), 1) AS p FROM best WHERE audit <> ''),
+numbered AS (SELECT *, count(*) FILTER (l <> 'I') OVER w AS i, count(*) FILTER (l <> 'D') OVER w AS o
+             FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+kept AS (SELECT numbered.*, faulty.role, faulty.text, faulty.x FROM numbered LEFT JOIN faulty
+         ON numbered.conv_id IS NOT DISTINCT FROM faulty.conv_id AND numbered.i = faulty.i AND l <> 'I' WHERE l <> 'D'),
+sys AS (SELECT *, max(CASE WHEN o = 1 AND l = 'K' AND x = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS has_s FROM kept),
+texts AS (SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN (o - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                     || ':' || coalesce(text, ''), chr(10) ORDER BY o) AS body FROM sys GROUP BY conv_id)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS every
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+ORACLES = {"op6_decontaminate": OP6, "op4_line_dedup": OP4, "op5_mix_sources": OP5, "op8_chat_format": OP8,
+           "op11_prefix_trie": OP11, "op12_turn_repair": OP12}
