@@ -1,40 +1,13 @@
-"""Churn classifier and survival forest with MLlib.
-
-* H6 gradient boosting is MLlib ``GBTClassifier`` (depth-wise trees; the
-  reference's leaf-wise trainer is not rebuilt).
-* H24 is a discrete-time survival forest: person-period rows (one per user
-  and period at risk, built with ``explode(sequence)``) and an MLlib
-  ``RandomForestClassifier`` on the per-period hazard; S(t) is the running
-  product of (1 - h) over periods, the risk score the cumulative hazard at
-  the horizon.
-* AUC (H7) is exact: rank-sum over the distinct-score aggregate."""
+"""Scores of the churn models (H7, H8, H29, H28): exact AUC, errors of
+probabilities, and reports on per-user survival curves. The learners are in
+``boosting`` (H6), ``survival_forest`` (H24) and ``importance`` (H9, H26)."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.cluster import assemble
-from cartwheel.operators.relational import avg_rank, interp_at, top_n
-
-GBT_STEP, GBT_DEPTH, GBT_ROUNDS = 0.05, 5, 1000
-FOREST_TREES, FOREST_MIN_LEAF, FOREST_MIN_LEAF_REFIT = 300, 15, 5
-FOREST_DEPTH = 30  # MLlib's largest; the reference sets no limit
-
-
-def fit_gbt(train: DataFrame, features: list[str], label: str = "churned", max_iter: int = GBT_ROUNDS,
-            seed: int = 42):
-    x = assemble(train.na.fill(0, subset=features), features)
-    return GBTClassifier(labelCol=label, featuresCol="features", stepSize=GBT_STEP, maxDepth=GBT_DEPTH,
-                         maxIter=max_iter, seed=seed).fit(x)
-
-
-def predict_proba(model, df: DataFrame, features: list[str], name: str = "prob") -> DataFrame:
-    x = assemble(df.na.fill(0, subset=features), features)
-    return model.transform(x).withColumn(name, vector_to_array("probability")[1]) \
-        .drop("features", "rawPrediction", "probability", "prediction")
+from cartwheel.operators.relational import avg_rank, interp_at
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -53,97 +26,6 @@ def prob_errors(df: DataFrame, label: str, score: str) -> DataFrame:
     return df.agg(F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"))
 
 
-def importance_table(model, features: list[str], n: int = 20, spark=None) -> DataFrame:
-    """H9: model feature importances, top n."""
-    imp = model.featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(features, imp)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    return top_n(df, [F.desc("importance"), F.asc("feature")], n)
-
-
-# ------------------------------------------------------------ survival forest
-def person_period(df: DataFrame, duration: str, event: str, period_days: float) -> DataFrame:
-    """One row per (user, period at risk); y = 1 in the period of the event."""
-    last = F.floor(F.col(duration) / F.lit(period_days)).cast("int")
-    pp = df.withColumn("_last", last).withColumn("period", F.explode(F.sequence(F.lit(0), F.col("_last"))))
-    return pp.withColumn("y", ((F.col("period") == F.col("_last")) & (F.col(event) == 1)).cast("double")).drop("_last")
-
-
-def fit_forest(train: DataFrame, features: list[str], duration: str = "duration", event: str = "event",
-               period_days: float = 30.0, num_trees: int = FOREST_TREES, min_leaf: int = FOREST_MIN_LEAF,
-               max_depth: int = FOREST_DEPTH, seed: int = 42):
-    """Random forest on the discrete-time hazard."""
-    pp = person_period(train, duration, event, period_days)
-    x = assemble(pp.na.fill(0, subset=features), features + ["period"])
-    return RandomForestClassifier(labelCol="y", featuresCol="features", numTrees=num_trees,
-                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", maxDepth=max_depth,
-                                  seed=seed).fit(x)
-
-
-def forest_curves(model, df: DataFrame, features: list[str], horizon_periods: int, period_days: float = 30.0,
-                  key: str | list[str] = "visitorid") -> DataFrame:
-    """Per user and period end: hazard, S(t) = prod (1 - h), cumulative hazard.
-    The running product is a window per user over at most ``horizon`` rows."""
-    keys = [key] if isinstance(key, str) else list(key)
-    g = df.na.fill(0, subset=features).withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(horizon_periods - 1))))
-    x = assemble(g, features + ["period"])
-    h = model.transform(x).withColumn("hazard", vector_to_array("probability")[1]) \
-        .select(*keys, *[c for c in ["business_label"] if c in df.columns], "period", "hazard")
-    w = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # a hazard of 1 ends the curve at 0; the risk stays a finite number
-    lf = F.log(F.greatest(F.lit(1.0) - F.col("hazard"), F.lit(1e-12)))
-    return h.withColumn("cum_hazard", F.sum(-lf).over(w)) \
-        .withColumn("s", F.when(F.max("hazard").over(w) >= 1.0, F.lit(0.0)).otherwise(F.exp(-F.col("cum_hazard")))) \
-        .withColumn("t", (F.col("period") + 1) * F.lit(float(period_days)))
-
-
-def forest_risk(curves: DataFrame, key: str | list[str] = "visitorid") -> DataFrame:
-    """risk = cumulative hazard at the horizon."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return curves.groupBy(*keys).agg(F.max("cum_hazard").alias("risk"))
-
-
-def permutation_importance(model, df: DataFrame, features: list[str], horizon_periods: int,
-                           period_days: float = 30.0, duration: str = "duration", event: str = "event",
-                           key: str = "visitorid", n_repeats: int = 5, seed: int = 42) -> DataFrame:
-    """Mean / std drop of the C-index when one feature is permuted
-    (``n_repeats`` permutations per feature). All permuted copies are one
-    Spark job: a row takes the feature value of the row whose key-rank equals
-    its hash-rank within (feature, repeat); the forest scores every copy and
-    a grouped pair-free C-index scores every (feature, repeat)."""
-    from cartwheel.operators.relational import dense_rank_exact, exact_rank
-    from cartwheel.session import stage
-    from cartwheel.operators.survival import concordance_index
-    base_curves = forest_curves(model, df, features, horizon_periods, period_days, key)
-    base_risk = forest_risk(base_curves, key).withColumn("neg_risk", -F.col("risk"))
-    base = concordance_index(df.select(key, duration, event).join(base_risk, key), duration, "neg_risk", event) \
-        .select(F.col("c_index").alias("base_c"))
-    pos = dense_rank_exact(df.select(key), key, "_pos")
-    d = df.join(pos, key)
-    grid = [(j, r) for j in range(len(features)) for r in range(n_repeats)]
-    perm = d.withColumn("_jr", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(r).alias("rep"))
-                                                  for j, r in grid]))) \
-        .select("*", "_jr.j", "_jr.rep").drop("_jr")
-    perm = perm.withColumn("_hv", F.xxhash64(F.col(key), F.col("j"), F.col("rep"), F.lit(seed)).cast("double"))
-    perm = exact_rank(perm, ["j", "rep"], "_hv", key, "_hpos").drop("_hv", "_hpos_n")
-    donor = d.select(F.col("_pos").alias("_hpos"), F.array(*[F.col(c).cast("double") for c in features]).alias("_dv"))
-    perm = perm.join(donor, "_hpos")
-    val = F.element_at(F.col("_dv"), F.col("j") + 1)
-    # both the forest scoring and the C-index read the permuted copies: stage once
-    perm = stage(perm.select(key, "j", "rep", duration, event,
-                             *[F.when(F.col("j") == i, val).otherwise(F.col(c).cast("double")).alias(c)
-                               for i, c in enumerate(features)]))
-    curves = forest_curves(model, perm, features, horizon_periods, period_days, [key, "j", "rep"])
-    risk = forest_risk(curves, [key, "j", "rep"]).withColumn("neg_risk", -F.col("risk"))
-    scored = perm.select(key, "j", "rep", duration, event).join(risk, [key, "j", "rep"])
-    ci = concordance_index(scored, duration, "neg_risk", event, by=["j", "rep"])
-    names = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("j") + 1)
-    out = ci.crossJoin(F.broadcast(base)).withColumn("drop", F.col("base_c") - F.col("c_index")) \
-        .groupBy("j").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
-    return out.select(names.alias("feature"), "importance_mean", "importance_std") \
-        .orderBy(F.desc("importance_mean"), "feature")
-
-
 def survival_at_day(curves: DataFrame, day: float, key: str = "visitorid", name: str = "survival_30") -> DataFrame:
     """Np.interp(day, t, S) per user, with S(0) = 1."""
     start = curves.select(key).distinct().withColumn("t", F.lit(0.0)).withColumn("s", F.lit(1.0))

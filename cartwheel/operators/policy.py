@@ -68,14 +68,16 @@ def baseline_describe(users: DataFrame) -> DataFrame:
 
 def segment_parameters(users: DataFrame, label: str = "business_label") -> DataFrame:
     """Churn risk, purchase frequency, mean CLV and k, c, m per segment
-    (maxima over the small per-segment table)."""
+    (maxima over the small per-segment table; a share of a maximum of 0 is 0, as
+    when no user is at risk within the forecast)."""
     u = baseline_clv(users)
     s = u.groupBy(label).agg((F.lit(1.0) - F.avg("survival_prob")).alias("churn_risk"),
                              F.avg("pred_no_purchase").alias("purchase_freq"),
                              F.avg("baseline_clv").alias("clv"))
     whole = Window.partitionBy()
-    return s.withColumn("k", F.col("churn_risk") / F.max("churn_risk").over(whole) * K_SCALE) \
-        .withColumn("c", (F.lit(1.0) - F.col("purchase_freq") / F.max("purchase_freq").over(whole)) * C_SCALE) \
+    share = {c: F.coalesce(F.try_divide(F.col(c), F.max(c).over(whole)), F.lit(0.0)) for c in ("churn_risk", "purchase_freq")}
+    return s.withColumn("k", share["churn_risk"] * K_SCALE) \
+        .withColumn("c", (F.lit(1.0) - share["purchase_freq"]) * C_SCALE) \
         .withColumn("m", F.col("churn_risk") * M_SCALE)
 
 

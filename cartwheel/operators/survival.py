@@ -7,16 +7,14 @@ users, and no pair of users is ever materialised."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import MICROS_PER_DAY, frac_days, micros_between
 from cartwheel.session import stage
+from cartwheel.operators.concordance import concordance_index  # noqa: F401  (H15, part of this operator set)
 from cartwheel.operators.relational import (
-    count_dominating, dense_rank_exact, describe, ffill_on_grid, interp_at, linspace, qcut_labels,
-    running_sums, trapezoid_area,
+    describe, ffill_on_grid, interp_at, linspace, qcut_labels, running_sums, trapezoid_area,
 )
 
 # Default churn window, columns dropped before modelling,
@@ -144,60 +142,6 @@ def kaplan_meier(df: DataFrame, duration: str = "duration", event: str = "event"
                      "at_risk", "survival", "ci_lower", "ci_upper")
 
 
-# ---------------------------------------------------------------------- H15
-def concordance_index(df: DataFrame, duration: str, score: str, event: str,
-                      by: list[str] | None = None) -> DataFrame:
-    """Harrell's C (higher score = longer survival), lifelines conventions:
-    a pair (i, j) is comparable when i has the event and t_i < t_j, or
-    t_i == t_j with j censored; score ties count 1/2. One row per ``by`` group.
-
-    Exact and pair-free: rows are compressed to distinct (t, event, score)
-    with weights; score ranks are exact (running counts over equi-depth ranges);
-    pairs that differ in score are counted level by level over
-    the binary expansion of the score rank (the pair's first differing bit
-    decides which score is larger) with bucketed dominance counts on t, so
-    the work is O(n log n) rows and no task sees a whole level."""
-    keys = by or []
-    comp = df.select(*keys, F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
-                     F.col(score).cast("double").alias("s")) \
-        .groupBy(*keys, "t", "e", "s").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    comp = stage(comp)
-    if keys:
-        ranks = running_sums(comp.select(*keys, "s").distinct().withColumn("_one", F.lit(1)), keys, "s", ["_one"]) \
-            .select(*keys, "s", (F.col("cum__one") - 1).cast("long").alias("r"))
-        n_ranks = (ranks.agg(F.max("r")).first()[0] or 0) + 1
-    else:
-        ranks = dense_rank_exact(comp, "s", "r")
-        n_ranks = ranks.count()
-    depth = max(1, math.ceil(math.log2(max(n_ranks, 2))))
-    c = comp.join(ranks, keys + ["s"]).withColumn("tie_counts", F.col("e") == 0)
-    c = stage(c)
-    deaths = c.where(F.col("e") == 1)
-    qid = ["t", "e", "s"]
-    dw = deaths.select(*keys, *qid, "w")
-
-    def total(cnts, name):
-        return cnts.join(dw, keys + qid).groupBy(*keys).agg(F.sum(F.col("cnt") * F.col("w")).alias(name))
-    pairs = total(count_dominating(c, deaths, keys, qid=qid), "pairs")
-    ties = total(count_dominating(c, deaths, keys + ["r"], qid=qid), "tied")
-    lv = c.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))) \
-        .withColumn("block", F.expr(f"shiftright(r, {depth} - level)")) \
-        .withColumn("role", F.expr(f"shiftright(r, {depth - 1} - level) & 1"))
-    upper = lv.where(F.col("role") == 1)
-    lower_deaths = lv.where((F.col("role") == 0) & (F.col("e") == 1))
-    conc = count_dominating(upper, lower_deaths, keys + ["level", "block"], qid=qid) \
-        .groupBy(*keys, *qid).agg(F.sum("cnt").alias("cnt"))
-    conc = total(conc, "concordant")
-    groups = c.select(*keys).distinct()
-    out = groups.join(pairs, keys, "left").join(ties, keys, "left").join(conc, keys, "left") if keys \
-        else pairs.crossJoin(ties).crossJoin(conc)
-    return out.select(
-        *keys, F.coalesce("concordant", F.lit(0.0)).alias("concordant"), F.coalesce("tied", F.lit(0.0)).alias("tied"),
-        F.coalesce("pairs", F.lit(0.0)).alias("pairs"),
-        F.try_divide(F.coalesce("concordant", F.lit(0.0)) + 0.5 * F.coalesce("tied", F.lit(0.0)),
-                     F.col("pairs")).alias("c_index"))
-
-
 # ------------------------------------------------------------ H17 / H27 / H28
 def survival_grid(spark, start: float = 0.0, stop: float = 150.0, num: int = 151) -> DataFrame:
     return linspace(spark, start, stop, num, "t")

@@ -12,7 +12,7 @@ from cartwheel.operators import cox
 from cartwheel.operators import survival as sv
 from cartwheel.plans import survival_queries as sq
 from cartwheel.plans.registry import register
-from cartwheel.session import stage
+from cartwheel.session import stage, staged_parquet
 
 FEATURES = sq.SURV_FEATURES
 COX_PENALIZER = 0.1
@@ -117,9 +117,12 @@ def q_h23c(spark, d):
 
 
 # ------------------------------------------------------------- clustering
+from cartwheel.operators import boosting as bo  # noqa: E402
 from cartwheel.operators import churn_ml as cm  # noqa: E402
 from cartwheel.operators import cluster as cl  # noqa: E402
+from cartwheel.operators import importance as im  # noqa: E402
 from cartwheel.operators import rfm as rf  # noqa: E402
+from cartwheel.operators import survival_forest as sf  # noqa: E402
 from cartwheel.plans import frames as fr  # noqa: E402
 
 FOREST_PERIOD_DAYS = 30.0
@@ -168,12 +171,12 @@ def q_g9m(spark, d):
 # ------------------------------------------------------- churn classifier
 def _gbt(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("gbt", sid(spark), d), lambda: cm.fit_gbt(tr, FEATURES, "event"))
+    return memo(("gbt", sid(spark), d), lambda: bo.fit_boosting(tr, FEATURES, "event"))
 
 
 def _gbt_pred(spark, d):
     _, te = scaled_split(spark, d)
-    return cm.predict_proba(_gbt(spark, d), te, FEATURES)
+    return bo.predict_proba(_gbt(spark, d), te, FEATURES)
 
 
 @register("h6_gbt_test_probabilities", ids="H5,H6")
@@ -189,7 +192,16 @@ def q_h7(spark, d):
 
 @register("h9_gbt_importance", ids="H9")
 def q_h9(spark, d):
-    return cm.importance_table(_gbt(spark, d), FEATURES, 20, spark)
+    return bo.importance_table(_gbt(spark, d), 20, spark)
+
+
+@register("h9_permutation_importance", ids="H9")
+def q_h9p(spark, d):
+    """Drop of the test AUC: with label-0 rows as events at time 0 and label-1
+    rows censored at time 1, the concordance index is the AUC."""
+    _, te = scaled_split(spark, d)
+    te = te.select("visitorid", F.col("event").cast("double").alias("at"), (1 - F.col("event")).alias("zero"), *FEATURES)
+    return im.permutation_importance(te, FEATURES, _gbt(spark, d), "margin", duration="at", event="zero")
 
 
 # -------------------------------------------------------- survival forest
@@ -197,20 +209,20 @@ def _forest(spark, d, refit=False):
     tr, te = scaled_split(spark, d)
     if refit:
         allu = stage(tr.unionByName(te))
-        return memo(("rsf_all", sid(spark), d), lambda: (cm.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
-                                                                      min_leaf=cm.FOREST_MIN_LEAF_REFIT), allu))
-    return memo(("rsf", sid(spark), d), lambda: cm.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
+        return memo(("rsf_all", sid(spark), d), lambda: (sf.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
+                                                                      min_leaf=sf.FOREST_MIN_LEAF_REFIT), allu))
+    return memo(("rsf", sid(spark), d), lambda: sf.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
 
 
 def _horizon(spark, d):
     tr, _ = scaled_split(spark, d)
-    mx = tr.agg(F.max("duration")).first()[0] or 0.0
-    return int(mx // FOREST_PERIOD_DAYS) + 1
+    return memo(("horizon", sid(spark), d), lambda: int((tr.agg(F.max("duration")).first()[0] or 0.0) // FOREST_PERIOD_DAYS) + 1)
 
 
 def _forest_curves(spark, d):
     _, te = scaled_split(spark, d)
-    return stage(cm.forest_curves(_forest(spark, d), te, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS))
+    return memo(("curves", sid(spark), d), lambda: staged_parquet(
+        sf.forest_curves(_forest(spark, d), te, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS), "forest-curves"))
 
 
 @register("h24_forest_survival_curves", ids="H24")
@@ -221,7 +233,7 @@ def q_h24(spark, d):
 @register("h25_forest_concordance", ids="H25,H15")
 def q_h25(spark, d):
     _, te = scaled_split(spark, d)
-    risk = cm.forest_risk(_forest_curves(spark, d)).withColumn("neg_risk", -F.col("risk"))
+    risk = sf.forest_risk(_forest_curves(spark, d)).withColumn("neg_risk", -F.col("risk"))
     j = te.select("visitorid", "duration", "event").join(risk, "visitorid")
     return sv.concordance_index(j, "duration", "neg_risk", "event").withColumn("model", F.lit("survival_forest"))
 
@@ -241,7 +253,7 @@ def q_h28f(spark, d):
 @register("h29_users_survival_30", ids="H29,J10")
 def q_h29(spark, d):
     model, allu = _forest(spark, d, refit=True)
-    curves = cm.forest_curves(model, allu, FEATURES, max(2, int(30 // FOREST_PERIOD_DAYS) + 1), FOREST_PERIOD_DAYS)
+    curves = sf.forest_curves(model, allu, FEATURES, max(2, int(30 // FOREST_PERIOD_DAYS) + 1), FOREST_PERIOD_DAYS)
     s30 = cm.survival_at_day(curves, 30.0)
     return fr.users_pipeline(spark, d).join(s30, "visitorid", "left")
 
@@ -303,7 +315,7 @@ def q_f14(spark, d):
 @register("h26_permutation_importance", ids="H26")
 def q_h26(spark, d):
     tr, _ = scaled_split(spark, d)
-    return cm.permutation_importance(_forest(spark, d), tr, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS)
+    return im.permutation_importance(tr, FEATURES, _forest(spark, d), "risk", (_horizon(spark, d),), sign=-1.0)
 
 
 # ------------------------------------------- policy on the fitted models (X)
