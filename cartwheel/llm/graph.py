@@ -1,4 +1,7 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by alternating large-star and small-star steps.
+
+A link with a null end or with equal ends is ignored, repeated links count once,
+no link gives an empty table."""
 
 from __future__ import annotations
 
@@ -6,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import staged
+from cartwheel.session import drop_staged
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
     """``edges`` (u > v). Large star links every larger neighbour of a node to
     the smallest of its neighbourhood; small star links the smaller ones and
     the node itself. Minima are pre-aggregated and staged, so the join that
-    hands them out can split a hub's edges."""
+    hands them out can split a hub's edges; their table is returned as well."""
     if large:
         near = edges.select(F.col("u").alias("x"), F.col("v").alias("y")) \
             .unionByName(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
@@ -24,7 +28,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     out = out.select(F.col("y").alias("u"), F.col("m").alias("v"))
     if not large:
         out = out.unionByName(least.select(F.col("x").alias("u"), F.col("m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).distinct()
+    return out.where(F.col("u") != F.col("v")).distinct(), least
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,9 +37,13 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = staged(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                    .where(F.col("u") != F.col("v")).distinct(), "edges")
     while True:
-        after = staged(_star(staged(_star(edges, True), "large-star"), False), "small-star")
+        large, least = _star(edges, True)
+        half = staged(large, "large-star")
+        small, least_half = _star(half, False)
+        after = staged(small, "small-star")
         changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count() + \
             edges.join(after, ["u", "v"], "left_anti").limit(1).count()
+        drop_staged(least, half, least_half, edges)
         edges = after
         if not changed:
             break

@@ -48,12 +48,12 @@ from pyspark.sql import functions as F
 from cartwheel.llm import graph
 from cartwheel.llm import textkit as tk
 from cartwheel.llm.common import staged
+from cartwheel.session import drop_staged
 
 HOT_LOCAL = 3          # times within a run of texts
 RUN = 1_500_000        # shingles of a run
 HOT_TABLE = 1_000_000  # most frequent shingles whose counts order the prefixes
 BLOCK = 1024           # nodes of a block of one token
-NEEDED_BROADCAST = 2_000_000
 BITS = 2048
 ORDERS = [0x0, 0xA24BAED4963EE407, 0x9FB21C651E98DF25]
 
@@ -176,15 +176,8 @@ def _postings(docs: DataFrame, width: int, percent: int, hot_b) -> DataFrame:
 
 def _node_table(docs: DataFrame, needed: DataFrame, width: int, percent: int, hot_b) -> DataFrame:
     """``node, n, bits, second, third, text`` of the nodes in ``needed``."""
-    count = needed.count()
-    wanted_b = None
-    if count <= NEEDED_BROADCAST:  # beyond that, a join
-        wanted_b = docs.sparkSession.sparkContext.broadcast(
-            np.sort(needed.select("node").toPandas()["node"].to_numpy(np.int64)))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot = hot_b.value
-        wanted = wanted_b.value if wanted_b is not None else None
         seen: set[int] = set()
         rows: list[tuple] = []
         held = 0
@@ -192,10 +185,6 @@ def _node_table(docs: DataFrame, needed: DataFrame, width: int, percent: int, ho
         for pdf, i, s, sig in _sets(batches, width):
             if sig in seen:
                 continue
-            if wanted is not None:
-                at = np.searchsorted(wanted, sig)
-                if at == len(wanted) or wanted[at] != sig:
-                    continue
             seen.add(sig)
             others = [np.unique(prefix(s, seed, hot, percent).astype(np.uint32)).tobytes() for seed in ORDERS[1:]]
             text = pdf["text"].iloc[i]
@@ -208,9 +197,7 @@ def _node_table(docs: DataFrame, needed: DataFrame, width: int, percent: int, ho
             yield pd.DataFrame(rows, columns=cols)
 
     out = docs.mapInPandas(run, "node long, n int, bits binary, second binary, third binary, text string")
-    if wanted_b is None:
-        out = out.join(needed, "node", "left_semi")
-    return out.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "bits", "second", "third", "text")])
+    return out.join(needed, "node", "left_semi").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "bits", "second", "third", "text")])
 
 
 def _length_ok(percent: int):
@@ -249,8 +236,15 @@ def _verify(pairs: DataFrame, nodes: DataFrame, width: int, percent: int) -> Dat
         .mapInPandas(overlaps, "a long, b long")
     filtered = staged(filtered, "candidates")
     texts = nodes.select("node", "text")
-    return staged(filtered.join(side(texts, "a"), "a").join(side(texts, "b"), "b")
-                  .mapInPandas(verify, "a long, b long"), "links")
+
+    def needed(c: str) -> DataFrame:
+        """The texts of one side's nodes only: the hubs' side has few."""
+        return side(texts.join(filtered.select(F.col(c).alias("node")).distinct(), "node", "left_semi"), c)
+
+    links = staged(filtered.join(needed("b"), "b").join(needed("a"), "a").select("a", "b", "text_a", "text_b")
+                   .mapInPandas(verify, "a long, b long"), "links")
+    drop_staged(filtered)
+    return links
 
 
 def _cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -312,7 +306,9 @@ def _cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percen
 
     dealt = rows.select("hub", "bi", "bj", "blk", "node", "comp", "n", "bits") \
         .repartition("hub", "bi", "bj").sortWithinPartitions("hub", "bi", "bj")
-    return dealt.mapInPandas(run, "a long, b long").distinct()
+    pairs = staged(dealt.mapInPandas(run, "a long, b long").distinct(), "cross-pairs")
+    drop_staged(comp, open_hubs)
+    return pairs
 
 
 def join_ngrams(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -335,20 +331,25 @@ def join_ngrams(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     own = Window.partitionBy("token", "deal")
     postings = staged(raw.withColumn("deal", deal).withColumn("m", F.count(F.lit(1)).over(own))
                       .where((F.col("m") > 1) | (F.col("shared") > 0))
-                      .select("token", "node", "n").distinct(), "postings")
+                      .select("token", "node", "n"), "postings")
     needed = staged(postings.select("node").distinct(), "needed-nodes")
     nodes = staged(_node_table(body, needed, width, percent, hot_b), "nodes")
+    drop_staged(needed)
 
     hubs = staged(postings.groupBy("token").agg(F.min(F.struct("n", "node")).alias("hub"))
                   .select("token", F.col("hub.node").alias("hub"), F.col("hub.n").alias("n_a")), "hubs")
     members = staged(postings.join(hubs, "token").select("hub", "n_a", "node", F.col("n").alias("n_b")).distinct(), "members")
+    drop_staged(postings, hubs)
     stars = members.where((F.col("hub") != F.col("node")) & _length_ok(percent)) \
         .select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links = _verify(staged(stars, "stars"), nodes, width, percent)
+    stars = staged(stars, "stars")
+    links = _verify(stars, nodes, width, percent)
     labels = staged(graph.components(links, "a", "b"), "star-components")
-    cross = _cross_pairs(members.select("hub", "node"), nodes, labels, percent)
-    cross = _verify(staged(cross, "cross-pairs"), nodes, width, percent)
+    pairs = _cross_pairs(members.select("hub", "node"), nodes, labels, percent)
+    cross = _verify(pairs, nodes, width, percent)
+    drop_staged(stars, labels, members, pairs, nodes)
     labels = staged(graph.components(links.unionByName(cross), "a", "b"), "components")
+    drop_staged(links, cross)
 
     with_words = rows.where(F.col("n") > 0)
     least = with_words.groupBy("node").agg(F.min("doc_id").alias("least"))

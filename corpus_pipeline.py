@@ -2,16 +2,19 @@
 near copies of one another nor benchmark leaks, mixed to source weights.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``docs``. Rows keep their other columns untouched."""
+return the columns of ``docs``. Rows keep their other columns untouched. Null and
+repeated ids, null texts, ties and empty tables are handled as the operators of
+the stages state; a document is never dropped for its id."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, line_dedup, ngram_join, pfair_mix, toxicity
+from cartwheel.llm import decontaminate, line_dedup, near_copies, pfair_mix, toxicity
 from cartwheel.llm.common import staged
 from cartwheel.llm.queries import MIX_BLOCK_ROWS, MIX_OTHER_SHARE, MIX_SHARES
+from cartwheel.session import drop_staged
 from cartwheel.sources.tables import read_table
 
 
@@ -37,19 +40,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, Jaccard 0.8 or more, and
-    whatever they link) the document of the smallest id. Rows that share an id
-    are one document (the smallest text stays); rows without id stay once a text."""
-    joined = staged(ngram_join.join_ngrams(docs, width=5, percent=80), "near-copies")
-    removed = staged(joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "removed-ids")
-    shared = staged(joined.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                    .where(F.col("n") > 1).select("doc_id"), "shared-ids")
-    kept = docs.where(F.col("doc_id").isNotNull()).join(removed, "doc_id", "left_anti")
-    row = F.struct(F.col("text"), *[F.col(c) for c in _columns(docs) if c != "`text`"])
-    once = kept.join(shared, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
-    nameless = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    parts = [kept.join(shared, "doc_id", "left_anti"), once, nameless]
-    return parts[0].select(*_columns(docs)).unionByName(parts[1].select(*_columns(docs))) \
-        .unionByName(parts[2].select(*_columns(docs)))
+    whatever they link) the document of the smallest id."""
+    return near_copies.drop_near_copies(docs, width=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,6 +72,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, writing each stage's result as
     Parquet below the shared checkpoint folder and reading it for the next."""
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if before is not None:
+            drop_staged(before)
+        before = docs
     return docs

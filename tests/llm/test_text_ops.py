@@ -124,7 +124,6 @@ def join_rows(seed):
 def test_ngram_join_brute_force(spark, monkeypatch, width, percent, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "RUN", 2000)
-    monkeypatch.setattr(ngram_join, "NEEDED_BROADCAST", 10_000 if block > 100 else 0)
     rows = join_rows(width)
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, n int, node string").repartition(5)
     got = ngram_join.join_ngrams(df, width, percent)
