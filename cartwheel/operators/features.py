@@ -7,14 +7,15 @@ itemid, property, value, ingest_seq).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions.semantics import (
     add_days, flag, floor_days, log1p0, row_sum, total_seconds, whole_seconds,
 )
-from cartwheel.operators.relational import asof_join, bucketed_lag, exact_quantiles, histogram, top_n
+from cartwheel.operators.relational import asof_join, exact_quantiles, histogram, join_spread, top_n
+from cartwheel.operators.scan import ordered_scan
 
 # The property codes kept for item snapshots (790 is the price).
 SNAPSHOT_PROPERTIES = ["790", "categoryid", "available"]
@@ -71,11 +72,10 @@ def attach_item_properties(events: DataFrame, snapshots: DataFrame) -> DataFrame
 
     Only ``price`` is numeric on the snapshot side, so only it is imputed and
     only ``mean_price`` is added (the reference's fresh path)."""
-    enriched = asof_join(events, snapshots, by="itemid", left_on="timestamp", right_on="timestamp",
-                         right_cols=["available", "categoryid", "price"])
     means = snapshots.groupBy("itemid").agg(F.avg("price").alias("mean_price"))
-    return enriched.join(means, "itemid", "left") \
-        .withColumn("price", F.coalesce("price", "mean_price"))
+    enriched = asof_join(events, snapshots, by="itemid", left_on="timestamp", right_on="timestamp",
+                         right_cols=["available", "categoryid", "price"], per_key=means)
+    return enriched.withColumn("price", F.coalesce("price", "mean_price"))
 
 
 # ----------------------------------------------------------------------- F4
@@ -84,11 +84,14 @@ def get_transaction_price(events_with_props: DataFrame) -> DataFrame:
     whose price stays NULL are dropped."""
     tx = events_with_props.where(F.col("event") == "transaction") \
         .select("timestamp", "visitorid", "event", "itemid", "transactionid", "price")
-    item_mean = tx.where(F.col("price") > 0).groupBy("itemid").agg(F.avg("price").alias("_imp"))
-    tx = tx.join(item_mean, "itemid", "left") \
-        .withColumn("price", F.when(F.col("price") == 0, F.col("_imp")).otherwise(F.col("price")))
-    return tx.where(F.col("price").isNotNull()) \
-        .select("timestamp", "visitorid", "event", "itemid", "transactionid", "price")
+    cols = tx.columns
+    # only rows of price 0 are joined; an item with many of them is joined apart
+    item_mean = tx.groupBy("itemid").agg(F.avg(F.when(F.col("price") > 0, F.col("price"))).alias("_imp"),
+                                         F.count_if(F.col("price") == 0).alias("_n")).where(F.col("_n") > 0)
+    free = tx.where(F.col("price") == 0)
+    repaired = join_spread(free, item_mean, ["itemid"], "_n", free.count()).withColumn("price", F.col("_imp"))
+    priced = tx.where(F.col("price") != 0)
+    return priced.unionByName(repaired.where(F.col("price").isNotNull()).select(*cols))
 
 
 # ----------------------------------------------------------------------- F5
@@ -174,32 +177,33 @@ def build_user_features(events: DataFrame, cutoff_time=None) -> DataFrame:
         (total / F.when(F.col("active_days") == 0, 1).otherwise(F.col("active_days"))).alias("events_per_active_day"),
         "view_price", "addtocart_price", "tx_price",
     )
-    gaps = bucketed_lag(ev.select("visitorid", "timestamp", "itemid"), "visitorid", "timestamp",
-                        ["itemid"], [], prefix="_prev_")
+    gaps = ordered_scan(ev.select("visitorid", "timestamp", "itemid"), "visitorid", ["timestamp", "itemid"],
+                        lags={"timestamp": "_prev_timestamp"})
     gaps = gaps.groupBy("visitorid").agg(
         (F.avg(whole_seconds("_prev_timestamp", "timestamp")) / 86400.0).alias("avg_inter_event_days"))
     return feats.join(gaps, "visitorid", "left")
 
 
 # ----------------------------------------------------------------------- F6
-def add_rate_features(events: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Per-event rate features in (visitorid, timestamp, itemid) order.
-    ``bucket`` (the lag's time bucket) must be a minute or coarser."""
-    if bucket not in ("minute", "hour", "day", "week", "month", "quarter", "year"):
-        raise ValueError("bucket must be a minute or coarser")
-    d = bucketed_lag(events, "visitorid", "timestamp", ["itemid"], ["itemid"], bucket=bucket,
-                     prefix="prev_", keep_bucket="_hour")
-    d = d.withColumnRenamed("prev_timestamp", "prev_ts")
-    d = d.withColumn("delta_s", total_seconds("prev_ts", "timestamp")) \
+def rate_rows(events: DataFrame) -> DataFrame:
+    """The previous event of the visitor and what follows from it, per event in
+    (visitorid, timestamp, itemid) order. Rows come from one staged scan over
+    range partitions, however many of them one visitor or one hour holds."""
+    d = ordered_scan(events, "visitorid", ["timestamp", "itemid"], lags={"timestamp": "prev_ts", "itemid": "prev_item"})
+    return d.withColumn("delta_s", total_seconds("prev_ts", "timestamp")) \
         .withColumn("very_fast", F.coalesce((F.col("delta_s") <= 1).cast("int"), F.lit(0))) \
-        .withColumn("same_item_repeat", F.coalesce((F.col("itemid") == F.col("prev_itemid")).cast("int"),
-                                                   F.lit(0))) \
-        .withColumnRenamed("prev_itemid", "prev_item") \
+        .withColumn("same_item_repeat", F.coalesce((F.col("itemid") == F.col("prev_item")).cast("int"), F.lit(0))) \
         .withColumn("minute", F.date_trunc("minute", "timestamp"))
-    # a minute lies inside one lag bucket, so (visitor, bucket, minute) groups
-    # the same rows as (visitor, minute) and reuses the lag's partitioning
-    w = Window.partitionBy("visitorid", "_hour", "minute")
-    return d.withColumn("events_per_minute", F.count(F.lit(1)).over(w)).drop("_hour")
+
+
+def add_rate_features(events: DataFrame) -> DataFrame:
+    """Per-event rate features: ``rate_rows`` and the visitor's events per minute,
+    counted with partial sums and handed back, full minutes apart."""
+    d = rate_rows(events)
+    n = d.groupBy("visitorid", "minute").agg(F.count(F.lit(1)).alias("events_per_minute"))
+    n = n.withColumn("_size", F.col("events_per_minute")).withColumnsRenamed({"visitorid": "_v", "minute": "_m"})
+    d = d.withColumn("_v", F.col("visitorid")).withColumn("_m", F.col("minute"))
+    return join_spread(d, n, ["_v", "_m"], "_size", d.count(), "left").drop("_v", "_m")
 
 
 # ----------------------------------------------------------------------- F7
@@ -207,7 +211,7 @@ def compute_extra_user_features(events: DataFrame, user_feats: DataFrame) -> Dat
     """Extra behaviour features joined to the user table; missing -> 0 and all
     numeric NULLs of the result -> 0 (one row per user: the three gap
     statistics are columns)."""
-    r = add_rate_features(events)
+    r = rate_rows(events)
     per_min = r.groupBy("visitorid", "minute").agg(F.count(F.lit(1)).alias("_epm")) \
         .groupBy("visitorid").agg(F.max("_epm").alias("max_events_per_minute"))
     stats = r.groupBy("visitorid").agg(

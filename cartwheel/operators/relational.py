@@ -7,9 +7,10 @@ rows to the driver. Scale rules applied throughout:
   edges are sampled quantiles (``equi_depth``), plus a small table of range
   totals (``running_sums``, ``exact_rank``, ``exact_quantiles``);
 * windows over raw rows are never partitioned by a key alone when that key
-  can be hot (one item / one visitor holding a third of the rows): the time
-  axis is cut into ranges and a small per-(key, range) table carries state
-  across their borders (``asof_join``, ``bucketed_lag``);
+  can be hot (one item holding a third of the rows): the time axis is cut into
+  ranges and a small per-(key, range) table carries state across their borders
+  (``asof_join``); lags and running sums per key are in ``scan``;
+* lookups by a key that can be hot go through ``join_spread``;
 * global orderings only run on already-aggregated (small) tables;
 * the only broadcasts are one-row scalar frames or tables bounded by a fixed
   parameter (number of bins, grid points, segments).
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import col
+from cartwheel.session import staged_parquet
 
 # ---------------------------------------------------------------- as-of join
 def _micros(df: DataFrame, c: str) -> Column:
@@ -32,7 +34,7 @@ def _micros(df: DataFrame, c: str) -> Column:
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on: str,
-              right_cols: list[str] | None = None) -> DataFrame:
+              right_cols: list[str] | None = None, per_key: DataFrame | None = None) -> DataFrame:
     """Backward as-of join (J1): every left row gets the latest right row of the
     same ``by`` key with ``right_on <= left_on`` (exact matches allowed).
 
@@ -44,7 +46,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on
     ranges hold equally many rows of both sides, so a hot key is spread even if
     it has all rows of one day. Matches from earlier ranges come from a
     per-(key, range) "last snapshot" table whose window per key has at most one
-    row per range.
+    row per range. The union is staged, so both inputs run once. Columns of
+    ``per_key`` (unique on ``by``) ride on that same table: a hot key gets them by
+    (key, range), not by the key alone.
     """
     rc = right_cols or [c for c in right.columns if c not in (by, right_on)]
     snap = F.struct(*[F.col(c) for c in rc])
@@ -52,7 +56,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on
     L = left.withColumn("_aj_t", F.col(left_on)).withColumn("_aj_tag", F.lit(1))
     R = right.select(F.col(by), F.col(right_on).alias("_aj_t"), snap.alias("_aj_snap")) \
         .withColumn("_aj_tag", F.lit(0))
-    u = L.unionByName(R, allowMissingColumns=True)
+    u = staged_parquet(L.unionByName(R, allowMissingColumns=True), "asof-union")
     u = equi_depth(u.withColumn("_aj_v", _micros(u, "_aj_t")), "_aj_v", "_aj_b").drop("_aj_v")
     w = Window.partitionBy(by, "_aj_b").orderBy("_aj_t", "_aj_tag") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,10 +67,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on
     last = u.groupBy(by, "_aj_b").agg(F.max_by("_aj_snap", F.when(F.col("_aj_tag") == 0, F.col("_aj_t"))).alias("_aj_last"))
     wb = Window.partitionBy(by).orderBy("_aj_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(by, "_aj_b", F.last("_aj_last", ignorenulls=True).over(wb).alias("_aj_carry"))
+    extra = [] if per_key is None else [c for c in per_key.columns if c != by]
+    if extra:
+        carry = carry.join(per_key, by, "left")
 
     out = hit.join(carry, [by, "_aj_b"], "left") \
         .withColumn("_aj_m", F.coalesce("_aj_hit", "_aj_carry"))
-    return out.select(*[F.col(c) for c in lcols], *[F.col("_aj_m")[c].alias(c) for c in rc])
+    return out.select(*[F.col(c) for c in lcols], *[F.col("_aj_m")[c].alias(c) for c in rc], *extra)
 
 
 # ------------------------------------------------------------- hot-key join
@@ -89,34 +96,6 @@ def join_spread(rows: DataFrame, table: DataFrame, keys: list[str], size: str, t
     return near.unionByName(far.select(*rows.columns, *payload))
 
 
-# ---------------------------------------------------------- bucketed lag
-def bucketed_lag(df: DataFrame, key: str, ts: str, order_cols: list[str], lag_cols: list[str],
-                 bucket: str = "hour", prefix: str = "prev_", keep_bucket: str | None = None) -> DataFrame:
-    """``groupby(key)[c].shift(1)`` in (ts, *order_cols) order, skew-safe.
-
-    Rows are ordered inside (key, time bucket); the first row of each bucket
-    takes the last row of the key's previous non-empty bucket from a small
-    per-(key, bucket) table whose window per key is bounded by the number of
-    buckets. Adds ``prefix + c`` for every c in ``lag_cols`` (and for ``ts``);
-    ``keep_bucket`` keeps the bucket column under that name so a following
-    window keyed by (key, bucket, ...) reuses the same shuffle."""
-    cols = [ts] + [c for c in lag_cols if c != ts]
-    okey = F.struct(*[F.col(c) for c in [ts] + order_cols])
-    payload = F.struct(*[F.col(c) for c in cols])
-    d = df.withColumn("_lg_b", F.date_trunc(bucket, F.col(ts)))
-    w = Window.partitionBy(key, "_lg_b").orderBy(*[F.col(c) for c in [ts] + order_cols])
-    d = d.withColumn("_lg_prev", F.lag(payload, 1).over(w))
-    last_in_bucket = d.groupBy(key, "_lg_b").agg(F.max_by(payload, okey).alias("_lg_last"))
-    wb = Window.partitionBy(key).orderBy("_lg_b")
-    carry = last_in_bucket.withColumn("_lg_carry", F.lag("_lg_last", 1).over(wb)) \
-        .select(key, "_lg_b", "_lg_carry")
-    d = d.join(carry, [key, "_lg_b"], "left") \
-        .withColumn("_lg_prev", F.coalesce("_lg_prev", "_lg_carry"))
-    d = d.select("*", *[F.col("_lg_prev")[c].alias(prefix + c) for c in cols]).drop("_lg_prev", "_lg_carry")
-    # keep_bucket: expose the (key, bucket) hash partitioning to later windows
-    return d.withColumnRenamed("_lg_b", keep_bucket) if keep_bucket else d.drop("_lg_b")
-
-
 # ------------------------------------------------------------- aggregates
 def value_counts(df: DataFrame, key: str, normalize: bool = False, name: str = "count") -> DataFrame:
     """Counts per non-null key, with share of total when ``normalize``."""

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import clv, dashboard, features, policy, relational, rfm, survival
+from cartwheel.operators.scan import ordered_scan
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -77,14 +78,14 @@ def test_extra_features_one_row_per_user_b1(spark):
     assert u1.min_ie_s == 1.0 and u1.std_ie_s == 0.0 and u1.view_price == 1.0
 
 
-def test_bucketed_lag_matches_plain_lag(spark):
+def test_ordered_scan_matches_plain_lag(spark):
     rng = np.random.default_rng(3)
     n = 400
     pdf = pd.DataFrame({"k": rng.integers(0, 3, n), "timestamp": [T0 + dt.timedelta(minutes=int(x))
                                                                   for x in rng.integers(0, 5000, n)],
                         "v": rng.integers(0, 100, n)})
     df = spark.createDataFrame(pdf).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-    got = relational.bucketed_lag(df, "k", "timestamp", ["v"], ["v"], bucket="hour")
+    got = ordered_scan(df, "k", ["timestamp", "v"], lags={"timestamp": "prev_timestamp", "v": "prev_v"})
     from pyspark.sql import Window
     w = Window.partitionBy("k").orderBy("timestamp", "v")
     exp = df.withColumn("ev", F.lag("v").over(w))

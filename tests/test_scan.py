@@ -70,3 +70,15 @@ def test_dropped_tables_are_gone(spark):
     assert kept.count() == 5
     with pytest.raises(Exception):
         gone.count()
+
+
+def test_join_spread_equals_a_join(spark):
+    from cartwheel.operators.relational import join_spread
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k % 2 = 1").withColumn("v", F.col("k") * 10)
+    for how in ("inner", "left"):
+        got = join_spread(rows, table, ["k"], "n", 60, how)  # 60: every key counts as hot
+        none = join_spread(rows, table, ["k"], "n", 10 ** 9, how)
+        plain = rows.join(table.drop("n"), ["k"], how).select("k", "id", "v")
+        want = sorted(map(str, plain.collect()))
+        assert sorted(map(str, got.collect())) == want == sorted(map(str, none.collect()))
