@@ -1,16 +1,14 @@
-"""Word splitting, n-gram join, decontamination, language-model scores, page
-extraction: brute force, planted cases and edge rows."""
+"""Word splitting, n-gram join, decontamination, page extraction: brute force, planted cases and edge rows."""
 
-import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.llm import decontaminate, graph, html_extract, lm_score, ngram_join
+from cartwheel.llm import decontaminate, graph, html_extract, ngram_join
 from cartwheel.llm import textkit as tk
 
 
@@ -181,61 +179,6 @@ def test_decontamination_empty_sides(spark):
     assert decontaminate.find_contamination(docs.limit(0), docs.withColumnRenamed("doc_id", "item_id")).count() == 0
 
 
-# -- language-model scores ----------------------------------------------------
-
-def brute_lm(rows):
-    counts = [defaultdict(lambda: [0.0, 0.0]) for _ in range(5)]
-    seqs = [[int(lm_score.SYMBOL[b]) for b in (t or "").encode()] for t, _ in rows]
-    mass = [0, 0]
-    for s, (_, flag) in zip(seqs, rows):
-        p = [63, 63, 63, *s]
-        for i in range(3, len(p)):
-            mass[0] += bool(flag)
-            mass[1] += 1
-            for n in range(1, 5):
-                c = counts[n][tuple(p[i - n + 1:i + 1])]
-                c[0] += bool(flag)
-                c[1] += 1
-    scale = mass[0] / mass[1]
-    ctx = [defaultdict(lambda: [0.0, 0.0]) for _ in range(5)]
-    for n in range(1, 5):
-        for g, c in counts[n].items():
-            ctx[n][g[:-1]][0] += c[0]
-            ctx[n][g[:-1]][1] += c[1]
-
-    def prob(g, which):
-        if not g:
-            return 1 / 64
-        c, total = counts[len(g)][g][which], ctx[len(g)][g[:-1]][which]
-        if which:
-            c, total = c * scale, total * scale
-        return (c + lm_score.PRIOR * prob(g[1:], which)) / (total + lm_score.PRIOR)
-    out = []
-    for s in seqs:
-        p = [63, 63, 63, *s]
-        d = [math.log(prob(tuple(p[i - 3:i + 1]), 1)) - math.log(prob(tuple(p[i - 3:i + 1]), 0)) for i in range(3, len(p))]
-        out.append((len(s), sum(d) / len(d) if d else 0.0))
-    return out
-
-
-def test_lm_score_brute_force(spark):
-    rng = random.Random(8)
-    rows = [("".join(rng.choice("abc de\n" if i % 2 else "xyz éü!9") for _ in range(rng.randint(0, 80))), i % 2 == 1) for i in range(40)]
-    rows += [(t[:200] if t else t, None) for t in EDGE_TEXTS] + [rows[0], rows[0]]
-    df = spark.createDataFrame([(i, t, f, 5) for i, (t, f) in enumerate(rows)], "doc_id long, text string, flag boolean, score int") \
-        .repartition(3)
-    got = lm_score.score_documents(df, F.col("flag")).orderBy("doc_id").collect()
-    for r, (n, s) in zip(got, brute_lm(rows)):
-        assert r.n_tokens == n and r.score == pytest.approx(s, abs=1e-5)
-    assert got[1].score < 0 < got[2].score
-
-
-def test_lm_score_without_target_or_rows(spark):
-    df = spark.createDataFrame([(1, "abc"), (2, None)], "doc_id long, text string")
-    assert [r.score for r in lm_score.score_documents(df, F.lit(False)).collect()] == [0.0, 0.0]
-    assert lm_score.score_documents(df.limit(0), F.lit(True)).count() == 0
-
-
 # -- page extraction ----------------------------------------------------------
 
 PARA = "This is a long paragraph of plain running text with many words and hardly any tags at all. " * 3

@@ -23,14 +23,28 @@ def brute(rows):
                 two[which][a, b] += 1
     mass = [sum(c.values()) for c in one]
 
-    def prob(a, b, which):
-        scale = mass[0] / mass[1] if which else 1.0
-        low = (one[which][b] * scale + word_lm.PRIOR / len(one[1])) / (mass[0] + word_lm.PRIOR)
-        return (two[which][a, b] * scale + word_lm.PRIOR * low) / (one[which][a] * scale + word_lm.PRIOR)
+    once = [sum(c[0][k] == 1 for k in c[0]) / mass[0] if mass[0] else 0.5 for c in (one, two)]
+    once = [min(max(x, 0.5 / mass[0]), 1 - 0.5 / mass[0]) if mass[0] else x for x in once]
+    prior = mass[0] * once[0] / (1 - once[0])
+    grid = [2.0 ** e for e in range(-10, 41)]
+    lower = [sum(c * m / (c + m) for c in one[0].values()) / mass[0] for m in grid]
+    hi = next(i for i, x in enumerate(lower) if x >= once[1])
+    at = (once[1] - lower[hi - 1]) / (lower[hi] - lower[hi - 1])
+    pair_prior = grid[hi - 1] ** (1 - at) * grid[hi] ** at
+
     out = []
-    for s in seqs:
+    for s, (_, flag) in zip(seqs, rows):
         p = [None, *s, None]
-        d = [math.log(prob(a, b, 1)) - math.log(prob(a, b, 0)) for a, b in zip(p, p[1:])] if s else []
+        events = list(zip(p, p[1:])) if s else []
+        mine, own, pairs = [1 if flag else 0, 1], Counter(b for _, b in events), Counter(events)
+        left = [m - len(events) * k for m, k in zip(mass, mine)]
+
+        def prob(a, b, which):
+            scale = (left[0] / left[1] if left[1] else 0.0) if which else 1.0
+            low = ((one[which][b] - own[b] * mine[which]) * scale + prior / len(one[1])) / (left[0] + prior)
+            return ((two[which][a, b] - pairs[a, b] * mine[which]) * scale + pair_prior * low) \
+                / ((one[which][a] - own[a] * mine[which]) * scale + pair_prior)
+        d = [math.log(prob(a, b, 1)) - math.log(prob(a, b, 0)) for a, b in events]
         out.append((len(s), sum(d) / len(d) if d else 0.0))
     return out
 
@@ -57,6 +71,24 @@ def test_no_target_or_rows(spark):
     assert [r.score for r in word_lm.score_documents(df.where("doc_id = 2"), F.lit(True)).collect()] == [0.0]
 
 
+def test_own_text_is_left_out(spark):
+    """The only target knows nothing of itself; a text that occurs twice is told
+    from one that occurs once, the rest of its words being equal."""
+    df = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in word_lm.score_documents(df, F.col("doc_id") == 1).collect()}
+    assert got[1] == 0.0 and got[2] == pytest.approx(0, abs=1e-12)  # without text 2, all documents are the target
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
+    rows = [(i, t, True) for i, t in enumerate([*texts, *texts[:5]])] + \
+        [(100 + i, " ".join(rng.choices(words, k=80)), False) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, flag boolean").repartition(4)
+    got = {r.doc_id: r.score for r in word_lm.score_documents(df, F.col("flag")).collect()}
+    twice = [got[i] for i in range(5)] + [got[60 + i] for i in range(5)]
+    assert max(twice) < min(got[i] for i in range(5, 60))
+    assert all(got[i] == pytest.approx(got[60 + i], abs=1e-9) for i in range(5))
+
+
 def test_query_tells_words_apart(spark, tmp_path):
     """Digits, accents and letters of one block are different words."""
     rows = [(i, f"in {a} the {b} ж" if i % 2 else f"in {c} the {d} з", "en" if i % 2 else "de", "s", 9)
