@@ -306,18 +306,21 @@ def remove_visitor_id(df: DataFrame, visitor_id: int, key: str = "visitorid") ->
 
 # ---------------------------------------------------------------------- F14
 def run_pipeline(events: DataFrame, user_feats: DataFrame, stage_dir: str | None = None,
-                 iso_model=None, seed: int = 42, n_estimators: int = 100) -> DataFrame:
+                 iso_model=None, seed: int = 42, n_estimators: int = 100,
+                 sources: list[str] | None = None) -> DataFrame:
     """F7 -> F8 -> F9 -> F10, each stage written once under ``stage_dir`` (a
-    shared folder) and re-read on later runs."""
+    shared folder) and re-read on later runs, until the files of ``sources``
+    (where ``events`` and ``user_feats`` come from) or a parameter change."""
     from cartwheel.operators.iforest import model_based_flags
     from cartwheel.sources.files import materialize
     spark = events.sparkSession
 
-    def stage(name, fn):
-        return materialize(spark, f"{stage_dir}/{name}", fn) if stage_dir else fn()
+    def stage(name, fn, **params):
+        return materialize(spark, f"{stage_dir}/{name}", fn, sources=sources, params=params) if stage_dir else fn()
     ext = stage("user_features_extended", lambda: compute_extra_user_features(events, user_feats))
-    rules = stage("user_with_rules", lambda: rule_based_flags(ext))
-    models = stage("user_with_models", lambda: model_based_flags(rules, seed=seed, n_estimators=n_estimators))
+    rules = stage("user_with_rules", lambda: rule_based_flags(ext), thresholds=RULE_THRESHOLDS)
+    models = stage("user_with_models", lambda: model_based_flags(rules, seed=seed, n_estimators=n_estimators),
+                   thresholds=RULE_THRESHOLDS, seed=seed, n_estimators=n_estimators)
     return combined_flags(models)
 
 

@@ -14,6 +14,7 @@ from cartwheel.plans import pipeline_queries as _pq  # noqa: F401
 from cartwheel.plans.registry import register
 from cartwheel.plans.sql_adapters import register_cte, with_ctes
 from cartwheel.session import stage
+from cartwheel.sources.files import fingerprint
 
 HOLDOUT = 180
 FUTURE = 15
@@ -161,7 +162,8 @@ _FITS: dict = {}
 def _fit(spark, d, holdout=HOLDOUT, future=FUTURE):
     """One fit per (session, data folder, horizon); the evaluation table is
     written once (reliable checkpoint) and shared by the reports."""
-    key = (id(spark), spark.sparkContext.applicationId, d, holdout, future)
+    state = fingerprint(spark, [f"{d}/orders.parquet", f"{d}/lineitem.parquet"])
+    key = (id(spark), spark.sparkContext.applicationId, d, state, holdout, future)
     if key not in _FITS:
         ev, fits, metrics = clv.fit_and_predict(_tx_money(spark, d), holdout_days=holdout, future_days=future)
         _FITS[key] = (stage(ev), fits, metrics)

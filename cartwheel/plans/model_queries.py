@@ -1,8 +1,8 @@
 """Registered fitted-model queries (rows-checked): Cox PH (H13, H14, H16,
 H18-H22), on the survival split with training-fitted standardisation (H10).
 
-A fit is a handful of driver-side numbers; it is memoised per (session,
-data folder) so several reports of one model share one fit."""
+A fit is a handful of driver-side numbers; it is memoised per (session, data
+folder, state of its files) so several reports of one model share one fit."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from cartwheel.operators import survival as sv
 from cartwheel.plans import survival_queries as sq
 from cartwheel.plans.registry import register
 from cartwheel.session import stage, staged_parquet
+from cartwheel.sources.files import fingerprint
 
 FEATURES = sq.SURV_FEATURES
 COX_PENALIZER = 0.1
@@ -24,6 +25,11 @@ def sid(spark) -> tuple:
     return (id(spark), spark.sparkContext.applicationId)
 
 
+def data(spark, d) -> tuple:
+    """Memo key of a folder's tables: a changed file is another key."""
+    return (*sid(spark), d, fingerprint(spark, [f"{d}/{t}.parquet" for t in ("events", "orders", "lineitem")]))
+
+
 def memo(key, build):
     if key not in _MEMO:
         _MEMO[key] = build()
@@ -39,12 +45,12 @@ def scaled_split(spark, d):
         tr = stage(sv.standardize(train, train, FEATURES))
         te = stage(sv.standardize(train, test, FEATURES))
         return tr, te
-    return memo(("split", sid(spark), d), build)
+    return memo(("split", data(spark, d)), build)
 
 
 def cox_fit(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("cox", sid(spark), d), lambda: cox.fit_cox(tr, FEATURES, penalizer=COX_PENALIZER))
+    return memo(("cox", data(spark, d)), lambda: cox.fit_cox(tr, FEATURES, penalizer=COX_PENALIZER))
 
 
 def cox_baseline(spark, d):
@@ -129,16 +135,16 @@ FOREST_PERIOD_DAYS = 30.0
 
 
 def _cluster_input(spark, d):
-    return memo(("cf", sid(spark), d), lambda: stage(rf.cluster_features(fr.rfm_b(spark, d))))
+    return memo(("cf", data(spark, d)), lambda: stage(rf.cluster_features(fr.rfm_b(spark, d))))
 
 
 def _segmentation(spark, d, model):
-    return memo(("seg", model, sid(spark), d), lambda: cl.segment(_cluster_input(spark, d), model=model))
+    return memo(("seg", model, data(spark, d)), lambda: cl.segment(_cluster_input(spark, d), model=model))
 
 
 @register("g4_model_comparison", ids="G4,G8")
 def q_g4(spark, d):
-    return memo(("cmp", sid(spark), d), lambda: stage(cl.compare_models(_cluster_input(spark, d))))
+    return memo(("cmp", data(spark, d)), lambda: stage(cl.compare_models(_cluster_input(spark, d))))
 
 
 @register("g4_comparison_pivot", ids="G4")
@@ -171,7 +177,7 @@ def q_g9m(spark, d):
 # ------------------------------------------------------- churn classifier
 def _gbt(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("gbt", sid(spark), d), lambda: bo.fit_boosting(tr, FEATURES, "event"))
+    return memo(("gbt", data(spark, d)), lambda: bo.fit_boosting(tr, FEATURES, "event"))
 
 
 def _gbt_pred(spark, d):
@@ -209,19 +215,19 @@ def _forest(spark, d, refit=False):
     tr, te = scaled_split(spark, d)
     if refit:
         allu = stage(tr.unionByName(te))
-        return memo(("rsf_all", sid(spark), d), lambda: (sf.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
+        return memo(("rsf_all", data(spark, d)), lambda: (sf.fit_forest(allu, FEATURES, period_days=FOREST_PERIOD_DAYS,
                                                                       min_leaf=sf.FOREST_MIN_LEAF_REFIT), allu))
-    return memo(("rsf", sid(spark), d), lambda: sf.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
+    return memo(("rsf", data(spark, d)), lambda: sf.fit_forest(tr, FEATURES, period_days=FOREST_PERIOD_DAYS))
 
 
 def _horizon(spark, d):
     tr, _ = scaled_split(spark, d)
-    return memo(("horizon", sid(spark), d), lambda: int((tr.agg(F.max("duration")).first()[0] or 0.0) // FOREST_PERIOD_DAYS) + 1)
+    return memo(("horizon", data(spark, d)), lambda: int((tr.agg(F.max("duration")).first()[0] or 0.0) // FOREST_PERIOD_DAYS) + 1)
 
 
 def _forest_curves(spark, d):
     _, te = scaled_split(spark, d)
-    return memo(("curves", sid(spark), d), lambda: staged_parquet(
+    return memo(("curves", data(spark, d)), lambda: staged_parquet(
         sf.forest_curves(_forest(spark, d), te, FEATURES, _horizon(spark, d), FOREST_PERIOD_DAYS), "forest-curves"))
 
 
@@ -269,7 +275,7 @@ from cartwheel.operators import iforest  # noqa: E402
 
 
 def _model_flags(spark, d):
-    return memo(("iso", sid(spark), d), lambda: stage(iforest.model_based_flags(fr.rules(spark, d))))
+    return memo(("iso", data(spark, d)), lambda: stage(iforest.model_based_flags(fr.rules(spark, d))))
 
 
 @register("f9_model_flags", ids="F9")
@@ -309,7 +315,8 @@ def q_f14(spark, d):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     tag = hashlib.md5(d.encode()).hexdigest()[:10]
     e = fr.ewp(spark, d)
-    return fe.run_pipeline(e, fe.build_user_features(e), stage_dir=f"{root}/cartwheel_stages/{tag}")
+    return fe.run_pipeline(e, fe.build_user_features(e), stage_dir=f"{root}/cartwheel_stages/{tag}",
+                           sources=[f"{d}/events.parquet"])
 
 
 @register("h26_permutation_importance", ids="H26")

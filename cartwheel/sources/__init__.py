@@ -3,5 +3,5 @@ from cartwheel.sources.tables import (  # noqa: F401
 )
 from cartwheel.sources.files import (  # noqa: F401
     load_events_csv, load_item_props_csv, load_typed, concat_parts, write_table,
-    materialize, read_back,
+    fingerprint, materialize, read_back,
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,13 +122,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
 
 
-def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-                fmt: str = "parquet") -> DataFrame:
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Number and hash of the files (path, size, change time) below ``paths``,
+    summed by Spark; the files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths) \
+        .select("path", "length", "modificationTime")
+    n, total = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{n}:{total or 0}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet",
+                sources: list[str] | None = None, params: dict | None = None) -> DataFrame:
     """Read the stage if it was written completely, else compute, write, re-read.
 
-    The written table also cuts the lineage (survives executor loss)."""
-    if not _exists(spark, path):
+    With ``sources`` (files or folders the stage is computed from) the stage has a
+    manifest of them and of ``params`` beside it (``<path>.manifest``) and is computed
+    again when either changed. The old manifest goes before the table is overwritten
+    and the new one comes after it, so an interrupted run leaves none. Without
+    ``sources`` a complete table is taken as it is. The written table also cuts the
+    lineage (survives executor loss)."""
+    if sources is None:
+        if not _exists(spark, path):
+            write_table(build(), path, fmt=fmt)
+        return load_typed(spark, path, fmt=fmt)
+    kept = f"{path.rstrip('/')}.manifest"
+    wanted = json.dumps({"sources": fingerprint(spark, sources), "params": params or {}, "format": fmt},
+                        sort_keys=True, default=str)
+    if not (_exists(spark, path) and _exists(spark, kept) and spark.read.text(kept).first() == (wanted,)):
+        _remove(spark, kept)
         write_table(build(), path, fmt=fmt)
+        spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.text(kept)
     return load_typed(spark, path, fmt=fmt)
 
 
