@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from cartwheel.functions.semantics import add_days, frac_days, log1p0
 from cartwheel.functions.special import gammaln, hyp2f1_series, log_hyp2f1_next, logsubexp
+from cartwheel.operators.curves import density_curve
 from cartwheel.operators.relational import avg_rank, describe
 
 # Default horizons and penalizers of the CLV stage.
@@ -341,20 +342,9 @@ def residual_band(ev: DataFrame, true_col: str, pred_col: str) -> DataFrame:
 
 
 def kde_curve(df: DataFrame, c: str, gridsize: int = KDE_GRID, cut: float = KDE_CUT) -> DataFrame:
-    """Gaussian KDE (Scott bandwidth n^-1/5 * std) of
-    log1p(clip(c, 0)) on ``gridsize`` points from min - cut*h to max + cut*h.
-    Each value meets the fixed-size grid through an exploded array."""
-    v = df.select(log1p0(F.greatest(F.col(c), F.lit(0.0))).alias("v")).where(F.col(c).isNotNull())
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("mn"),
-               F.max("v").alias("mx"))
-    st = st.withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")) \
-        .withColumn("lo", F.col("mn") - F.lit(cut) * F.col("h")) \
-        .withColumn("step", (F.col("mx") - F.col("mn") + F.lit(2 * cut) * F.col("h")) / F.lit(gridsize - 1))
-    j = v.crossJoin(F.broadcast(st)).withColumn("gi", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
-    j = j.withColumn("g", F.col("lo") + F.col("gi") * F.col("step"))
-    k = F.exp(F.lit(-0.5) * ((F.col("g") - F.col("v")) / F.col("h")) ** 2)
-    return j.groupBy("gi", "g").agg((F.sum(k) / (F.max("n") * F.max("h") * F.lit(np.sqrt(2 * np.pi)))).alias("density")) \
-        .select(F.col("gi").cast("long").alias("grid_id"), F.col("g").alias("x"), "density")
+    """Kernel density (``density_curve``) of log1p(clip(c, 0))."""
+    v = df.where(F.col(c).isNotNull()).select(log1p0(F.greatest(F.col(c), F.lit(0.0))).alias("v"))
+    return density_curve(v, "v", gridsize, cut)
 
 
 # ----------------------------------------------------------------- pipeline

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.operators.curves import mean_power_curve
 from cartwheel.operators.relational import avg_rank, ffill_on_grid, running_sums, top_n
 
 Z95 = 1.959963984540054
@@ -291,6 +292,15 @@ def survival_on_grid(users: DataFrame, base: DataFrame, fit: CoxFit, grid: DataF
                                                F.exp(-F.col("H0") * F.col("partial_hazard")).alias("s"))
 
 
+def mean_survival_by_segment(users: DataFrame, base: DataFrame, fit: CoxFit, grid: DataFrame,
+                             label: str = "business_label") -> DataFrame:
+    """Mean of exp(-H0(t) * ph_i) per label on the grid, summed up inside the tasks."""
+    h0 = ffill_on_grid(grid.select("t"), base.select(F.col("timeline").alias("t"), "cumulative_hazard"), [], "t",
+                       "cumulative_hazard", "H0")
+    return mean_power_curve(partial_hazard(users, fit), label, F.col("partial_hazard"),
+                            h0.withColumn("s0", F.exp(-F.col("H0"))), "t", "s0")
+
+
 def hazard_by_segment(users: DataFrame, base: DataFrame, fit: CoxFit, grid: DataFrame) -> DataFrame:
     """Baseline hazard forward-filled on the grid x mean partial hazard of
     each segment (partial hazard used once)."""

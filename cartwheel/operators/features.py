@@ -275,6 +275,7 @@ def top_by_score(df: DataFrame, sort_by: str = "combined_score", n: int = 25) ->
 
 
 # ---------------------------------------------------------------------- F12
+# The features of the report and those shown as log1p.
 FEATURES_TO_PLOT = ["total_events", "events_per_active_day", "max_events_per_minute",
                     "prop_very_fast", "prop_same_item_repeat", "distinct_items",
                     "rule_flag_score", "combined_score"]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.semantics import MICROS_PER_DAY, frac_days, micros_between
 from cartwheel.session import stage
 from cartwheel.operators.concordance import concordance_index  # noqa: F401  (H15, part of this operator set)
+from cartwheel.operators.curves import mean_power_curve
 from cartwheel.operators.relational import (
     describe, ffill_on_grid, interp_at, linspace, qcut_labels, running_sums, trapezoid_area,
 )
@@ -162,6 +163,15 @@ def curves_from_baseline(users: DataFrame, baseline: DataFrame, risk: str, grid:
     return j.withColumn("s", F.pow(F.col("s0"), F.exp(F.col(risk)))).drop("s0")
 
 
+def mean_curve_from_baseline(users: DataFrame, baseline: DataFrame, risk: str, grid: DataFrame,
+                             label: str = "business_label") -> DataFrame:
+    """Mean of the curves S0(t) ** exp(risk) per label on the grid, summed up
+    inside the tasks; users are not multiplied by the grid."""
+    s0 = ffill_on_grid(grid.select("t"), baseline.select(F.col("timeline").alias("t"), "survival"), [], "t", "survival", "s0")
+    s0 = s0.withColumn("s0", F.when(F.col("t") < 0, F.lit(1.0)).otherwise(F.col("s0")))
+    return mean_power_curve(users, label, F.exp(F.col(risk)), s0, "t", "s0")
+
+
 def mean_curve_by(curves: DataFrame, label: str = "business_label", t: str = "t", s: str = "s") -> DataFrame:
     """Mean curve per label on the grid."""
     return curves.groupBy(label, t).agg(F.avg(s).alias("mean_survival"))

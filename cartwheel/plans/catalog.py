@@ -15,6 +15,7 @@ QUERY_MODULES = [
     "cartwheel.plans.clv_queries",
     "cartwheel.plans.model_queries",
     "cartwheel.plans.io_queries",
+    "cartwheel.plans.given_queries",
 ]
 
 

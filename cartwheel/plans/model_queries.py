@@ -16,7 +16,7 @@ from cartwheel.session import stage, staged_parquet
 from cartwheel.sources.files import fingerprint
 
 FEATURES = sq.SURV_FEATURES
-COX_PENALIZER = 0.1
+COX_PENALIZER = 0.1  # fixed value
 _MEMO: dict = {}
 
 
@@ -83,8 +83,7 @@ def q_h16b(spark, d):
 @register("h17_cox_mean_curve_by_segment", ids="H17,J11,P28")
 def q_h17c(spark, d):
     _, te = scaled_split(spark, d)
-    curves = cox.survival_on_grid(te, cox_baseline(spark, d), cox_fit(spark, d), sv.survival_grid(spark))
-    return sv.mean_curve_by(curves)
+    return cox.mean_survival_by_segment(te, cox_baseline(spark, d), cox_fit(spark, d), sv.survival_grid(spark))
 
 
 @register("h18_hazard_ratio_table", ids="H18")

@@ -92,10 +92,6 @@ def _km(spark, d, by=None):
     return sv.kaplan_meier(_train(spark, d), "time_to_event", "churned", by=by)
 
 
-def _curves(spark, d):
-    return sv.curves_from_baseline(_test_scored(spark, d), _km(spark, d), "risk_score", sv.survival_grid(spark))
-
-
 @register("h1_time_to_churn", with_ctes("churn") + "SELECT * FROM churn", doubles=["time_to_event"], ids="H1,P17")
 def q_h1(spark, d):
     return sv.time_to_churn(fr.btx(spark, d), WINDOW)
@@ -188,7 +184,7 @@ def q_h8_score(spark, d):
 SELECT business_label, t, avg(s) AS mean_survival FROM curves GROUP BY 1, 2""",
           doubles=["t", "mean_survival"], ids="H17,J11,P28,P30")
 def q_h17(spark, d):
-    return sv.mean_curve_by(_curves(spark, d))
+    return sv.mean_curve_from_baseline(_test_scored(spark, d), _km(spark, d), "risk_score", sv.survival_grid(spark))
 
 
 @register("h22_risk_summary", with_ctes("test_scored") + """
