@@ -101,13 +101,14 @@ def _cutoff_frame(events: DataFrame, cutoff_time):
     return events.sparkSession.range(1).select(F.lit(cutoff_time).cast("timestamp_ntz").alias("_cutoff"))
 
 
-def build_user_features(events: DataFrame, cutoff_time=None) -> DataFrame:
+def build_user_features(events: DataFrame, cutoff_time=None, rated: DataFrame | None = None) -> DataFrame:
     """24 per-visitor features (see FIXTURES.md).
 
     Plan: one GROUPING SETS pre-aggregation ((visitor,item), (visitor,tx),
     (visitor,date), (visitor)) with map-side partial aggregation, then one
-    aggregation per visitor; the inter-event gap mean comes from a
-    bucketed lag. No multi-``count(distinct)`` Expand over raw rows."""
+    aggregation per visitor; the inter-event gap mean comes from ``rated``
+    (``rate_rows(events)`` where the caller has it) or a scan of its own. No
+    multi-``count(distinct)`` Expand over raw rows."""
     cut = _cutoff_frame(events, cutoff_time)
     ev = events.crossJoin(F.broadcast(cut)).where(F.col("timestamp") <= F.col("_cutoff")) \
         .withColumn("_date", F.to_date("timestamp"))
@@ -177,10 +178,13 @@ def build_user_features(events: DataFrame, cutoff_time=None) -> DataFrame:
         (total / F.when(F.col("active_days") == 0, 1).otherwise(F.col("active_days"))).alias("events_per_active_day"),
         "view_price", "addtocart_price", "tx_price",
     )
-    gaps = ordered_scan(ev.select("visitorid", "timestamp", "itemid"), "visitorid", ["timestamp", "itemid"],
-                        lags={"timestamp": "_prev_timestamp"})
+    if rated is None:
+        gaps = ordered_scan(ev.select("visitorid", "timestamp", "itemid"), "visitorid", ["timestamp", "itemid"],
+                            lags={"timestamp": "prev_ts"})
+    else:  # events beyond the cut-off precede none before it
+        gaps = rated.crossJoin(F.broadcast(cut)).where(F.col("timestamp") <= F.col("_cutoff"))
     gaps = gaps.groupBy("visitorid").agg(
-        (F.avg(whole_seconds("_prev_timestamp", "timestamp")) / 86400.0).alias("avg_inter_event_days"))
+        (F.avg(whole_seconds("prev_ts", "timestamp")) / 86400.0).alias("avg_inter_event_days"))
     return feats.join(gaps, "visitorid", "left")
 
 
@@ -207,11 +211,11 @@ def add_rate_features(events: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- F7
-def compute_extra_user_features(events: DataFrame, user_feats: DataFrame) -> DataFrame:
+def compute_extra_user_features(events: DataFrame, user_feats: DataFrame, rated: DataFrame | None = None) -> DataFrame:
     """Extra behaviour features joined to the user table; missing -> 0 and all
     numeric NULLs of the result -> 0 (one row per user: the three gap
-    statistics are columns)."""
-    r = rate_rows(events)
+    statistics are columns). ``rated``: ``rate_rows(events)`` where the caller has it."""
+    r = rate_rows(events) if rated is None else rated
     per_min = r.groupBy("visitorid", "minute").agg(F.count(F.lit(1)).alias("_epm")) \
         .groupBy("visitorid").agg(F.max("_epm").alias("max_events_per_minute"))
     stats = r.groupBy("visitorid").agg(
@@ -222,11 +226,7 @@ def compute_extra_user_features(events: DataFrame, user_feats: DataFrame) -> Dat
     )
     med = exact_quantiles(r, ["visitorid"], "delta_s", [0.5], name="median").withColumnRenamed("median_0", "median_ie_s")
     stats = stats.join(med, "visitorid", "left")
-    extra_cols = ["prop_very_fast", "prop_same_item_repeat", "max_events_per_minute",
-                  "min_ie_s", "median_ie_s", "std_ie_s", "prop_price_available"]
-    extra = user_feats.select("visitorid").join(stats, "visitorid", "left") \
-        .join(per_min, "visitorid", "left").na.fill(0, subset=extra_cols)
-    merged = user_feats.join(extra, "visitorid", "left")
+    merged = user_feats.join(stats, "visitorid", "left").join(per_min, "visitorid", "left")
     numeric = [f.name for f in merged.schema.fields if isinstance(f.dataType, T.NumericType)]
     return merged.na.fill(0, subset=numeric)
 

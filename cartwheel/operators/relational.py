@@ -5,7 +5,7 @@ rows to the driver. Scale rules applied throughout:
 
 * windows over an ordered column run inside equi-depth ranges of it, whose
   edges are sampled quantiles (``equi_depth``), plus a small table of range
-  totals (``running_sums``, ``exact_rank``, ``exact_quantiles``);
+  totals (``running_sums``); ranks and quantiles come from ordered scans;
 * windows over raw rows are never partitioned by a key alone when that key
   can be hot (one item holding a third of the rows): the time axis is cut into
   ranges and a small per-(key, range) table carries state across their borders
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.semantics import col
+from cartwheel.operators.scan import ordered_scan
 from cartwheel.session import staged_parquet
 
 # ---------------------------------------------------------------- as-of join
@@ -407,29 +408,22 @@ def dense_rank_exact(values: DataFrame, c: str, name: str = "rank") -> DataFrame
 # ------------------------------------------------- exact ranks, hot-group safe
 def exact_rank(df: DataFrame, group: list[str], value: str, tiebreak: str, name: str = "rank") -> DataFrame:
     """0-based ``row_number() over (partition by group order by value, tiebreak)``
-    without a window over a whole group.
-
-    rank = #rows of the group with a smaller value (running sums over the
-    distinct (group, value) table) + position among rows with an equal value
-    (windows per (group, value, tiebreak range) plus the counts of lower
-    ranges). Tiebreak ranges are equi-depth over all rows, so one value shared
-    by a third of the rows is spread whatever the ids look like, and the rows
-    meet their offsets on the window's own keys: they are shuffled once.
-    ``tiebreak`` must be a unique long per row within the group. Also adds
-    ``<name>_n``, the group size."""
-    d = equi_depth(df.withColumn("_xv", F.col(value).cast("double")), tiebreak, "_tb")
-    tc = d.groupBy(*group, "_xv", "_tb").agg(F.count(F.lit(1)).alias("_tc"))
-    dv = tc.groupBy(*group, "_xv").agg(F.sum("_tc").alias("_c"))
-    n = dv.groupBy(*group).agg(F.sum("_c").alias(name + "_n"))
-    dv = running_sums(dv, group, "_xv", ["_c"], prefix="_cum")
-    dv = dv.select(*group, "_xv", (F.col("_cum_c") - F.col("_c")).alias("_below"))
-    dv = dv.join(n, group) if group else dv.crossJoin(F.broadcast(n))
-    wt = Window.partitionBy(*group, "_xv").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    start = tc.withColumn("_lower", F.coalesce(F.sum("_tc").over(wt), F.lit(0))).join(dv, group + ["_xv"]) \
-        .select(*group, "_xv", "_tb", (F.col("_below") + F.col("_lower")).alias("_start"), name + "_n")
-    w = Window.partitionBy(*group, "_xv", "_tb").orderBy(tiebreak)
-    out = d.withColumn("_in", F.row_number().over(w) - 1).join(start, group + ["_xv", "_tb"])
-    return out.withColumn(name, (F.col("_start") + F.col("_in")).cast("long")).drop("_xv", "_tb", "_in", "_start")
+    without a window over a whole group: the row's position in one ordered scan,
+    whose range partitions cut hot groups and hot values alike. Null values come
+    first. ``tiebreak`` must be a unique long per row within the group. ``group``
+    has one column at most. Also adds ``<name>_n``, the group size."""
+    keyed = df.withColumn("_xv", F.col(value).cast("double")).withColumn("_xk", _one_key(group))
+    d = ordered_scan(keyed, "_xk", ["_xv", tiebreak], position="_xp")
+    n = d.groupBy("_xk").agg(F.count(F.lit(1)).alias(name + "_n")).withColumnRenamed("_xk", "_xg")
+    return d.join(n, F.col("_xk").eqNullSafe(F.col("_xg"))).withColumn(name, F.col("_xp")) \
+        .select(*[F.col(f"`{c}`") for c in df.columns], name + "_n", name)
+
+
+def _one_key(group: list[str]) -> Column:
+    """The scan key of a group of no or one column."""
+    if len(group) > 1:
+        raise ValueError("one group column at most")
+    return F.col(group[0]) if group else F.lit(0)
 
 
 def row_key(*cols) -> Column:
@@ -440,12 +434,13 @@ def row_key(*cols) -> Column:
 def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float], name: str = "q") -> DataFrame:
     """Linear-interpolated quantiles (numpy / pandas default) per group,
     distributed and exact: the (group, value) -> count table (partial
-    aggregation, so hot groups and heavy ties collapse), running counts over
-    equi-depth ranges, then the values holding ranks floor/ceil(p * (n - 1)).
-    One row per group with columns ``<name>_<i>``; no buffer of a whole group."""
+    aggregation, so hot groups and heavy ties collapse), its running counts by one
+    ordered scan, then the values holding ranks floor/ceil(p * (n - 1)). ``group``
+    has one column at most. One row per group with columns ``<name>_<i>``; no
+    buffer of a whole group."""
     d = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_xv"))
-    dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c"))
-    dv = running_sums(dv, group, "_xv", ["_c"], prefix="_cum")
+    dv = d.groupBy(*group, "_xv").agg(F.count(F.lit(1)).alias("_c")).withColumn("_xk", _one_key(group))
+    dv = ordered_scan(dv, "_xk", ["_xv"], sums={"_c": "_cum_c"}).drop("_xk")
     n = dv.groupBy(*group).agg(F.max("_cum_c").alias("_n"))
     dv = (dv.join(n, group) if group else dv.crossJoin(F.broadcast(n))) \
         .withColumn("_below", F.col("_cum_c") - F.col("_c"))

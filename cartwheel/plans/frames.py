@@ -45,7 +45,8 @@ def feats(spark: SparkSession, d: str) -> DataFrame:
 
 def extra(spark: SparkSession, d: str) -> DataFrame:
     e = ewp(spark, d)
-    return fe.compute_extra_user_features(e, fe.build_user_features(e))
+    rated = fe.rate_rows(e)
+    return fe.compute_extra_user_features(e, fe.build_user_features(e, rated=rated), rated)
 
 
 def rules(spark: SparkSession, d: str) -> DataFrame:
