@@ -58,8 +58,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
-    docs = docs.withColumn("text", F.lit(None).cast("string"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     out = pfair_mix.mix_sources(docs, MIX_SHARES, MIX_OTHER_SHARE, MIX_BLOCK_ROWS)
     return out.select("doc_id", "source", "mix_class", "mix_phase", "mix_slot", "mix_position")
 
