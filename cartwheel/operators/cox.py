@@ -1,12 +1,11 @@
 """Cox proportional hazards.
 
-Distributed Newton-Raphson with Efron ties. Every iteration: (A) each input
-partition sums w, w x, w x x' (w = exp(x beta)) per distinct duration, so a
-duration shared by many users is combined where it lies; the partial table
-is range-partitioned by duration (descending); (B) per-partition totals ->
-P x (1+d+d^2) numbers on the driver, turned into risk-set offsets; (C) per
-partition, merged per-duration sums, suffix sums plus offset (= risk-set
-sums) and the Efron tie terms -> partial log-likelihood, gradient and
+Distributed Newton-Raphson with Efron ties. The rows are range-partitioned by
+duration (descending) once and kept; no iteration shuffles. Every iteration: (A)
+each partition sums w, w x, w x x' (w = exp(x beta)) -> P x (1+d+d^2) numbers on
+the driver, turned into risk-set offsets, with the events of the durations that
+neighbouring partitions share; (B) per partition, suffix sums plus offset (=
+risk-set sums) and the Efron tie terms -> partial log-likelihood, gradient and
 Hessian (d + d^2 numbers).
 The Newton step (d x d solve) runs on the driver.
 L2 penalty 0.5 * penalizer * n * |beta|^2."""
@@ -17,7 +16,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,72 +43,64 @@ def _pairs(d):
     return [(k, l) for k in range(d) for l in range(k, d)]
 
 
-PARTIAL_SCHEMA = ("t double, r0 double, dd double, e0 double, exb double, r1 array<double>, e1 array<double>, "
-                  "xs array<double>, r2 array<double>, e2 array<double>")
+# Rows of one range partition; a task holds a handful of row x feature arrays of them.
+RANGE_ROWS = 100_000
 
 
-def _partial_kernel(beta: np.ndarray, d: int):
-    """Pass A (map-side combine): per Arrow batch and distinct duration, sums of
-    w, w x, w x x' over all rows and over events (w = exp(x beta))."""
-    def kernel(it):
-        for pdf in it:
-            if len(pdf):
-                yield sums(pdf)
-
-    def sums(pdf):
-        pdf = pdf.sort_values("t", kind="mergesort")
-        X = pdf[[f"x{k}" for k in range(d)]].to_numpy(dtype=float)
-        e = pdf["e"].to_numpy(dtype=float)
-        t = pdf["t"].to_numpy()
-        xb = X @ beta
-        w = np.exp(xb)
-        starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-        WX = w[:, None] * X
-        WXX = (WX[:, :, None] * X[:, None, :]).reshape(len(X), d * d)
-
-        def red(a):
-            return np.add.reduceat(a, starts, axis=0)
-        out = pd.DataFrame({"t": t[starts], "r0": red(w), "dd": red(e), "e0": red(e * w), "exb": red(e * xb)})
-        for name, arr in (("r1", red(WX)), ("e1", red(e[:, None] * WX)), ("xs", red(e[:, None] * X)),
-                          ("r2", red(WXX)), ("e2", red(e[:, None] * WXX))):
-            out[name] = list(arr)
-        return out
-    return kernel
+def _rows(it, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Durations (longest first), events and features of a range partition."""
+    parts = [np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ["t", "e", *[f"x{k}" for k in range(d)]]], axis=1)
+             for b in it if b.num_rows]
+    r = np.concatenate(parts) if parts else np.zeros((0, 2 + d))
+    return r[:, 0], r[:, 1], r[:, 2:]
 
 
-def _combine(pdf: pd.DataFrame, d: int):
-    """Merge partial rows of equal duration; arrays, longest duration first."""
-    pdf = pdf.sort_values("t", ascending=False, kind="mergesort")
-    t = pdf["t"].to_numpy()
+def _events(t: np.ndarray, e: np.ndarray, X: np.ndarray, w: np.ndarray, xb: np.ndarray) -> dict:
+    """Per distinct duration of the rows: sums over its events, and its last row."""
     starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+    ew = e * w
 
-    def red(col, shape=None):
-        a = np.stack(pdf[col].to_numpy()) if shape else pdf[col].to_numpy(dtype=float)
+    def red(a):
         return np.add.reduceat(a, starts, axis=0)
-    return {"r0": red("r0"), "dd": red("dd"), "e0": red("e0"), "exb": red("exb"),
-            "r1": red("r1", 1), "e1": red("e1", 1), "xs": red("xs", 1),
-            "r2": red("r2", 1).reshape(-1, d, d), "e2": red("e2", 1).reshape(-1, d, d)}
+    return {"dd": red(e), "e0": red(ew), "exb": red(e * xb), "e1": red(ew[:, None] * X), "xs": red(e[:, None] * X),
+            "last": np.r_[starts[1:], len(t)] - 1, "group": np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(t)]))}
 
 
-def _partition_frame(it) -> pd.DataFrame:
-    parts = [p for p in it if len(p)]
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
-
-
-def _totals_kernel(d: int):
+def _totals_kernel(beta: np.ndarray, d: int):
+    """Pass A: per range partition the sums of w, w x, w x x' and the events of its
+    last duration, which may go on in the next one."""
     def kernel(it):
         from pyspark import TaskContext
-        pdf = _partition_frame(it)
-        pid = TaskContext.get().partitionId()
-        if len(pdf) == 0:
-            tot = np.zeros(1 + d + d * d)
-        else:
-            tot = np.concatenate([[pdf["r0"].sum()], np.stack(pdf["r1"].to_numpy()).sum(0),
-                                  np.stack(pdf["r2"].to_numpy()).sum(0)])
-        yield pd.DataFrame({"pid": [pid], "tot": [tot.tolist()]})
+        t, e, X = _rows(it, d)
+        if len(t):
+            xb = X @ beta
+            w = np.exp(xb)
+            st = _events(t, e, X, w, xb)
+            tot = np.concatenate([[w.sum()], w @ X, ((X * w[:, None]).T @ X).ravel()])
+            open_rows = slice(np.searchsorted(st["group"], st["group"][-1]), None)
+            e2 = (X[open_rows] * (e * w)[open_rows, None]).T @ X[open_rows]
+            of_tail = np.concatenate([[st[c][-1] for c in ("dd", "e0", "exb")], st["e1"][-1], st["xs"][-1], e2.ravel()])
+            yield pa.RecordBatch.from_pydict({"pid": pa.array([TaskContext.get().partitionId()], pa.int32()), "tot": [tot],
+                                              "head": [t[0]], "tail": [t[-1]], "of_tail": [of_tail]})
     return kernel
 
 
+def _handed_on(rows: list, d: int) -> dict:
+    """Per range partition, in order: sums over all rows before it, the events of its
+    first duration in earlier partitions, and whether its last duration goes on."""
+    rows = sorted(rows, key=lambda r: r["pid"])  # partition 0 holds the longest durations
+    out, run = {}, np.zeros(1 + d + d * d)
+    before, open_t = np.zeros(3 + 2 * d + d * d), None
+    for i, r in enumerate(rows):
+        carry = before if open_t == r["head"] else np.zeros(3 + 2 * d + d * d)
+        goes_on = i + 1 < len(rows) and rows[i + 1]["head"] == r["tail"]
+        out[r["pid"]] = (run, carry, goes_on)
+        run = run + np.array(r["tot"])
+        before = np.array(r["of_tail"]) + (carry if r["head"] == r["tail"] else 0.0)
+        open_t = r["tail"]
+    return out
+
+
 TIE_BLOCK = 1 << 18
 
 
@@ -132,47 +123,60 @@ def tie_sums(s0: np.ndarray, e0: np.ndarray, deaths: np.ndarray) -> dict:
     return out
 
 
-def _efron_kernel(d: int, offsets: dict):
+def _efron_kernel(beta: np.ndarray, d: int, handed_on: dict):
+    """Pass B: log-likelihood, gradient and Hessian of the durations that end in a range
+    partition. A term of the Hessian that adds up sums of w x x' over the event
+    times is one product over the rows, each weighted by the event times that follow it."""
     def kernel(it):
         from pyspark import TaskContext
-        pdf = _partition_frame(it)
-        pid = TaskContext.get().partitionId()
+        t, e, X = _rows(it, d)
+        if not len(t):
+            return
+        off, carry, goes_on = handed_on[TaskContext.get().partitionId()]
+        xb = X @ beta
+        w = np.exp(xb)
+        st = _events(t, e, X, w, xb)
+        for name, v in (("dd", carry[0]), ("e0", carry[1]), ("exb", carry[2]), ("e1", carry[3:3 + d]), ("xs", carry[3 + d:3 + 2 * d])):
+            st[name][0] += v
+        S0 = off[0] + np.cumsum(w)[st["last"]]
+        S1 = off[1:1 + d] + np.cumsum(w[:, None] * X, axis=0)[st["last"]]
+        D = np.rint(st["dd"]).astype(int)
+        if goes_on:
+            D[-1] = 0  # the last partition of a duration counts it
+        ev = np.flatnonzero(D > 0)
         ll, g, H = 0.0, np.zeros(d), np.zeros((d, d))
-        if len(pdf):
-            st = _combine(pdf, d)
-            off = np.asarray(offsets.get(pid, np.zeros(1 + d + d * d)))
-            S0 = np.cumsum(st["r0"]) + off[0]
-            S1 = np.cumsum(st["r1"], axis=0) + off[1:1 + d]
-            S2 = np.cumsum(st["r2"], axis=0) + off[1 + d:].reshape(d, d)
-            D = np.rint(st["dd"]).astype(int)
-            ev = np.flatnonzero(D > 0)
-            if len(ev):
-                S0, S1, S2, E0, E1, E2 = (a[ev] for a in (S0, S1, S2, st["e0"], st["e1"], st["e2"]))
-                k = tie_sums(S0, E0, D[ev])
-                ll = st["exb"][ev].sum() - k["log"].sum()
-                g = st["xs"][ev].sum(0) - (k["a"] @ S1 - k["b"] @ E1)
-                cross = (k["ab"][:, None] * S1).T @ E1
-                outer = (k["aa"][:, None] * S1).T @ S1 - cross - cross.T + (k["bb"][:, None] * E1).T @ E1
-                H = -(np.tensordot(k["a"], S2, 1) - np.tensordot(k["b"], E2, 1) - outer)
-        yield pd.DataFrame({"ll": [ll], "g": [g.tolist()], "H": [H.ravel().tolist()]})
+        if len(ev):
+            S0, S1, E0, E1 = S0[ev], S1[ev], st["e0"][ev], st["e1"][ev]
+            k = tie_sums(S0, E0, D[ev])
+            a, b = np.zeros(len(D)), np.zeros(len(D))
+            a[ev], b[ev] = k["a"], k["b"]
+            ll = st["exb"][ev].sum() - k["log"].sum()
+            g = st["xs"][ev].sum(0) - (k["a"] @ S1 - k["b"] @ E1)
+            later = np.cumsum(a[::-1])[::-1]  # event times at or after a duration's place in the order
+            all_rows = (X * (w * later[st["group"]])[:, None]).T @ X + later[0] * off[1 + d:].reshape(d, d)
+            tied = (X * (e * w * b[st["group"]])[:, None]).T @ X + b[0] * carry[3 + 2 * d:].reshape(d, d)
+            cross = (k["ab"][:, None] * S1).T @ E1
+            outer = (k["aa"][:, None] * S1).T @ S1 - cross - cross.T + (k["bb"][:, None] * E1).T @ E1
+            H = -(all_rows - tied - outer)
+        yield pa.RecordBatch.from_pydict({"ll": [float(ll)], "g": [g], "H": [H.ravel()]})
     return kernel
 
 
-def _evaluate(data: DataFrame, beta: np.ndarray, d: int, parts: int):
-    """Pass A: per-(partition, duration) partial sums (a hot duration is
-    summed where it lies, like a map-side combine); the small partial table
-    is range-partitioned by duration; pass B: partition totals -> risk-set
-    offsets; pass C: local suffix sums + Efron terms."""
-    partial = data.mapInPandas(_partial_kernel(beta, d), PARTIAL_SCHEMA) \
-        .repartitionByRange(parts, F.desc("t")).persist()
-    tots = partial.mapInPandas(_totals_kernel(d), "pid int, tot array<double>").collect()
-    tot = {r["pid"]: np.array(r["tot"]) for r in tots}
-    offsets, run = {}, np.zeros(1 + d + d * d)
-    for pid in sorted(tot):               # partition 0 holds the longest durations
-        offsets[pid] = run.copy()
-        run = run + tot[pid]
-    rows = partial.mapInPandas(_efron_kernel(d, offsets), "ll double, g array<double>, H array<double>").collect()
-    partial.unpersist()
+def _ordered(data: DataFrame, n: int) -> DataFrame:
+    """The rows range-partitioned and sorted by duration, longest first, once for all
+    iterations. A row number joins the order, so rows of one duration may fill many
+    partitions."""
+    parts = max(1, data.sparkSession.sparkContext.defaultParallelism, -(-n // RANGE_ROWS))
+    return data.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(parts, F.desc("t"), "_row") \
+        .drop("_row").sortWithinPartitions(F.desc("t")).persist()
+
+
+def _evaluate(data: DataFrame, beta: np.ndarray, d: int):
+    """Two passes over the ordered rows without a shuffle: partition totals, turned into
+    risk-set offsets on the driver, then the Efron terms of each partition."""
+    tots = data.mapInArrow(_totals_kernel(beta, d), "pid int, tot array<double>, head double, tail double, "
+                                                    "of_tail array<double>").collect()
+    rows = data.mapInArrow(_efron_kernel(beta, d, _handed_on(tots, d)), "ll double, g array<double>, H array<double>").collect()
     ll = sum(r["ll"] for r in rows)
     g = np.sum([np.array(r["g"]) for r in rows], axis=0)
     H = np.sum([np.array(r["H"]).reshape(d, d) for r in rows], axis=0)
@@ -185,18 +189,17 @@ def fit_cox(df: DataFrame, features: list[str], duration: str = "duration", even
     A step that lowers the likelihood is never taken; raises if it hasn't
     converged after ``max_iter`` steps."""
     d = len(features)
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     data = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("double").alias("e"),
-                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{k}") for k, c in enumerate(features)]) \
-        .persist()
+                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{k}") for k, c in enumerate(features)])
     stats = data.agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ne"),
                      *[F.avg(f"x{k}").alias(f"m{k}") for k in range(d)]).first()
     n, ne = int(stats["n"]), int(stats["ne"] or 0)
     means = np.array([stats[f"m{k}"] for k in range(d)], dtype=float)
     pen = 0.5 * penalizer * n
+    data = _ordered(data, n)
 
     def penalised(beta):
-        ll, g, H = _evaluate(data, beta, d, parts)
+        ll, g, H = _evaluate(data, beta, d)
         return ll - pen * beta @ beta, g - 2 * pen * beta, H - 2 * pen * np.eye(d)
     beta = np.zeros(d)
     ll, g, H = penalised(beta)

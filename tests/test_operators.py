@@ -479,3 +479,38 @@ def test_streaming_counts_of_a_directory_table(spark, tmp_path):
     got = daily_events.daily_event_counts(spark, str(tmp_path))
     one = daily_events.daily_event_counts(spark, "/root/testdata/sf0.001")
     assert got.exceptAll(one).count() == 0 and one.exceptAll(got).count() == 0 and one.count() > 0
+
+
+def test_cox_iterations_do_not_shuffle_and_durations_may_span_partitions(spark, monkeypatch):
+    """A third of the rows share one duration over many range partitions; an iteration
+    reads the ordered rows as they lie."""
+    import pandas as pd
+    from cartwheel.operators import cox
+    rng = np.random.default_rng(3)
+    n, beta = 400, np.array([0.4, -0.2])
+    t = np.where(rng.random(n) < 0.34, 5.0, np.round(rng.exponential(5.0, n)))
+    e, X = (rng.random(n) < 0.6).astype(float), rng.normal(size=(n, 2))
+    data = spark.createDataFrame(pd.DataFrame({"t": t, "e": e, "x0": X[:, 0], "x1": X[:, 1]}))
+    monkeypatch.setattr(cox, "RANGE_ROWS", 20)
+    ordered = cox._ordered(data, n)
+    try:
+        assert ordered.rdd.getNumPartitions() >= 20
+        scan = ordered.mapInArrow(lambda it: it, ordered.schema)
+        plan = scan._jdf.queryExecution().optimizedPlan().toString()
+        assert "InMemoryRelation" in plan and "Repartition" not in plan.split("InMemoryRelation")[0]
+        ll, g, H = cox._evaluate(ordered, beta, 2)
+    finally:
+        ordered.unpersist()
+    w = np.exp(X @ beta)
+    want_ll, want_g, want_H = 0.0, np.zeros(2), np.zeros((2, 2))
+    for at in np.unique(t[e > 0]):
+        risk, dead = t >= at, (t == at) & (e > 0)
+        want_ll += (X[dead] @ beta).sum()
+        want_g += X[dead].sum(axis=0)
+        for k in range(dead.sum()):
+            v = w * risk - k / dead.sum() * w * dead
+            s0, s1, s2 = v.sum(), v @ X, (X * v[:, None]).T @ X
+            want_ll -= np.log(s0)
+            want_g -= s1 / s0
+            want_H -= s2 / s0 - np.outer(s1, s1) / s0 ** 2
+    assert np.isclose(ll, want_ll) and np.allclose(g, want_g) and np.allclose(H, want_H)
