@@ -60,3 +60,28 @@ def test_fingerprint_and_memo_key(spark, tmp_path):
     spark.range(3).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     assert mq.data(spark, str(tmp_path)) != before
     assert fingerprint(spark, [f"{tmp_path}/events.parquet"]) == fingerprint(spark, [f"{tmp_path}/events.parquet"])
+
+
+def test_user_table_is_staged_once_per_state_of_the_order_tables(spark, tmp_path, monkeypatch):
+    import datetime as dt
+    from cartwheel.plans import frames as fr
+    from cartwheel.plans import survival_queries as sq
+
+    def write(days):
+        orders = [(10 * c + i, c, dt.datetime(2020, 1, 1) + dt.timedelta(days=days * i + c)) for c in range(1, 9) for i in range(1 + c % 4)]
+        spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz") \
+            .write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+        spark.createDataFrame([(o, 7, 10.0 * c) for o, c, _ in orders], "l_orderkey long, l_partkey long, l_extendedprice double") \
+            .write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+
+    built = []
+    labelled = fr.rfm_labeled
+    monkeypatch.setattr(fr, "rfm_labeled", lambda *a: built.append(1) or labelled(*a))
+    write(20)
+    first = fr.users_pipeline(spark, str(tmp_path))
+    sq._test_scored(spark, str(tmp_path))
+    sq._train(spark, str(tmp_path))
+    assert len(built) == 1 and first.count() == fr.users_pipeline(spark, str(tmp_path)).count()
+    write(30)
+    again = fr.users_pipeline(spark, str(tmp_path))
+    assert len(built) == 2 and again.agg({"tenure_days": "max"}).first()[0] > first.agg({"tenure_days": "max"}).first()[0]
