@@ -73,7 +73,7 @@ register_cte("curves", ["km_train", "grid", "test_scored"], """
 
 
 def _users(spark, d):
-    return sv.attach_churn(fr.users_pipeline(spark, d), sv.time_to_churn(fr.btx(spark, d), WINDOW))
+    return sv.attach_churn(fr.users_pipeline(spark, d), sv.time_to_churn(fr.btx_once(spark, d), WINDOW))
 
 
 def _split(spark, d):
