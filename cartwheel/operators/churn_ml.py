@@ -4,9 +4,12 @@ probabilities, and reports on per-user survival curves. The learners are in
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.operators.curves import grid_sums
 from cartwheel.operators.relational import avg_rank, interp_at
 
 
@@ -36,11 +39,24 @@ def survival_at_day(curves: DataFrame, day: float, key: str = "visitorid", name:
 
 def segment_mean_curve(curves: DataFrame, grid: DataFrame, label: str = "business_label",
                        key: str = "visitorid") -> DataFrame:
-    """H28 (forest): per-user curve interpolated on the grid, mean per label."""
-    start = curves.select(key).distinct().withColumn("t", F.lit(0.0)).withColumn("s", F.lit(1.0))
-    pts = curves.select(key, "t", "s").unionByName(start)
-    users = curves.select(key, label).distinct()
-    q = users.crossJoin(F.broadcast(grid.select(F.col("t").alias("x"))))
-    v = interp_at(q.select(key, "x"), pts, [key], "x", "t", "s", "s_grid")
-    return v.join(users, key).groupBy(label, "x").agg(F.avg("s_grid").alias("mean_survival")) \
-        .withColumnRenamed("x", "t")
+    """H28 (forest): per-user curve interpolated on the grid, mean per label. A user's
+    points meet in one row; the users are summed up inside the tasks and never
+    multiplied by the grid. Rows without a user are left out."""
+    points = curves.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.sort_array(F.collect_list(F.when(F.col("t").isNotNull(), F.struct(F.col("t").cast("double").alias("t"), F.col("s").cast("double").alias("s")))))
+        .alias("_points"), F.collect_set(F.struct(F.col(label).alias("label"))).alias("_labels"))
+    axis = grid.select(F.col("t").cast("double").alias("t")).distinct().agg(F.sort_array(F.collect_list("t")).alias("_axis"))
+    users = points.select("_points", F.explode("_labels").alias("_of")).crossJoin(F.broadcast(axis)) \
+        .select("_points", "_axis", F.col("_of.label").alias(label))
+
+    def kernel(block: pd.DataFrame) -> np.ndarray:
+        x = np.asarray(block["x"].iloc[0], dtype=float)
+        s = np.array([np.interp(x, [0.0, *t], np.array([1.0, *v], dtype=float)) for t, v in zip(block["t"], block["s"])])
+        known = ~np.isnan(s)
+        return np.concatenate([np.where(known, s, 0.0), known], axis=1)
+    sums = grid_sums(users, label, {"t": F.col("_points.t"), "s": F.col("_points.s"), "x": F.col("_axis")}, kernel) \
+        .crossJoin(F.broadcast(axis.withColumn("_size", F.size("_axis"))))
+    at = F.col("pos") % F.col("_size")  # sums come first, then the numbers of users
+    return sums.groupBy(label, F.get("_axis", at.cast("int")).alias("t")).agg(
+        F.try_divide(F.sum(F.when(F.col("pos") < F.col("_size"), F.col("total"))),
+                     F.sum(F.when(F.col("pos") >= F.col("_size"), F.col("total")))).alias("mean_survival"))
