@@ -29,6 +29,8 @@ HOLDOUT_DAYS, FUTURE_DAYS = 15, 15
 PEN_BGF, PEN_PARETO, PEN_GG = 0.5, 0.5, 0.0
 KDE_GRID, KDE_CUT = 200, 3.0
 TIME_SCALE_NUMERATOR = 10.0
+# Rows whose likelihoods are computed at a time: their arrays stay in the cache.
+EVALUATE_ROWS = 256
 
 
 # ---------------------------------------------------------------- C1 / C2
@@ -164,12 +166,14 @@ def _evaluate(data: DataFrame, model: str, logP: np.ndarray, penalizer: float) -
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            w = pdf["w"].to_numpy(dtype=float)
-            args = [pdf[c].to_numpy(dtype=float) for c in cols]
-            with np.errstate(all="ignore"):
-                ll = ll_fn(params, *args)
-            acc += w @ ll
-            wsum += w.sum()
+            for at in range(0, len(pdf), EVALUATE_ROWS):
+                block = pdf.iloc[at:at + EVALUATE_ROWS]
+                w = block["w"].to_numpy(dtype=float)
+                args = [block[c].to_numpy(dtype=float) for c in cols]
+                with np.errstate(all="ignore"):
+                    ll = ll_fn(params, *args)
+                acc += w @ ll
+                wsum += w.sum()
         yield pd.DataFrame({"point": np.arange(k), "ll": acc, "w": np.full(k, wsum)})
 
     sums = data.mapInPandas(part, "point long, ll double, w double") \

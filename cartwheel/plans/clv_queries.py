@@ -13,7 +13,7 @@ from cartwheel.plans import frames as fr
 from cartwheel.plans import pipeline_queries as _pq  # noqa: F401
 from cartwheel.plans.registry import register
 from cartwheel.plans.sql_adapters import register_cte, with_ctes
-from cartwheel.session import stage
+from cartwheel.session import stage, staged_parquet
 from cartwheel.sources.files import fingerprint
 
 HOLDOUT = 180
@@ -49,8 +49,12 @@ register_cte("clv_eval", ["clv_fixed", "holdout"], """
 
 
 def _tx_money(spark, d):
-    tm = rf.purchase_rollup(fr.btx(spark, d))
-    return tm.join(fr.users_pipeline(spark, d).select("visitorid"), "visitorid", "left_semi")
+    """The eligible customers' purchases, written once per state of the order tables:
+    the calibration end, both periods and the overall mean read them."""
+    def build():
+        tm = rf.purchase_rollup(fr.btx_once(spark, d))
+        return staged_parquet(tm.join(fr.users_pipeline(spark, d).select("visitorid"), "visitorid", "left_semi"), "purchases")
+    return fr.memo(("tx_money", fr.orders_state(spark, d)), build)
 
 
 def _split(spark, d):
