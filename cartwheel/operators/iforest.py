@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from cartwheel.operators.features import MODEL_FLAG_THRESHOLD
 from cartwheel.operators.relational import exact_quantiles
 from cartwheel.operators.survival import standardize
+from cartwheel.session import staged_parquet
 
 # Model features and forest settings of the anomaly stage.
 MODEL_FEATURES = ["events_7d", "events_30d", "prop_addtocart", "prop_tx", "events_per_active_day"]
@@ -137,10 +138,11 @@ def model_based_flags(df: DataFrame, seed: int = SEED, n_estimators: int = N_EST
     iso_flag, iso_score_norm = 1 - minmax(iso_score), model_flag >= 0.6."""
     feats = [f for f in (features or MODEL_FEATURES) if f in df.columns]
     zs = [f"_z_{f}" for f in feats]
+    df = staged_parquet(df, "iforest-users")  # read by the statistics, the fit and the scores
     x = standardize(df, df, feats, suffix="__z")
     x = x.select(*df.columns, *[F.col(f + "__z").alias(z) for f, z in zip(feats, zs)])
     forest, psi = fit(x, zs, key, n_estimators, seed=seed)
-    s = score(x, zs, forest, psi, "_ss")
+    s = staged_parquet(score(x, zs, forest, psi, "_ss"), "iforest-scores")
     off = exact_quantiles(s, [], "_ss", [float(contamination)]).select(F.col("q_0").alias("_off"))
     s = s.crossJoin(F.broadcast(off)).withColumn("iso_score", F.col("_ss") - F.col("_off")) \
         .withColumn("iso_flag", (F.col("iso_score") < 0).cast("int"))
