@@ -166,14 +166,12 @@ def _evaluate(data: DataFrame, model: str, logP: np.ndarray, penalizer: float) -
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            for at in range(0, len(pdf), EVALUATE_ROWS):
-                block = pdf.iloc[at:at + EVALUATE_ROWS]
-                w = block["w"].to_numpy(dtype=float)
-                args = [block[c].to_numpy(dtype=float) for c in cols]
-                with np.errstate(all="ignore"):
-                    ll = ll_fn(params, *args)
-                acc += w @ ll
-                wsum += w.sum()
+            w = pdf["w"].to_numpy(dtype=float)
+            args = [pdf[c].to_numpy(dtype=float) for c in cols]
+            with np.errstate(all="ignore"):
+                ll = np.concatenate([ll_fn(params, *[v[at:at + EVALUATE_ROWS] for v in args]) for at in range(0, len(w), EVALUATE_ROWS)])
+            acc += w @ ll
+            wsum += w.sum()
         yield pd.DataFrame({"point": np.arange(k), "ll": acc, "w": np.full(k, wsum)})
 
     sums = data.mapInPandas(part, "point long, ll double, w double") \
