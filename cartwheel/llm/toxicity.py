@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,13 +96,19 @@ def features(texts) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarr
         yield first, last, np.concatenate(owner), np.concatenate(hashes), np.diff(words.bounds), shapes
 
 
-def levels(base: np.ndarray, times: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Columns base * LEVELS + level that hold for counts of a base in a text
-    of so many words, and the row of each: once, twice, thrice, one in a hundred."""
-    row = np.arange(len(base))
-    holds = [times >= 1, times >= 2, times >= 3, times * 100 >= words]
-    return (np.concatenate([base[h] * LEVELS + k for k, h in enumerate(holds)]),
-            np.concatenate([row[h] for h in holds]))
+def level_bits(times: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The levels that hold for counts of a base in texts of so many words, one
+    bit each: once, twice, thrice, one in a hundred."""
+    held = (times >= 1).astype(np.uint8)
+    for k, more in enumerate((times >= 2, times >= 3, times * np.int64(100) >= words), 1):
+        held |= more.astype(np.uint8) << k
+    return held
+
+
+def levels(base: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns base * LEVELS + level that hold, and the row of each."""
+    rows = [np.flatnonzero(held & (1 << k)) for k in range(LEVELS)]
+    return (np.concatenate([base[row].astype(np.int64) * LEVELS + k for k, row in enumerate(rows)]), np.concatenate(rows))
 
 
 def significance(n1: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
@@ -109,38 +116,50 @@ def significance(n1: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
     return (n1 - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
 
 
+BLOCK = 250_000  # pairs laid out at a time
+
+
 class Pairs:
-    """(text, base) pairs of the sample with the levels that hold for each, as one
-    bit per level: columns are never laid out for all pairs at once."""
-
-    def __init__(self, owner: np.ndarray, base: np.ndarray, times: np.ndarray, words: np.ndarray, n_bases: int) -> None:
-        self.owner, self.base, self.n_cols = owner, base, n_bases * LEVELS
-        self.held = np.zeros(len(base), np.uint8)
-        self.held |= times >= 1
-        self.held |= (times >= 2).astype(np.uint8) << 1
-        self.held |= (times >= 3).astype(np.uint8) << 2
-        for i in range(0, len(base), 1_000_000):
-            part = slice(i, i + 1_000_000)
-            self.held[part] |= (times[part] * np.int64(100) >= words[owner[part]]).astype(np.uint8) << 3
+    """(text, base) pairs of the sample, text by text (those of text i are
+    ``bounds[i]:bounds[i + 1]``), with the bits of the levels that hold: five bytes
+    a pair. Owners, columns and weights are laid out for one block of texts at a time."""
+
+    def __init__(self, bounds: np.ndarray, base: np.ndarray, held: np.ndarray, n_bases: int) -> None:
+        self.bounds, self.base, self.held, self.n_cols = bounds, base, held, n_bases * LEVELS
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Text, base and levels of the pairs of consecutive texts."""
+        i, n = 0, len(self.bounds) - 1
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(self.bounds, self.bounds[i] + BLOCK, side="right")) - 1)
+            part = slice(self.bounds[i], self.bounds[j])
+            yield np.repeat(np.arange(i, j), np.diff(self.bounds[i:j + 1])), self.base[part], self.held[part]
+            i = j
 
     def sums(self, weight: np.ndarray | None = None) -> np.ndarray:
-        """Per column the number, or the weight, of its texts."""
+        """Per column the number, or the weight, of its texts, added up in their order."""
         out = np.zeros(self.n_cols, np.int64 if weight is None else np.float64)
-        for k in range(LEVELS):
-            at = np.flatnonzero(self.held & (1 << k))
-            out[k::LEVELS] = np.bincount(self.base[at], None if weight is None else weight[self.owner[at]], self.n_cols // LEVELS)
+        for owner, base, held in self.blocks():
+            col, row = levels(base, held)
+            np.add.at(out, col, 1 if weight is None else weight[owner[row]])
         return out
 
     def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Texts and columns of the pairs in the columns that are true in ``wanted``."""
-        rows, cols = [], []
-        for k in range(LEVELS):
-            mine = wanted[k::LEVELS]
-            at = np.flatnonzero((self.held & (1 << k) > 0) & mine[self.base])
-            rows.append(self.owner[at])
-            cols.append(self.base[at].astype(np.int64) * LEVELS + k)
+        rows, cols = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for owner, base, held in self.blocks():
+            col, row = levels(base, held)
+            rows.append(owner[row[wanted[col]]])
+            cols.append(col[wanted[col]])
         return np.concatenate(rows), np.concatenate(cols)
 
+    def inside(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, new base and levels of the pairs whose base has a place (not -1)."""
+        found = [(owner[at], place[base[at]], held[at]) for owner, base, held in self.blocks()
+                 for at in [np.flatnonzero(place[base] >= 0)]]
+        none = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint8)
+        return tuple(np.concatenate(x) for x in zip(none, *found))
+
 
 def mine_patterns(pairs: Pairs, n: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Columns that mark toxic rows: per pass the one that adds most toxic rows
@@ -195,25 +214,39 @@ def label_model(votes: np.ndarray, y: np.ndarray) -> np.ndarray:
     return post
 
 
+FIT_BLOCK = 1_000
+
+
 def fit_logistic(row: np.ndarray, col: np.ndarray, n_features: int, target: np.ndarray, l2: float = 0.5) -> np.ndarray:
     """Weights (last one: bias) on soft labels by Newton steps with halving,
-    over the columns that occur."""
+    over the columns that occur. One byte a cell; numbers for FIT_BLOCK rows at a time."""
     active, place = np.unique(col, return_inverse=True)
-    x = np.zeros((len(target), len(active) + 1))
-    x[row, place] = 1.0
-    x[:, -1] = 1.0
+    x = np.zeros((len(target), len(active) + 1), bool)
+    x[row, place] = True
+    x[:, -1] = True
     penalty = np.append(np.full(len(active), l2), 1e-6)
+    parts = [slice(i, i + FIT_BLOCK) for i in range(0, len(target), FIT_BLOCK)]
+
+    def margins(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[part].astype(np.float64) @ w for part in parts])
+
+    def slopes(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        grad, curve = penalty * w, np.diag(penalty + 1e-9)
+        for part in parts:
+            rows = x[part].astype(np.float64)
+            grad += (p[part] - target[part]) @ rows
+            curve += (rows * (p[part] * (1 - p[part]))[:, None]).T @ rows
+        return grad, curve
 
     def loss(w: np.ndarray) -> float:
-        m = x @ w
+        m = margins(w)
         return float((np.logaddexp(0, m) - target * m).sum() + 0.5 * (penalty * w * w).sum())
 
     w = np.zeros(x.shape[1])
     best = loss(w)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - target) + penalty * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9), grad)
+        grad, curve = slopes(1 / (1 + np.exp(-np.clip(margins(w), -30, 30))))
+        step = np.linalg.solve(curve, grad)
         size, now = 1.0, best
         while size > 1e-6 and (now := loss(w - size * step)) > best:
             size /= 2
@@ -234,12 +267,12 @@ def _find(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(table[at] == h, at, -1)
 
 
-def _encode_rows(text: np.ndarray, base: np.ndarray, times: np.ndarray, words: np.ndarray, shapes: np.ndarray,
+def _encode_rows(text: np.ndarray, base: np.ndarray, held: np.ndarray, shapes: np.ndarray,
                  n_bases: int, voters: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(text, feature) pairs from counts of known bases: their levels, the
+    """(text, feature) pairs from the levels of known bases: these, the
     shapes, and at least one, two, three firing voters."""
     size = n_bases * LEVELS + SHAPES + 3
-    col, row = levels(base, times, words[text])
+    col, row = levels(base, held)
     owner = text[row]
     t, k = np.nonzero(shapes)
     fired = np.bincount(owner[np.isin(col, voters)], minlength=len(shapes))
@@ -261,25 +294,24 @@ def _frequent(docs: list[tuple[np.ndarray, np.ndarray]], part: int, lexicon: np.
     return uniq[(n >= 3) | (_find(lexicon, uniq) >= 0)]
 
 
-def fit(docs: list[tuple[np.ndarray, np.ndarray]], words: np.ndarray, shapes: np.ndarray, y: np.ndarray) -> dict:
-    """Model of word hashes with their counts, words per text, shape flags and
-    0/1 labels. Empties ``docs`` as it goes."""
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], shapes: np.ndarray, y: np.ndarray) -> dict:
+    """Model of each text's distinct hashes with the bits of their levels, shape
+    flags and 0/1 labels. Empties ``docs`` as it goes."""
     if len(y) == 0 or y.min() == y.max():
         return {"share": float(y.mean()) if len(y) else 0.0}
     # bases in fewer than three rows can neither be mined nor be significant, but lexicon words stay
     lexicon = lexicon_hashes()
     uniq = np.concatenate([_frequent(docs, k, lexicon) for k in range(PARTS)])
-    known = []
-    while docs:  # each text's hashes go as they are looked up
-        h, c = docs.pop()
+    size = sum(len(h) for h, _ in docs)
+    bounds, base, held = np.zeros(len(docs) + 1, np.int64), np.empty(size, np.int32), np.empty(size, np.uint8)
+    docs.reverse()
+    for i in range(len(docs)):  # each text's hashes go as they are looked up
+        h, bits = docs.pop()
         at = _find(uniq, h)
-        known.append((at[at >= 0].astype(np.int32), c[at >= 0]))
-    known.reverse()
-    owner = np.repeat(np.arange(len(known), dtype=np.int32), [len(b) for b, _ in known])
-    base = np.concatenate([b for b, _ in known])
-    times = np.concatenate([c for _, c in known])
-    del known
-    pairs = Pairs(owner, base, times, words, len(uniq))
+        found = slice(bounds[i], bounds[i] + int((at >= 0).sum()))
+        base[found], held[found] = at[at >= 0], bits[at >= 0]
+        bounds[i + 1] = found.stop
+    pairs = Pairs(bounds, base, held, len(uniq))
     n = pairs.sums()
 
     own = np.flatnonzero(_find(lexicon, uniq) >= 0) * LEVELS
@@ -300,9 +332,8 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], words: np.ndarray, shapes: np
     table = np.union1d(lexicon, uniq[bases])
     place = _find(table, uniq)
     voters = np.union1d(place[voters // LEVELS] * LEVELS + voters % LEVELS, _find(table, lexicon) * LEVELS)
-    inside = place[base] >= 0
-    del pairs
-    row, col, size = _encode_rows(owner[inside].astype(np.int64), place[base[inside]], times[inside].astype(np.int64), words, shapes, len(table), voters)
+    row, col, size = _encode_rows(*pairs.inside(place), shapes, len(table), voters)
+    del pairs, base, held
     return {"voters": voters, "table": table, "weights": fit_logistic(row, col, size, post)}
 
 
@@ -317,25 +348,24 @@ def train_model(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", ro
                 cut = np.searchsorted(text[order], np.arange(last - first + 1))
                 for a, b in zip(cut, cut[1:]):
                     u, c = np.unique(h[order[a:b]], return_counts=True)
-                    out.append((u.tobytes(), c.astype(np.int32).tobytes()))
-                yield pd.DataFrame({"hashes": [x for x, _ in out], "times": [x for _, x in out],
-                                    "words": words, "shapes": [x.tobytes() for x in shapes],
+                    out.append((u.tobytes(), level_bits(c, words[len(out)]).tobytes()))
+                yield pd.DataFrame({"hashes": [x for x, _ in out], "held": [x for _, x in out],
+                                    "shapes": [x.tobytes() for x in shapes],
                                     "label": pdf["label"].iloc[first:last].to_numpy()})
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        docs_, words, shapes, y = [], [], [], []
+        docs_, shapes, y = [], [], []
         for pdf in batches:
-            docs_ += [(np.frombuffer(h, np.uint64).copy(), np.frombuffer(c, np.int32).copy())
-                      for h, c in zip(pdf["hashes"], pdf["times"])]
+            docs_ += [(np.frombuffer(h, np.uint64), np.frombuffer(b, np.uint8)) for h, b in zip(pdf["hashes"], pdf["held"])]
             shapes += [np.frombuffer(s, bool) for s in pdf["shapes"]]
-            words += pdf["words"].tolist()
             y += pdf["label"].tolist()
-        m = fit(docs_, np.array(words, np.int64), np.array(shapes, bool).reshape(len(y), SHAPES), np.array(y, np.int64))
+            del pdf
+        m = fit(docs_, np.array(shapes, bool).reshape(len(y), SHAPES), np.array(y, np.int64))
         yield pd.DataFrame({"share": [m.get("share")],
                             **{k: [m[k].tobytes() if k in m else None] for k in ("voters", "table", "weights")}})
 
     sample = training_sample(docs, labels, label_col, rows, id_col, text_col) \
-        .mapInPandas(extract, "hashes binary, times binary, words long, shapes binary, label int")
+        .mapInPandas(extract, "hashes binary, held binary, shapes binary, label int")
     got = sample.repartition(1).mapInPandas(learn, "share double, voters binary, table binary, weights binary").collect()
     if not got or got[0]["weights"] is None:
         return {"share": got[0]["share"] if got else 0.0}
@@ -344,24 +374,31 @@ def train_model(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", ro
             "weights": np.frombuffer(bytes(g["weights"]), np.float64)}
 
 
+def _few_at_a_time(texts: pa.Array) -> Iterator[str | None]:
+    """The texts as Python strings, never those of a whole batch together."""
+    for i in range(0, len(texts), 64):
+        yield from texts.slice(i, 64).to_pylist()
+
+
 def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """All rows and columns of ``docs`` plus the probability of label 1."""
     model_b = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(T.DoubleType())
-    def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model_b.value
-        for texts in series:
+        for texts in batches:
             if "share" in m:
-                yield pd.Series(np.full(len(texts), m["share"]))
+                yield pa.array(np.full(len(texts), m["share"]))
                 continue
             margin = np.full(len(texts), m["weights"][-1])
-            for first, last, text, h, words, shapes in features(texts):
+            for first, last, text, h, words, shapes in features(_few_at_a_time(texts)):
                 at = _find(m["table"], h)
                 key, times = np.unique(text[at >= 0] * len(m["table"]) + at[at >= 0], return_counts=True)
-                row, col, _ = _encode_rows(key // len(m["table"]), key % len(m["table"]), times, words, shapes,
+                held = level_bits(times, words[key // len(m["table"])])
+                row, col, _ = _encode_rows(key // len(m["table"]), key % len(m["table"]), held, shapes,
                                            len(m["table"]), m["voters"])
                 margin[first:last] += np.bincount(row, m["weights"][col], last - first)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
 
     return docs.select(*without(docs, (out_col,)), score(F.col(text_col).cast("string")).alias(out_col))
